@@ -24,12 +24,9 @@ from ..operators.histogram import Grown, Pass, fixed_scale, matrix, node_histogr
 from ..operators.sampling import sample_features
 from ..operators.splits import best_split, node_totals, split_gain
 from ..session import cut_lineage, new_path
+from ..sources.store import SCHEMAS
 
-NODES = (
-    "model_id STRING, round INT, class_id INT, node_id INT, is_leaf BOOLEAN, feature INT, "
-    "split_bin INT, threshold DOUBLE, missing_left BOOLEAN, left_id INT, right_id INT, "
-    "leaf_value DOUBLE, gain DOUBLE, cover DOUBLE"
-)
+NODES = SCHEMAS["model_nodes"]
 # Columns of the training rows that no round changes.
 STATE = ("is_train", "label", "row_hash", "bins")
 CURVES = "model_id STRING, step INT, train_mlogloss DOUBLE, test_mlogloss DOUBLE"

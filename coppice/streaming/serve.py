@@ -132,14 +132,23 @@ def score_current(
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def instant(column: str, kind: str) -> Column:
+    """A timestamp without time zone read as UTC; other timestamps as they are."""
+    if kind != "timestamp_ntz":
+        return F.col(column).cast("timestamp")
+    micros = f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', {column})"
+    return F.expr(f"timestamp_micros({micros})")
+
+
 def windowed_quality(
     scored: DataFrame, time_col: str = "ts", window: str = "1 day", late: str = "1 hour"
 ) -> DataFrame:
     """Accuracy per time window of rows with ``label`` and ``predicted_class``. On a stream
     the watermark closes a window ``late`` after its end."""
     hit = (F.col("predicted_class") == F.col("label")).cast("double")
+    kind = scored.schema[time_col].dataType.simpleString()
     return (
-        scored.withColumn("_ts", F.col(time_col).cast("timestamp"))
+        scored.withColumn("_ts", instant(time_col, kind))
         .withWatermark("_ts", late)
         .groupBy(F.window("_ts", window).alias("w"))
         .agg(F.count("*").alias("n"), F.avg(hit).alias("accuracy"))
