@@ -17,13 +17,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.hashing import PRIME
 from ..functions.proba import MIN_HESSIAN
+from .blocks import unpack
 
 # Above this number of tasks the cells are shuffled by their full key.
 MANY_TASKS = 1000
-CELLS = "tree INT, node INT, feature INT, bin INT, g BIGINT, h BIGINT"
+CELLS = T.StructType(
+    [T.StructField(c, T.IntegerType()) for c in ("tree", "node", "feature", "bin")]
+    + [T.StructField(c, T.LongType()) for c in ("g", "h")]
+)
 
 
 def fixed_scale(n_rows: int) -> float:
@@ -70,11 +75,11 @@ class Grown:
 
 
 def positions(bins: np.ndarray, tree: int, grown: Grown) -> np.ndarray:
-    """Position of each row in ``tree`` after the decided levels."""
-    at = np.zeros(len(bins), np.int64)
-    rows = np.arange(len(bins))
+    """Position in ``tree`` after the decided levels, for a (features, rows) array of bins."""
+    rows = np.arange(bins.shape[1])
+    at = np.zeros(len(rows), np.int64)
     for feature, cut, right in zip(grown.feature, grown.cut, grown.missing_right):
-        b = bins[rows, feature[tree][at]]
+        b = bins[feature[tree][at], rows]
         go = b > cut[tree][at]
         if right[tree].any():
             go |= (b == 0) & right[tree][at]
@@ -82,13 +87,6 @@ def positions(bins: np.ndarray, tree: int, grown: Grown) -> np.ndarray:
     return at
 
 
-def matrix(column: pa.Array, width: int, dtype=None) -> np.ndarray:
-    """Arrow list column of equal lengths as a 2-D array, without copying its values."""
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    flat = flat.reshape(len(column), width)
-    return flat if dtype is None else flat.astype(dtype, copy=False)
-
-
 @dataclass
 class Pass:
     """What one pass over the rows computes."""
@@ -109,32 +107,29 @@ def _task_cells(batches: Iterator[pa.RecordBatch], todo: Pass) -> Iterator[pa.Re
     wanted = {t: np.flatnonzero(s >= 0) for t, s in todo.slots.items()}
     g_sum = {t: np.zeros((len(todo.features[t]), len(p) * todo.n_bins), np.int64) for t, p in wanted.items()}
     h_sum = {t: np.zeros_like(a) for t, a in g_sum.items()}
-    for batch in batches:
-        bins = matrix(batch.column("bins"), todo.n_features)
-        margin = matrix(batch.column("margin"), len(todo.samples) * todo.n_class)
-        label = batch.column("label").to_numpy()
-        hashes = batch.column("row_hash").to_numpy()
+    n_trees = len(todo.samples) * todo.n_class
+    blocks = (k for batch in batches for k in unpack(batch, todo.n_features, todo.n_bins, n_trees))
+    for block in blocks:
         for trial, (a, b, cutoff) in enumerate(todo.samples):
             first = trial * todo.n_class
             trees = [t for t in range(first, first + todo.n_class) if t in wanted]
             if not trees:
                 continue
-            inside = np.flatnonzero((hashes * a + b) % PRIME < cutoff)
-            x, y = bins[inside], label[inside]
-            m = margin[inside, first : first + todo.n_class]
+            inside = np.flatnonzero((block.row_hash * a + b) % PRIME < cutoff)
+            x, y = block.bins[:, inside], block.label[inside]
+            m = block.margin[inside, first : first + todo.n_class]
             p = np.exp(m - m.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             for t in trees:
-                pk = p[:, t - first]
                 slot = todo.slots[t][positions(x, t, todo.grown)]
                 used = np.flatnonzero(slot >= 0)
-                g = np.rint((pk - (y == t - first))[used] * todo.scale)
-                h = np.rint(np.maximum(pk * (1 - pk), MIN_HESSIAN)[used] * todo.scale)
+                pk = p[used, t - first]
+                g = np.rint((pk - (y[used] == t - first)) * todo.scale)
+                h = np.rint(np.maximum(pk * (1 - pk), MIN_HESSIAN) * todo.scale)
                 base = slot[used] * todo.n_bins
-                columns = np.ascontiguousarray(x[used].T)
                 size = g_sum[t].shape[1]
                 for i, f in enumerate(todo.features[t]):
-                    cell = base + columns[f]
+                    cell = base + x[f, used]
                     g_sum[t][i] += np.bincount(cell, g, size).astype(np.int64)
                     h_sum[t][i] += np.bincount(cell, h, size).astype(np.int64)
     for t, at in wanted.items():
@@ -153,16 +148,16 @@ def _task_cells(batches: Iterator[pa.RecordBatch], todo: Pass) -> Iterator[pa.Re
         )
 
 
-def node_histograms(rows: DataFrame, todo: Pass, n_tasks: int = 1) -> DataFrame:
+def node_histograms(blocks: DataFrame, todo: Pass, n_tasks: int = 1) -> DataFrame:
     """Histogram cells of the wanted nodes over all sampled rows.
 
-    ``rows`` has ``bins``, ``margin`` (classes of trial 0, classes of trial 1, ...),
-    ``label`` and ``row_hash``. Memory of a task is bounded by the number of wanted
-    nodes, which the caller limits. Each task emits a cell at most once, so cells are
+    The margins of a block are those of the classes of trial 0, of trial 1, and so on.
+    Memory of a task is bounded by the number of wanted nodes, which the caller limits.
+    Sums inside a block are exact: they stay far below 2^53. Each task emits a cell at most once, so cells are
     shuffled by the key of the split search and summed there. With very many tasks they
     are summed by the full cell key first, which spreads the work more.
     """
-    cells = rows.select("bins", "margin", "label", "row_hash").mapInArrow(
+    cells = blocks.select("bins", "margin", "label", "row_hash").mapInArrow(
         lambda batches: _task_cells(batches, todo), CELLS
     )
     if n_tasks <= MANY_TASKS:

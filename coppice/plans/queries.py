@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import row_hash
 from ..functions.proba import argmax, confidence, fixed_point, gradient, hessian, softmax
-from ..operators import grid, histogram, labels, metrics, registry, sampling, split, splits
+from ..operators import blocks, grid, histogram, labels, metrics, registry, sampling, split, splits
 from ..operators.binning import bin_features, edges_by_feature, quantile_edges
 from ..operators.scoring import score, score_native
 from ..session import new_path
@@ -363,13 +363,14 @@ def q_grad_histogram(spark, sf):
 def q_node_histograms(spark, sf):
     """The numpy form of the same pass, as training runs it."""
     rows = y3_binned(spark, sf).where("split = 'train'").select(
-        "bins", "label", row_hash("row_id").alias("row_hash"), F.array_repeat(F.lit(0.0), N_CLASS).alias("margin")
+        "bins", "label", row_hash("row_id").alias("row_hash"), F.lit(True).alias("is_train")
     )
+    packed = blocks.to_blocks(rows, N_FEATURES, HIST_BINS + 1)
     todo = histogram.Pass(
         N_FEATURES, HIST_BINS + 1, N_CLASS, SCALE, histogram.Grown(N_CLASS), [(1, 0, 2**31)],
         [list(range(N_FEATURES))] * N_CLASS, {k: np.zeros(1, np.int64) for k in range(N_CLASS)},
     )
-    return histogram.node_histograms(rows, todo)
+    return histogram.node_histograms(packed, todo)
 
 
 def q_split_gain(spark, sf):

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.proba import argmax, softmax
+from ..operators.blocks import from_blocks
 from ..operators.grid import SPACE, assign_shards, best_of_shard, global_best, sample_trials
 from ..operators.metrics import auc_per_class, macro_auc
 from ..operators.split import stratified_split, three_way_split
@@ -28,9 +29,9 @@ def search_trials(spark, total: int, workers: int = 1, seed: int = 42, space: di
     return assign_shards(sample_trials(ids, seed, space), total, workers)
 
 
-def trial_metrics(rows: DataFrame, n_class: int, n_trials: int) -> list[tuple[float, float]]:
+def trial_metrics(blocks: DataFrame, n_class: int, n_trials: int) -> list[tuple[float, float]]:
     """``(auc, accuracy)`` of each trial of a batch on the held-out rows."""
-    test = rows.where("NOT is_train")
+    test = from_blocks(blocks.where("NOT is_train"), n_class * n_trials)
     each = [softmax(F.slice("margin", t * n_class + 1, n_class)) for t in range(n_trials)]
     scored = test.select("label", F.concat(*each).alias("proba")).persist()
     hits = [
@@ -49,11 +50,11 @@ def trial_metrics(rows: DataFrame, n_class: int, n_trials: int) -> list[tuple[fl
 def _train_batch(prepared: Prepared, batch: list[tuple[int, TrainParams]], search_id: str) -> list[dict]:
     started = time.time()
     ids = [f"{search_id}-{trial}" for trial, _ in batch]
-    models, rows = boost(prepared, [p for _, p in batch], ids)
+    models, blocks = boost(prepared, [p for _, p in batch], ids)
     try:
-        scores = trial_metrics(rows, prepared.n_class, len(batch))
+        scores = trial_metrics(blocks, prepared.n_class, len(batch))
     finally:
-        rows.unpersist()
+        blocks.unpersist()
     seconds = time.time() - started
     return [
         {"trial": trial, "status": "OK", "auc": auc, "accuracy": acc, "train_seconds": seconds,
@@ -145,7 +146,7 @@ def run_search(
                     store.log_run(f"trial-{trial:02d}", asdict(params[trial]), metrics, model.curves, parent)
             store.append("trial_results", rows)
     finally:
-        prepared.rows.unpersist()
+        prepared.blocks.unpersist()
     results = store.read("trial_results").where(F.col("search_id") == search_id)
     best = best_of_shard(results, "shard").orderBy("shard").collect()
     if not best:

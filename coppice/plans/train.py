@@ -20,20 +20,21 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import round_coefficients, row_hash, sample_cutoff
 from ..operators.binning import bin_features, edges_by_feature, quantile_edges
-from ..operators.histogram import Grown, Pass, fixed_scale, matrix, node_histograms, positions
+from ..operators.blocks import FIXED, lists, to_blocks, unpack, without_margin
+from ..operators.histogram import Grown, Pass, fixed_scale, node_histograms, positions
 from ..operators.sampling import sample_features
 from ..operators.splits import best_split, node_totals, split_gain
 from ..session import cut_lineage, new_path
 from ..sources.store import SCHEMAS
 
 NODES = SCHEMAS["model_nodes"]
-# Columns of the training rows that no round changes.
-STATE = ("is_train", "label", "row_hash", "bins")
 CURVES = "model_id STRING, step INT, train_mlogloss DOUBLE, test_mlogloss DOUBLE"
 
 # Most histogram cells one pass asks of a task (two BIGINT each); wider levels take
 # several passes.
 MAX_CELLS = 8_000_000
+# Most training rows of one partition of the blocks.
+TASK_ROWS = 2_000_000
 # Node rows kept on the driver before they are written out.
 _FLUSH_NODES = 200_000
 
@@ -71,9 +72,9 @@ class TrainParams:
 
 @dataclass
 class Prepared:
-    """Binned rows shared by all trials, and what was learned while binning them."""
+    """Binned rows in blocks, shared by all trials, and what was learned while binning."""
 
-    rows: DataFrame
+    blocks: DataFrame
     edges: DataFrame
     cuts: list[list[float]]
     n_class: int
@@ -81,6 +82,11 @@ class Prepared:
     n_train: int
     n_tasks: int
 
+    @property
+    def n_bins(self) -> int:
+        """Bin numbers in use: 0 for missing values, one more than there are cuts."""
+        return max(len(c) for c in self.cuts) + 2
+
 
 @dataclass
 class Model:
@@ -127,14 +133,15 @@ def prepare(df: DataFrame, max_bins: int = 64, tolerance: float | None = None) -
         row_hash("row_id").alias("row_hash"),
     )
     rows = bin_features(known, cuts).drop("features")
-    # Every pass reads this table, so it is written once: lost blocks come from here and
-    # not from the raw input, and the plans of the rounds stay short.
-    spread = df.sparkSession.sparkContext.defaultParallelism
+    spread = max(df.sparkSession.sparkContext.defaultParallelism, -(-seen.n // TASK_ROWS))
     tasks = rows.rdd.getNumPartitions()
     if tasks < spread:
         rows = rows.repartition(spread, "row_hash")
-    rows = cut_lineage(rows).persist(StorageLevel.MEMORY_AND_DISK)
-    return Prepared(rows, edges, cuts, seen.k, seen.wide, seen.n, max(tasks, spread))
+    n_bins = max(len(c) for c in cuts) + 2
+    # Every pass reads this table, so it is written once: lost blocks come from here and
+    # not from the raw input, and the plans of the rounds stay short.
+    blocks = cut_lineage(to_blocks(rows, seen.wide, n_bins)).persist(StorageLevel.MEMORY_AND_DISK)
+    return Prepared(blocks, edges, cuts, seen.k, seen.wide, seen.n, max(tasks, spread))
 
 
 class _Round:
@@ -166,27 +173,25 @@ class _Round:
             mine = sorted(p for t, p in wanted if t == tree)
             at[mine] = np.arange(len(mine))
             slots[tree] = at
-        n_bins = max(len(c) for c in self.p.cuts) + 2
         return Pass(
-            self.p.n_features, n_bins, self.p.n_class, scale, self.grown,
+            self.p.n_features, self.p.n_bins, self.p.n_class, scale, self.grown,
             self.samples, self.features, slots,
         )
 
-    def grow(self, rows: DataFrame, scale: float) -> None:
+    def grow(self, blocks: DataFrame, scale: float) -> None:
         lam = [p.reg_lambda for p in self.params]
         weight = [p.min_child_weight for p in self.params]
-        n_bins = max(len(c) for c in self.p.cuts) + 2
-        chunk = max(1, MAX_CELLS // (self.p.n_features * n_bins))
+        chunk = max(1, MAX_CELLS // (self.p.n_features * self.p.n_bins))
         wanted = [(t, 0) for t in range(self.n_trees) if self.active[t]]
         level = 0
         while wanted:
             found = []
             for start in range(0, len(wanted), chunk):
                 todo = self._pass(wanted[start : start + chunk], level, scale)
-                cells = node_histograms(rows, todo, self.p.n_tasks)
+                cells = node_histograms(blocks, todo, self.p.n_tasks)
                 found += best_split(split_gain(cells, scale, lam, weight)).collect()
             if level == 0:
-                self._stumps_without_split(rows, scale, wanted, found)
+                self._single_leaves(blocks, scale, wanted, found)
             self.grown.add_level()
             wanted = []
             for s in found:
@@ -203,12 +208,12 @@ class _Round:
             wanted.sort()
             level += 1
 
-    def _stumps_without_split(self, rows, scale, wanted, found) -> None:
+    def _single_leaves(self, blocks, scale, wanted, found) -> None:
         """Totals of the trees that stay a single leaf; rare, so a pass of its own."""
         split = {s.tree for s in found}
         single = [(t, p) for t, p in wanted if t not in split]
         if single:
-            for r in node_totals(node_histograms(rows, self._pass(single, 0, scale)), scale).collect():
+            for r in node_totals(node_histograms(blocks, self._pass(single, 0, scale)), scale).collect():
                 self.leaves[(r.tree, 0, 0)] = (r.g, r.h)
 
     def value(self, tree: int, g: float, h: float) -> float:
@@ -244,37 +249,36 @@ class _Round:
         return out
 
 
-def _advance(rows: DataFrame, grown: Grown, leaf: np.ndarray, n_features: int, n_class: int) -> DataFrame:
-    """Rows with the new trees added to their margins, and the log loss per trial."""
-
-    @F.arrow_udf("margin array<double>, loss array<double>")
-    def stepped(bins: pa.Array, margin: pa.Array, label: pa.Array) -> pa.Array:
-        n_trees = leaf.shape[0]
-        x = matrix(bins, n_features)
-        m = matrix(margin, n_trees).copy()
-        for t in range(n_trees):
-            m[:, t] += leaf[t][positions(x, t, grown)]
-        y = label.to_numpy()
-        loss = np.empty((len(m), n_trees // n_class))
-        for i in range(loss.shape[1]):
-            mine = m[:, i * n_class : (i + 1) * n_class]
-            top = mine.max(axis=1)
-            total = np.exp(mine - top[:, None]).sum(axis=1)
-            loss[:, i] = np.log(total) + top - mine[np.arange(len(m)), y]
-
-        def lists(a: np.ndarray) -> pa.Array:
-            return pa.ListArray.from_arrays(np.arange(0, a.size + 1, a.shape[1], dtype=np.int32), a.ravel())
-
-        return pa.StructArray.from_arrays([lists(m), lists(loss)], ["margin", "loss"])
+def _advance(blocks: DataFrame, prepared: Prepared, grown: Grown, leaf: np.ndarray) -> DataFrame:
+    """Blocks with the new trees added to their margins, and their summed log loss per trial."""
+    n_features, n_bins, n_class, n_trees = prepared.n_features, prepared.n_bins, prepared.n_class, len(leaf)
+
+    @F.arrow_udf("margin binary, loss array<double>")
+    def stepped(bins: pa.Array, label: pa.Array, row_hash: pa.Array, margin: pa.Array) -> pa.Array:
+        columns = {"bins": bins, "label": label, "row_hash": row_hash, "margin": margin}
+        margins, losses = [], []
+        for block in unpack(columns, n_features, n_bins, n_trees):
+            m = block.margin.copy()
+            for t in range(n_trees):
+                m[:, t] += leaf[t][positions(block.bins, t, grown)]
+            trials = m.reshape(len(m), n_trees // n_class, n_class)
+            top = trials.max(axis=2)
+            total = np.log(np.exp(trials - top[:, :, None]).sum(axis=2))
+            hit = trials[np.arange(len(m)), :, block.label]
+            losses.append((total + top - hit).sum(axis=0))
+            margins.append(m.tobytes())
+        return pa.StructArray.from_arrays(
+            [pa.array(margins, pa.binary()), lists(np.array(losses).reshape(len(bins), -1))], ["margin", "loss"]
+        )
 
-    out = rows.withColumn("_step", stepped("bins", "margin", "label"))
-    return out.select(*STATE, "_step.margin", "_step.loss")
+    step = blocks.withColumn("_step", stepped("bins", "label", "row_hash", "margin"))
+    return step.select(*FIXED, "_step.margin", "_step.loss")
 
 
-def curve_of(rows: DataFrame, n_trials: int) -> list[tuple[float, float]]:
+def curve_of(blocks: DataFrame, n_trials: int) -> list[tuple[float, float]]:
     """``(train, test)`` log loss of each trial: one job for both splits."""
-    losses = [F.avg(F.get("loss", F.lit(t))).alias(f"t{t}") for t in range(n_trials)]
-    got = {r.is_train: r for r in rows.groupBy("is_train").agg(*losses).collect()}
+    losses = [(F.sum(F.get("loss", F.lit(t))) / F.sum("n")).alias(f"t{t}") for t in range(n_trials)]
+    got = {r.is_train: r for r in blocks.groupBy("is_train").agg(*losses).collect()}
     side = lambda flag, t: got[flag][f"t{t}"] if flag in got else None
     return [(side(True, t), side(False, t)) for t in range(n_trials)]
 
@@ -286,20 +290,20 @@ def boost(
     checkpoint_every: int = 10,
     evaluate: bool = True,
 ) -> tuple[list[Model], DataFrame]:
-    """Train all trials at once. Returns the models and the rows with their final margins
+    """Train all trials at once. Returns the models and the blocks with their final margins
     (``n_class`` entries per trial), persisted."""
     for t in trials:
         t.validate()
-    spark = prepared.rows.sparkSession
-    k, n_trees = prepared.n_class, len(trials) * prepared.n_class
+    spark = prepared.blocks.sparkSession
+    k = prepared.n_class
     scale = fixed_scale(prepared.n_train)
     started = time.time()
-    state = prepared.rows.withColumn("margin", F.array_repeat(F.lit(0.0), n_trees))
+    state = without_margin(prepared.blocks)
     nodes, parts, curves = [], [], []
     for round_no in range(max(t.n_estimators for t in trials)):
         current = _Round(prepared, trials, round_no)
         current.grow(state.where("is_train"), scale)
-        following = _advance(state, current.grown, current.leaf_array(), prepared.n_features, k)
+        following = _advance(state, prepared, current.grown, current.leaf_array())
         if (round_no + 1) % checkpoint_every == 0:
             following = cut_lineage(following)
         following = following.persist(StorageLevel.MEMORY_AND_DISK)
@@ -356,5 +360,5 @@ def train(
         )
         state.unpersist()
     finally:
-        prepared.rows.unpersist()
+        prepared.blocks.unpersist()
     return model

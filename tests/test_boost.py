@@ -8,6 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from coppice.functions.proba import fixed_point, gradient, hessian, softmax
+from coppice.functions.hashing import row_hash
+from coppice.operators.binning import bin_features, edges_by_feature, quantile_edges
+from coppice.operators.blocks import from_blocks, to_blocks
 from coppice.operators.histogram import Grown, Pass, fixed_scale, grad_histogram, node_histograms
 from coppice.operators.sampling import sample_features, sample_tree_features
 from coppice.plans import train as training
@@ -171,14 +174,18 @@ def test_a_tree_without_any_split_is_one_leaf(spark):
 
 def test_both_histogram_forms_agree(spark):
     x, y, split = make(300, 7)
-    prepared = prepare(frame(spark, (x, y, split)), 16)
-    rows = prepared.rows.where("is_train").withColumn(
-        "margin", F.array(*[(F.col("row_hash") % 7 - 3) / 5.0 + k for k in range(3)])
-    )
+    df = frame(spark, (x, y, split))
+    cuts = edges_by_feature(quantile_edges(df, 16), 4)
+    rows = bin_features(df, cuts).select(
+        "bins", "label", F.lit(True).alias("is_train"), row_hash("row_id").alias("row_hash")
+    ).withColumn("margin", F.array(*[(F.col("row_hash") % 7 - 3) / 5.0 + k for k in range(3)]))
+    packed = to_blocks(rows, 4, 18)
+    back = sorted((r.label, tuple(r.margin)) for r in from_blocks(packed, 3).collect())
+    assert back == sorted((r.label, tuple(r.margin)) for r in rows.collect())
     scale = 2.0**20
     todo = Pass(4, 18, 3, scale, Grown(3), [(1, 0, 2**31)], [[0, 1, 2, 3]] * 3, {k: np.zeros(1, np.int64) for k in range(3)})
-    fast = {(r.tree, r.feature, r.bin): (r.g, r.h) for r in node_histograms(rows, todo).collect()}
-    spread = {(r.tree, r.feature, r.bin): (r.g, r.h) for r in node_histograms(rows, todo, 10**6).collect()}
+    fast = {(r.tree, r.feature, r.bin): (r.g, r.h) for r in node_histograms(packed, todo).collect()}
+    spread = {(r.tree, r.feature, r.bin): (r.g, r.h) for r in node_histograms(packed, todo, 10**6).collect()}
     plain = grad_histogram(
         rows.withColumn("p", softmax("margin")).select(
             "bins", F.array_repeat(F.lit(0), 3).alias("node"),
