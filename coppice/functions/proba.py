@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Probabilities are clipped by the float32 machine epsilon before taking logarithms.
@@ -15,13 +17,37 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it.
+    Inside the lambdas of array functions Spark would compute it for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def softmax(margin: Column | str) -> Column:
     """Class probabilities of a margin array; the largest margin is subtracted first."""
-    m = _col(margin)
-    top = F.array_max(m)
-    powers = F.transform(m, lambda x: F.exp(x - top))
-    total = F.aggregate(powers, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(powers, lambda x: x / total)
+
+    def powers(m: Column) -> Column:
+        return bind(F.array_max(m), lambda top: F.transform(m, lambda x: F.exp(x - top)))
+
+    def shares(e: Column) -> Column:
+        total = F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x)
+        return bind(total, lambda t: F.transform(e, lambda x: x / t))
+
+    return bind(_col(margin), lambda m: bind(powers(m), shares))
+
+
+def with_softmax(df: DataFrame, margins: list[Column], output: str = "proba") -> DataFrame:
+    """Add the probabilities of margins that are separate expressions. Plain columns step
+    by step stay inside generated code, which array functions do not."""
+    k = range(len(margins))
+    top = F.greatest(*[F.col(f"_m{i}") for i in k]) if len(margins) > 1 else F.col("_m0")
+    steps = df.withColumns({f"_m{i}": m for i, m in enumerate(margins)}).withColumn("_top", top)
+    steps = steps.withColumns({f"_e{i}": F.exp(F.col(f"_m{i}") - F.col("_top")) for i in k})
+    total = F.col("_e0")
+    for i in k[1:]:
+        total = total + F.col(f"_e{i}")
+    proba = F.array(*[F.col(f"_e{i}") / F.col("_total") for i in k])
+    return steps.withColumn("_total", total).select(*df.columns, proba.alias(output))
 
 
 def argmax(values: Column | str) -> Column:
@@ -58,7 +84,10 @@ def row_log_loss(proba: Column | str, label: Column | str, eps: float = LOG_EPS)
 
 def margin_log_loss(margin: Column | str, label: Column | str) -> Column:
     """Log loss of one row straight from its margins, without a clip."""
-    m = _col(margin)
-    top = F.array_max(m)
-    total = F.aggregate(m, F.lit(0.0), lambda acc, x: acc + F.exp(x - top))
-    return F.ln(total) + top - F.get(m, _col(label))
+    y = _col(label)
+
+    def loss(m: Column, top: Column) -> Column:
+        total = F.aggregate(m, F.lit(0.0), lambda acc, x: acc + F.exp(x - top))
+        return F.ln(total) + top - F.get(m, y)
+
+    return bind(_col(margin), lambda m: bind(F.array_max(m), lambda top: loss(m, top)))

@@ -11,13 +11,8 @@ BROADCAST_ROWS = 100_000
 def bounded(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``small`` ready for a join: computed once and broadcast when it has at most
     ``max_rows`` rows, unchanged and left to the adaptive planner when it is larger."""
-    rows = small.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = small.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return small
     return F.broadcast(small.sparkSession.createDataFrame(rows, small.schema))
 
-
-def literal_array(values, element_type: str):
-    """Constant array column; one expression however long the list is."""
-    text = ",".join(str(v) for v in values)
-    return F.split(F.lit(text), ",").cast(f"array<{element_type}>")

@@ -37,19 +37,16 @@ def trial_shard(grid: DataFrame, start: int, count: int) -> DataFrame:
     return grid.where((F.col("trial") >= start) & (F.col("trial") < start + count))
 
 
-def assign_shards(grid: DataFrame, total: Column | int, workers: int) -> DataFrame:
+def assign_shards(grid: DataFrame, total: int, workers: int) -> DataFrame:
     """Contiguous shards of ``ceil(total / workers)`` trials; the last may be shorter and
     there may be fewer shards than workers."""
-    total = F.lit(total) if isinstance(total, int) else total
-    per = F.ceil(total / F.lit(workers))
+    per = max(1, -(-total // workers))
     return grid.withColumn("shard", F.floor(F.col("trial") / per).cast("int"))
 
 
 def shard_plan(trials: DataFrame, workers: int) -> DataFrame:
     """``(shard, trial_start, trial_count)`` of the trials given, numbered from 0."""
-    total = trials.agg(F.count("*").alias("_total"))
-    numbered = trials.join(F.broadcast(total))  # one row
-    shards = assign_shards(numbered, F.col("_total"), workers)
+    shards = assign_shards(trials, trials.count(), workers)
     return shards.groupBy("shard").agg(
         F.min("trial").alias("trial_start"), F.count("*").alias("trial_count")
     )

@@ -55,7 +55,7 @@ def auc_per_class(
         buckets = 1 if n <= RANK_ROWS else min(4096, 2 * n // RANK_ROWS + 1)
     rows = df.select(F.col(proba).alias("_proba"), F.col(label).alias("_label"))
     if buckets > 1:
-        edges = quantile_edges(rows, buckets, "_proba", tolerance=0.5 / buckets)
+        edges = quantile_edges(rows, buckets, "_proba", tolerance=2.0 / buckets)
         rows = bin_features(rows, edges_by_feature(edges, width), "_proba", "_bucket")
     else:
         rows = rows.withColumn("_bucket", F.array_repeat(F.lit(1).cast("tinyint"), width))

@@ -9,8 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.proba import softmax
-from ..session import cut_lineage
+from ..functions.proba import with_softmax
+from ..session import written
+from .blocks import lists, matrix
 
 # Nodes of an ensemble that travel to the executors at once (about 40 bytes each). A
 # larger ensemble is applied in several stages.
@@ -80,19 +81,26 @@ def forest_margins(x: np.ndarray, forest: Forest, n_class: int) -> np.ndarray:
     return out
 
 
-def margin_column(forest: Forest, n_class: int, n_features: int, features: Column | str) -> Column:
-    """Expression for the margins; only the feature column goes to Python."""
+def margin_column(
+    forest: Forest, n_class: int, n_features: int, features: str, before: str | None = None, last: bool = True
+) -> Column:
+    """Expression for the probabilities, or for the margins where more trees follow. Only
+    the feature column (and the margins ``before``) goes to Python."""
 
     @F.arrow_udf("array<double>")
-    def margins(column: pa.Array) -> pa.Array:
-        flat = column.flatten()
-        if len(flat) != len(column) * n_features or column.null_count:
+    def scored(*columns: pa.Array) -> pa.Array:
+        x = columns[0]
+        if x.null_count or len(x.flatten()) != len(x) * n_features:
             raise ValueError(f"every row needs {n_features} features")
-        x = flat.to_numpy(zero_copy_only=False).reshape(len(column), n_features)
-        m = forest_margins(x, forest, n_class)
-        return pa.ListArray.from_arrays(np.arange(0, m.size + 1, n_class, dtype=np.int32), m.ravel())
+        m = forest_margins(matrix(x, n_features), forest, n_class)
+        if len(columns) > 1:
+            m += matrix(columns[1], n_class)
+        if last:
+            m = np.exp(m - m.max(axis=1, keepdims=True))
+            m /= m.sum(axis=1, keepdims=True)
+        return lists(m)
 
-    return margins(features)
+    return scored(features) if before is None else scored(features, before)
 
 
 def _round_groups(nodes: DataFrame, max_nodes: int) -> list[tuple[int, int]]:
@@ -114,21 +122,19 @@ def score(
     """Add ``proba``. Thresholds compare raw features, so no edge table is needed.
 
     An ensemble of up to ``max_nodes`` nodes is applied in one narrow stage; a larger one
-    by groups of rounds, each in its own stage, with the margins checkpointed between.
+    by groups of rounds, each in its own stage, with the margins written out between.
     """
     groups = _round_groups(nodes, max_nodes)
     if not groups:
         raise ValueError("the model has no trees")
     for i, (first, last) in enumerate(groups):
-        step = margin_column(pack(nodes, first, last), n_class, n_features, "features")
-        if i == 0:
-            df = df.withColumn("_margin", step)
-        else:
-            both = F.zip_with("_margin", "_step", lambda a, b: a + b)
-            df = df.withColumn("_step", step).withColumn("_margin", both).drop("_step")
-        if i + 1 < len(groups):
-            df = cut_lineage(df)
-    return df.withColumn("proba", softmax("_margin")).drop("_margin")
+        final = i + 1 == len(groups)
+        forest = pack(nodes, first, last)
+        step = margin_column(forest, n_class, n_features, "features", "_margin" if i else None, final)
+        df = df.withColumn("proba" if final else "_margin", step)
+        if not final:
+            df, _ = written(df, "margins")
+    return df.drop("_margin")
 
 
 def score_native(df: DataFrame, nodes: DataFrame, n_class: int, max_nodes: int = 2000) -> DataFrame:
@@ -154,4 +160,4 @@ def score_native(df: DataFrame, nodes: DataFrame, n_class: int, max_nodes: int =
     margins = [F.lit(0.0)] * n_class
     for (_, k), tree in sorted(by_tree.items()):
         margins[k] = margins[k] + branch(tree, 0)
-    return df.withColumn("proba", softmax(F.array(*margins)))
+    return with_softmax(df, margins)

@@ -397,6 +397,7 @@ def q_boost_round(spark, sf):
     params = TrainParams(1, 2, 0.1, 1.0, 1.0, max_bins=HIST_BINS)
     (model,), rows = boost(prepared, [params], ["one"], evaluate=False)
     rows.unpersist()
+    prepared.release()
     return model.nodes.select(
         "class_id", "node_id", "is_leaf", "feature", "split_bin", F.round("threshold", 6).alias("threshold"),
         F.round("leaf_value", 6).alias("leaf_value"), F.round("gain", 3).alias("gain"), F.round("cover", 4).alias("cover"),
@@ -420,7 +421,7 @@ def q_score_native(spark, sf):
 
 def q_eval_curve(spark, sf):
     """Log loss per split after 0, 1 and 2 rounds of the fixed model."""
-    df = split.stratified_split(lineitem_y3(spark, sf), "row_id")
+    df = split.stratified_split(lineitem_y3(spark, sf), "row_id").persist()
     steps = []
     for rounds in range(3):
         if rounds:
@@ -464,7 +465,8 @@ def q_auc_per_class(spark, sf):
 
 def q_auc_ties(spark, sf):
     """A model of few leaves: hardly any distinct scores, ranked in buckets."""
-    return _auc(metrics.auc_per_class(fixed_scores(spark, sf), N_CLASS, buckets=16))
+    scored = fixed_scores(spark, sf).select("label", "proba").persist()
+    return _auc(metrics.auc_per_class(scored, N_CLASS, buckets=16))
 
 
 def q_auc_ovr_macro(spark, sf):

@@ -146,7 +146,7 @@ def run_search(
                     store.log_run(f"trial-{trial:02d}", asdict(params[trial]), metrics, model.curves, parent)
             store.append("trial_results", rows)
     finally:
-        prepared.blocks.unpersist()
+        prepared.release()
     results = store.read("trial_results").where(F.col("search_id") == search_id)
     best = best_of_shard(results, "shard").orderBy("shard").collect()
     if not best:

@@ -24,7 +24,7 @@ from ..operators.blocks import FIXED, lists, to_blocks, unpack, without_margin
 from ..operators.histogram import Grown, Pass, fixed_scale, node_histograms, positions
 from ..operators.sampling import sample_features
 from ..operators.splits import best_split, node_totals, split_gain
-from ..session import cut_lineage, new_path
+from ..session import new_path, remove, written
 from ..sources.store import SCHEMAS
 
 NODES = SCHEMAS["model_nodes"]
@@ -81,12 +81,20 @@ class Prepared:
     n_features: int
     n_train: int
     n_tasks: int
+    paths: list[str]
 
     @property
     def n_bins(self) -> int:
         """Bin numbers in use: 0 for missing values, one more than there are cuts."""
         return max(len(c) for c in self.cuts) + 2
 
+    def release(self) -> None:
+        """Give back the memory and delete the written blocks."""
+        self.blocks.unpersist()
+        for path in self.paths:
+            remove(self.blocks.sparkSession, path)
+        self.paths.clear()
+
 
 @dataclass
 class Model:
@@ -140,8 +148,9 @@ def prepare(df: DataFrame, max_bins: int = 64, tolerance: float | None = None) -
     n_bins = max(len(c) for c in cuts) + 2
     # Every pass reads this table, so it is written once: lost blocks come from here and
     # not from the raw input, and the plans of the rounds stay short.
-    blocks = cut_lineage(to_blocks(rows, seen.wide, n_bins)).persist(StorageLevel.MEMORY_AND_DISK)
-    return Prepared(blocks, edges, cuts, seen.k, seen.wide, seen.n, max(tasks, spread))
+    blocks, path = written(to_blocks(rows, seen.wide, n_bins), "blocks")
+    blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
+    return Prepared(blocks, edges, cuts, seen.k, seen.wide, seen.n, max(tasks, spread), [path])
 
 
 class _Round:
@@ -299,13 +308,11 @@ def boost(
     scale = fixed_scale(prepared.n_train)
     started = time.time()
     state = without_margin(prepared.blocks)
-    nodes, parts, curves = [], [], []
+    nodes, parts, curves, last_path = [], [], [], None
     for round_no in range(max(t.n_estimators for t in trials)):
         current = _Round(prepared, trials, round_no)
         current.grow(state.where("is_train"), scale)
         following = _advance(state, prepared, current.grown, current.leaf_array())
-        if (round_no + 1) % checkpoint_every == 0:
-            following = cut_lineage(following)
         following = following.persist(StorageLevel.MEMORY_AND_DISK)
         if evaluate:
             # Also fills the cache the next round reads.
@@ -316,6 +323,15 @@ def boost(
             following.write.format("noop").mode("overwrite").save()
         state.unpersist()
         state = following
+        if (round_no + 1) % checkpoint_every == 0:
+            saved, path = written(state, "margins")
+            state.unpersist()
+            state = saved.persist(StorageLevel.MEMORY_AND_DISK)
+            prepared.paths.append(path)
+            if last_path:
+                prepared.paths.remove(last_path)
+                remove(spark, last_path)
+            last_path = path
         nodes += current.nodes(model_ids)
         if len(nodes) > _FLUSH_NODES:
             parts.append(_write_nodes(spark, nodes))
@@ -360,5 +376,5 @@ def train(
         )
         state.unpersist()
     finally:
-        prepared.blocks.unpersist()
+        prepared.release()
     return model

@@ -50,12 +50,15 @@ class Store:
     def append(self, table: str, rows) -> None:
         """Add a DataFrame, or a list of tuples in schema order."""
         schema = T.StructType.fromDDL(SCHEMAS[table])
-        df = rows if isinstance(rows, DataFrame) else self.spark.createDataFrame(rows, schema)
+        if isinstance(rows, DataFrame):
+            df = rows
+        else:
+            df = self.spark.createDataFrame(rows, schema).coalesce(1)
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
         if table in _PARTITIONED:
             df.write.mode("append").partitionBy(_PARTITIONED[table]).parquet(self.path(table))
         else:
-            df.coalesce(1).write.mode("append").parquet(self.path(table))
+            df.write.mode("append").parquet(self.path(table))
 
     def read(self, table: str) -> DataFrame:
         """The whole table; empty before its first row."""

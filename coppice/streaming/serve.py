@@ -113,7 +113,7 @@ def score_current(
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         routes = weights() if weights else {f"models:/{name}@{CHAMPION}": 100}
-        routed = route(batch, key, routes)
+        routed = route(batch, key, routes).persist()
         parts = []
         for uri, percent in routes.items():
             if not percent:
@@ -127,6 +127,7 @@ def score_current(
         for p in parts[1:]:
             out = out.unionByName(p)
         out.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        routed.unpersist()
 
     writer = stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

@@ -54,7 +54,7 @@ def test_only_the_features_go_to_python(trained):
     df, model = trained
     plan = score_model(df, model)._jdf.queryExecution().executedPlan().toString()
     above_cache = plan.split("InMemoryTableScan")[0]
-    assert "ArrowEvalPython [margins(features" in above_cache and "Exchange" not in above_cache
+    assert "ArrowEvalPython [scored(features" in above_cache and "Exchange" not in above_cache
 
 
 def test_rows_of_another_width_raise(spark, trained):
