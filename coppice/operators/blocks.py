@@ -112,5 +112,7 @@ def from_blocks(blocks: DataFrame, n_trees: int) -> DataFrame:
 
 
 def without_margin(blocks: DataFrame) -> DataFrame:
-    """Blocks as they are before round 0."""
-    return blocks.select(*FIXED, F.lit(bytearray()).alias("margin"))
+    """Blocks as they are before round 0: no margins, no losses yet."""
+    return blocks.select(
+        *FIXED, F.lit(bytearray()).alias("margin"), F.array().cast("array<double>").alias("loss")
+    )

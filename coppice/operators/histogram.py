@@ -23,8 +23,8 @@ from ..functions.hashing import PRIME
 from ..functions.proba import MIN_HESSIAN
 from .blocks import unpack
 
-# Above this number of tasks the cells are shuffled by their full key.
-MANY_TASKS = 1000
+# Most partial cells of one node that a single reducer gets.
+NODE_CELLS = 4_000_000
 CELLS = T.StructType(
     [T.StructField(c, T.IntegerType()) for c in ("tree", "node", "feature", "bin")]
     + [T.StructField(c, T.LongType()) for c in ("g", "h")]
@@ -153,15 +153,17 @@ def node_histograms(blocks: DataFrame, todo: Pass, n_tasks: int = 1) -> DataFram
 
     The margins of a block are those of the classes of trial 0, of trial 1, and so on.
     Memory of a task is bounded by the number of wanted nodes, which the caller limits.
-    Sums inside a block are exact: they stay far below 2^53. Each task emits a cell at most once, so cells are
-    shuffled by the key of the split search and summed there. With very many tasks they
-    are summed by the full cell key first, which spreads the work more.
+    Sums inside a block are exact: they stay far below 2^53.
+
+    Each task emits a cell at most once. While that is little in all, the cells are
+    shuffled by node, which also is the key of the split search. Otherwise they are
+    summed by the full cell key first, which spreads the work.
     """
     cells = blocks.select("bins", "margin", "label", "row_hash").mapInArrow(
         lambda batches: _task_cells(batches, todo), CELLS
     )
-    if n_tasks <= MANY_TASKS:
-        cells = cells.repartition("tree", "node", "feature")
+    if n_tasks * todo.n_features * todo.n_bins <= NODE_CELLS:
+        cells = cells.repartition("tree", "node")
     return cells.groupBy("tree", "node", "feature", "bin").agg(
         F.sum("g").alias("g"), F.sum("h").alias("h")
     )

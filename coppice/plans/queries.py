@@ -395,7 +395,7 @@ def q_boost_round(spark, sf):
     df = split.stratified_split(lineitem_y3(spark, sf), "row_id")
     prepared = prepare(df, HIST_BINS, tolerance=0.0)
     params = TrainParams(1, 2, 0.1, 1.0, 1.0, max_bins=HIST_BINS)
-    (model,), rows = boost(prepared, [params], ["one"], evaluate=False)
+    (model,), rows = boost(prepared, [params], ["one"])
     rows.unpersist()
     prepared.release()
     return model.nodes.select(

@@ -3,7 +3,8 @@
 One boosting round grows one tree per class, level by level. A level is one pass over
 the rows (partial histograms per task, summed by Spark), a split search on the summed
 cells, and a handful of rows on the driver: the chosen splits. Several trials of a
-search share every pass. Between rounds only the margins of the rows change.
+search share every pass. Between rounds only the margins of the rows change; the first
+pass of the next round computes them. Losses are kept per block and read now and then.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.hashing import round_coefficients, row_hash, sample_cutoff
 from ..operators.binning import bin_features, edges_by_feature, quantile_edges
@@ -33,6 +35,9 @@ CURVES = "model_id STRING, step INT, train_mlogloss DOUBLE, test_mlogloss DOUBLE
 # Most histogram cells one pass asks of a task (two BIGINT each); wider levels take
 # several passes.
 MAX_CELLS = 8_000_000
+_STEP = T.StructType(
+    [T.StructField("margin", T.BinaryType()), T.StructField("loss", T.ArrayType(T.DoubleType()))]
+)
 # Most training rows of one partition of the blocks.
 TASK_ROWS = 2_000_000
 # Node rows kept on the driver before they are written out.
@@ -259,10 +264,11 @@ class _Round:
 
 
 def _advance(blocks: DataFrame, prepared: Prepared, grown: Grown, leaf: np.ndarray) -> DataFrame:
-    """Blocks with the new trees added to their margins, and their summed log loss per trial."""
+    """Blocks with the new trees added to their margins, and the summed log loss of each
+    trial appended to their history."""
     n_features, n_bins, n_class, n_trees = prepared.n_features, prepared.n_bins, prepared.n_class, len(leaf)
 
-    @F.arrow_udf("margin binary, loss array<double>")
+    @F.arrow_udf(_STEP)
     def stepped(bins: pa.Array, label: pa.Array, row_hash: pa.Array, margin: pa.Array) -> pa.Array:
         columns = {"bins": bins, "label": label, "row_hash": row_hash, "margin": margin}
         margins, losses = [], []
@@ -281,15 +287,16 @@ def _advance(blocks: DataFrame, prepared: Prepared, grown: Grown, leaf: np.ndarr
         )
 
     step = blocks.withColumn("_step", stepped("bins", "label", "row_hash", "margin"))
-    return step.select(*FIXED, "_step.margin", "_step.loss")
+    history = F.concat("loss", "_step.loss").alias("loss")
+    return step.select(*FIXED, F.col("_step.margin").alias("margin"), history)
 
 
-def curve_of(blocks: DataFrame, n_trials: int) -> list[tuple[float, float]]:
-    """``(train, test)`` log loss of each trial: one job for both splits."""
-    losses = [(F.sum(F.get("loss", F.lit(t))) / F.sum("n")).alias(f"t{t}") for t in range(n_trials)]
-    got = {r.is_train: r for r in blocks.groupBy("is_train").agg(*losses).collect()}
-    side = lambda flag, t: got[flag][f"t{t}"] if flag in got else None
-    return [(side(True, t), side(False, t)) for t in range(n_trials)]
+def losses_of(blocks: DataFrame, n_steps: int) -> list[tuple[float, float]]:
+    """``(train, test)`` log loss of each entry of the loss history: one job for all."""
+    means = [(F.sum(F.get("loss", F.lit(i))) / F.sum("n")).alias(f"s{i}") for i in range(n_steps)]
+    got = {r.is_train: r for r in blocks.groupBy("is_train").agg(*means).collect()}
+    side = lambda flag, i: got[flag][f"s{i}"] if flag in got else None
+    return [(side(True, i), side(False, i)) for i in range(n_steps)]
 
 
 def boost(
@@ -297,7 +304,6 @@ def boost(
     trials: list[TrainParams],
     model_ids: list[str],
     checkpoint_every: int = 10,
-    evaluate: bool = True,
 ) -> tuple[list[Model], DataFrame]:
     """Train all trials at once. Returns the models and the blocks with their final margins
     (``n_class`` entries per trial), persisted."""
@@ -308,34 +314,41 @@ def boost(
     scale = fixed_scale(prepared.n_train)
     started = time.time()
     state = without_margin(prepared.blocks)
-    nodes, parts, curves, last_path = [], [], [], None
-    for round_no in range(max(t.n_estimators for t in trials)):
+    nodes, parts, curves = [], [], []
+    before, unread, last_path = None, 0, None
+    rounds = max(t.n_estimators for t in trials)
+    for round_no in range(rounds):
         current = _Round(prepared, trials, round_no)
         current.grow(state.where("is_train"), scale)
-        following = _advance(state, prepared, current.grown, current.leaf_array())
-        following = following.persist(StorageLevel.MEMORY_AND_DISK)
-        if evaluate:
-            # Also fills the cache the next round reads.
-            for t, (train, test) in enumerate(curve_of(following, len(trials))):
-                if round_no < trials[t].n_estimators:
-                    curves.append((model_ids[t], round_no, train, test))
-        else:
-            following.write.format("noop").mode("overwrite").save()
-        state.unpersist()
-        state = following
-        if (round_no + 1) % checkpoint_every == 0:
-            saved, path = written(state, "margins")
+        if before is not None:
+            # The first pass of the round has filled the cache of ``state``.
+            before.unpersist()
+        before, state = state, _advance(state, prepared, current.grown, current.leaf_array())
+        state = state.persist(StorageLevel.MEMORY_AND_DISK)
+        nodes += current.nodes(model_ids)
+        if len(nodes) > _FLUSH_NODES:
+            parts.append(_write_nodes(spark, nodes))
+            nodes = []
+        unread += 1
+        last = round_no + 1 == rounds
+        if last or (round_no + 1) % checkpoint_every == 0:
+            for i, (train, test) in enumerate(losses_of(state, unread * len(trials))):
+                step, t = round_no + 1 - unread + i // len(trials), i % len(trials)
+                if step < trials[t].n_estimators:
+                    curves.append((model_ids[t], step, train, test))
+            unread = 0
+            before.unpersist()
+            before = None
+        if not last and (round_no + 1) % checkpoint_every == 0:
+            saved, path = written(state.drop("loss"), "margins")
             state.unpersist()
-            state = saved.persist(StorageLevel.MEMORY_AND_DISK)
+            state = saved.withColumn("loss", F.array().cast("array<double>"))
             prepared.paths.append(path)
             if last_path:
                 prepared.paths.remove(last_path)
                 remove(spark, last_path)
             last_path = path
-        nodes += current.nodes(model_ids)
-        if len(nodes) > _FLUSH_NODES:
-            parts.append(_write_nodes(spark, nodes))
-            nodes = []
+            state = state.persist(StorageLevel.MEMORY_AND_DISK)
     seconds = time.time() - started
     table = spark.createDataFrame(nodes, NODES)
     for path in parts:
@@ -365,15 +378,12 @@ def train(
     params: TrainParams = TrainParams(),
     model_id: str | None = None,
     tolerance: float | None = None,
-    evaluate: bool = True,
 ) -> Model:
     """Train one model on ``row_id, features, label, split``."""
     params.validate()
     prepared = prepare(df, params.max_bins, tolerance)
     try:
-        (model,), state = boost(
-            prepared, [params], [model_id or uuid.uuid4().hex], evaluate=evaluate
-        )
+        (model,), state = boost(prepared, [params], [model_id or uuid.uuid4().hex])
         state.unpersist()
     finally:
         prepared.release()
