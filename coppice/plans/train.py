@@ -120,7 +120,8 @@ def prepare(df: DataFrame, max_bins: int = 64, tolerance: float | None = None) -
     """Bin ``row_id, features, label, split`` by the quantiles of the training rows and
     persist the result. Rows of other splits are binned with the same edges."""
     train = df.where("split = 'train'")
-    seen = train.agg(
+    seen = train.withColumn("_task", F.spark_partition_id()).agg(
+        F.max("_task").alias("last_task"),
         F.count("*").alias("n"),
         F.count("label").alias("labelled"),
         F.min("label").alias("low"),
@@ -147,7 +148,7 @@ def prepare(df: DataFrame, max_bins: int = 64, tolerance: float | None = None) -
     )
     rows = bin_features(known, cuts).drop("features")
     spread = max(df.sparkSession.sparkContext.defaultParallelism, -(-seen.n // TASK_ROWS))
-    tasks = rows.rdd.getNumPartitions()
+    tasks = seen.last_task + 1
     if tasks < spread:
         rows = rows.repartition(spread, "row_hash")
     n_bins = max(len(c) for c in cuts) + 2
