@@ -2,17 +2,41 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .byte_bpe import decode, encode
 from .common import table
 from .ngram_join import ngram_join
+from .token_counts import token_counts
 
 
 def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join(table(spark, sf, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts(table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
+
+
+def op5_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Encodes and decodes; the digests are derived from the ids and the decoded bytes."""
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    both = decode(encode(docs, path, pattern), path, pattern)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded_bytes", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op3_token_counts": op3_token_counts,
+    "op5_byte_bpe": op5_byte_bpe,
 }
 ORACLES: dict[str, str] = {}
