@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from .byte_bpe import decode, encode
 from .common import table
+from .kk_shards import kk_shards
+from .license_scan import license_scan
 from .ngram_join import ngram_join
+from .quality_gam import quality_scores
 from .token_counts import token_counts
 
 
@@ -34,9 +37,38 @@ def op5_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op6_quality_gam(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op8_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Places of the phrases, the labels, and the share of a text's words inside license wording."""
+    found = license_scan(table(spark, sf, "documents"))
+    base = F.filter("matches", lambda m: m["phrase"])
+    starts = F.transform(base, lambda m: m["first"])
+    names = lambda m: F.array_join(F.array_sort(F.array_distinct(F.transform(m, lambda x: x["label"]))), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        names(base).alias("base_labels"),
+        names(F.col("matches")).alias("labels"),
+        (F.col("covered") / F.greatest("n_words", F.lit(1))).alias("score"),
+    )
+
+
+def op9_kk_shards(spark: SparkSession, sf: str) -> DataFrame:
+    return kk_shards(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op3_token_counts": op3_token_counts,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_quality_gam": op6_quality_gam,
+    "op8_license_scan": op8_license_scan,
+    "op9_kk_shards": op9_kk_shards,
 }
 ORACLES: dict[str, str] = {}
