@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .byte_bpe import decode, encode
 from .common import table
+from .html_extract import extract_text
 from .kk_shards import kk_shards
 from .license_scan import license_scan
 from .ngram_join import ngram_join
@@ -63,6 +64,10 @@ def op9_kk_shards(spark: SparkSession, sf: str) -> DataFrame:
     return kk_shards(table(spark, sf, "documents"))
 
 
+def op10_html_extract(spark: SparkSession, sf: str) -> DataFrame:
+    return extract_text(table(spark, sf, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op3_token_counts": op3_token_counts,
@@ -70,5 +75,6 @@ QUERIES = {
     "op6_quality_gam": op6_quality_gam,
     "op8_license_scan": op8_license_scan,
     "op9_kk_shards": op9_kk_shards,
+    "op10_html_extract": op10_html_extract,
 }
 ORACLES: dict[str, str] = {}
