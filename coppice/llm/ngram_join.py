@@ -12,10 +12,12 @@ band in which a partner may probe: each segment's content, and the one-deletion
 those long enough to be asked for.
 
 Hot groups. Equal sets have one class id, a hash of the set, and meet as one. Sets under one
-signature are not paired with each other but with one of them; pairs are verified on the whole
-sets and give components. Only where a signature still holds several components are their cross
-pairs looked at, and of those only pairs that pass exact lower bounds on the difference (sizes and
-a vector of shingle counts) are emitted; a signature with many members is dealt out in blocks.
+signature are not paired with each other but with one of them, the one that shares signatures with
+most other sets: of a text and its edited copies that is the text itself. Pairs are verified on the
+whole sets and give components. Only where a signature still holds several components are their
+cross pairs looked at, and of those only pairs that pass exact lower bounds on the difference (of
+sizes, and of parities of the shingles in hashed cells) are emitted; a signature with many members
+is dealt out in blocks.
 
 Rows: a NULL or empty text, or one without words, has an empty set and links with nothing.
 Repeated ids and NULL ids keep one row each; the component id is the least id that is not NULL.
@@ -35,8 +37,6 @@ from ..session import written
 from .common import U, mix, sets_of_shingles, slices, text_of
 from .components import components
 
-# Cells of the count vector that bounds set differences from below.
-COUNTS = 32
 # Least content size at which a segment may get the allowance 2.
 DELETION_SIZE = 9
 # Postings that one bucket holds on average.
@@ -66,8 +66,27 @@ def class_id(s: np.ndarray) -> np.int64:
     return h.view(np.int64) if h else np.int64(1)
 
 
-def counts_of(s: np.ndarray) -> bytes:
-    return np.bincount((s >> U(64 - 5)).astype(np.int64), minlength=COUNTS).astype(np.int32).tobytes()
+def parities(s: np.ndarray) -> bytes:
+    """Whether each hashed cell holds an odd number of shingles, as bits; two to four cells for each
+    shingle, a power of two. Sets that differ in ``d`` shingles differ in at most ``d`` bits."""
+    cells = 64
+    while cells < 2 * len(s):
+        cells *= 2
+    odd = np.bincount((s & U(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def fold(bits: np.ndarray, width: int) -> np.ndarray:
+    """Rows of bit words brought to ``width`` words: what the smaller number of cells gives."""
+    while bits.shape[-1] > width:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
+def bits_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    width = min(a.shape[-1], b.shape[-1])
+    return np.bitwise_count(fold(a, width) ^ fold(b, width)).sum(-1, dtype=np.int64)
 
 
 def _segments(tokens: np.ndarray, doc: np.ndarray, n_docs: int, band: int, m: int):
@@ -137,7 +156,7 @@ def _describe(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
                     part.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([class_id(s) for s in sets], pa.int64()),
-                    pa.array([counts_of(s) for s in sets], pa.binary()),
+                    pa.array([parities(s) for s in sets], pa.binary()),
                 ],
                 ["id", "n_shingles", "cls", "cells"],
             )
@@ -146,7 +165,7 @@ def _describe(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
 def _postings(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, buckets: int):
     """Postings dealt by signature; one packed row per bucket and slice."""
     for batch in batches:
-        for part in slices(batch, "text", 8 << 20):
+        for part in slices(batch, "text", 4 << 20):
             unique = {}
             for s in sets_of_shingles(text_of(part.column(1)), n):
                 unique.setdefault(int(class_id(s)), s)
@@ -168,8 +187,8 @@ def _postings(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, buc
 
 
 def _meet(key, group):
-    """Of one bucket: for each signature with several sets and a probe the pairs of one set with the
-    others (run -1), and the members of signatures with more than two sets."""
+    """Of one bucket: the pairs (run -1) that have a signature to themselves, and the members of
+    signatures with more sets, each with their number. Signatures without a probe are left out."""
     who = np.frombuffer(b"".join(group.column("who").to_pylist()), np.int64)
     value = np.frombuffer(b"".join(group.column("value").to_pylist()), np.uint32)
     sig, flag = value >> np.uint32(2), (value & np.uint32(3)).astype(np.uint8)
@@ -181,45 +200,46 @@ def _meet(key, group):
     sig, who = sig[new], who[new]
     heads = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
     size = np.diff(np.concatenate([heads, [len(sig)]]))
-    far = len(sig)
-    pos = np.arange(far)
-    best = np.minimum.reduceat(np.where(probe & whole, pos, far), heads)
-    any_whole = np.minimum.reduceat(np.where(whole, pos, far), heads)
-    has_probe = np.logical_or.reduceat(probe, heads)
-    hub = np.where(best < far, best, any_whole)
-    run = np.repeat(np.arange(len(heads)), size)
-    live = ((size > 1) & has_probe & (hub < far))[run]
-    spoke = np.flatnonzero(live & (pos != hub[run]))
-    a, b = who[hub[run[spoke]]], who[spoke]
-    many = np.flatnonzero(live & (size > 2)[run])
-    name = np.int64(key[0].as_py()) << np.int64(30)
+    live = (size > 1) & np.logical_or.reduceat(probe, heads) & np.logical_or.reduceat(whole, heads)
+    pair, many = heads[live & (size == 2)], np.repeat(live & (size > 2), size)
+    run = (np.int64(key[0].as_py()) << np.int64(30)) | sig[many].astype(np.int64)
     return pa.table(
         {
-            "run": pa.array(np.concatenate([np.full(len(spoke), -1, np.int64), name | sig[many].astype(np.int64)])),
-            "a": pa.array(np.concatenate([np.minimum(a, b), who[many]])),
-            "b": pa.array(np.concatenate([np.maximum(a, b), who[many]])),
+            "run": pa.array(np.concatenate([np.full(len(pair), -1, np.int64), run])),
+            "a": pa.array(np.concatenate([who[pair], who[many]])),
+            "b": pa.array(np.concatenate([who[pair + 1], np.repeat(size, size)[many]])),
         }
     )
 
 
-def _close(a: pa.Table, b: pa.Table | None, num: int, den: int):
-    """Index pairs of two blocks of one run, or within one, of different components, that the
-    bounds leave."""
-    read = lambda t: (
-        t.column("cls").to_numpy(), t.column("comp").to_numpy(), t.column("n_shingles").to_numpy(),
-        np.frombuffer(b"".join(t.column("cells").to_pylist()), np.int32).reshape(-1, COUNTS),
-    )
-    (ca, pa_, na, va), (cb, pb, nb, vb) = read(a), read(b if b is not None else a)
+def _close(group, first: np.ndarray, second: np.ndarray | None, num: int, den: int):
+    """Pairs of two blocks of one run, or within one, of different components, that the bounds
+    leave. The block whose rows are walked leaves its commonest component out where it can."""
+    cls, comp = group.column("cls").to_numpy(), group.column("comp").to_numpy()
+    size = group.column("n_shingles").to_numpy()
+    raw = group.column("cells").to_pylist()
+    width = np.array([len(r) for r in raw])
+    words_of = {
+        w: (np.flatnonzero(width == w), np.frombuffer(b"".join(r for r in raw if len(r) == w), np.uint64).reshape(-1, w // 8))
+        for w in np.unique(width)
+    }
+    walk, other = first, np.ones(len(cls), bool)
+    if second is not None:
+        other = np.zeros(len(cls), bool)
+        other[second] = True
+    else:
+        names, counts = np.unique(comp, return_counts=True)
+        walk = first[comp[first] != names[np.argmax(counts)]]
     out = []
-    for i in range(len(ca)):
-        total = na[i] + nb
-        ok = np.flatnonzero((pa_[i] != pb) & (np.abs(na[i] - nb) * (den + num) <= total * (den - num)))
-        if b is None:
-            ok = ok[ok > i]
-        if len(ok):
-            differ = np.abs(vb[ok] - va[i]).sum(1)
-            ok = ok[differ * (den + num) <= total[ok] * (den - num)]
-            out += [(min(ca[i], c), max(ca[i], c)) for c in cb[ok]]
+    for i in walk:
+        mine = np.frombuffer(raw[i], np.uint64)
+        for rows, bits in words_of.values():
+            total = size[i] + size[rows]
+            ok = other[rows] & (comp[rows] != comp[i]) & (np.abs(size[rows] - size[i]) * (den + num) <= total * (den - num))
+            if ok.any():
+                at = np.flatnonzero(ok)
+                at = at[bits_apart(bits[at], mine) * (den + num) <= total[at] * (den - num)]
+                out += [(min(cls[i], c), max(cls[i], c)) for c in cls[rows[at]]]
     return out
 
 
@@ -227,9 +247,8 @@ def _cross(key, group, num, den):
     """Cross pairs of one block, or of one pair of blocks, of a run."""
     _, i, j = (k.as_py() for k in key)
     block = group.column("block").to_numpy()
-    pairs = _close(group, None, num, den) if i == j else _close(
-        group.filter(pa.array(block == i)), group.filter(pa.array(block == j)), num, den
-    )
+    first, second = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    pairs = sorted(set(_close(group, first, None if i == j else second, num, den)))
     return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
 
 
@@ -266,9 +285,11 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, num
         for batch in batches:
             c = {k: batch.column(i) for i, k in enumerate(batch.schema.names)}
             total = c["na"].to_numpy() + c["nb"].to_numpy()
-            va, vb = (np.frombuffer(b"".join(c[k].to_pylist()), np.int32).reshape(-1, COUNTS) for k in ("va", "vb"))
-            differ = np.abs(va - vb).sum(1) if len(total) else total
-            ok = pa.array(differ * (den + num) <= total * (den - num))
+            near = np.abs(c["na"].to_numpy() - c["nb"].to_numpy()) * (den + num) <= total * (den - num)
+            for k in np.flatnonzero(near):
+                x, y = (np.frombuffer(c[v][int(k)].as_buffer(), np.uint64) for v in ("va", "vb"))
+                near[k] = bits_apart(x, y) * (den + num) <= total[k] * (den - num)
+            ok = pa.array(near)
             yield pa.RecordBatch.from_arrays([c["a"], c["b"]], ["a", "b"]).filter(ok)
 
     left = pairs.distinct().join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "va", "vb")
@@ -285,6 +306,17 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, num
     return written(links, "links")[0]
 
 
+def _first_pairs(met: DataFrame) -> DataFrame:
+    """Pairs with a signature to themselves, and of every other signature its members with the one
+    among them that meets most other sets."""
+    runs = met.where("run >= 0").select("run", F.col("a").alias("cls"), F.col("b").alias("size"))
+    weight = runs.groupBy("cls").agg(F.sum("size").alias("weight"))
+    hubs = runs.join(weight, "cls").groupBy("run").agg(F.max(F.struct("weight", "cls"))["cls"].alias("hub"))
+    spokes = runs.join(hubs, "run").where("cls != hub")
+    spokes = spokes.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b"))
+    return met.where("run < 0").select("a", "b").union(spokes)
+
+
 def _second_pairs(runs: DataFrame, comp: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of different components under one signature, block by block."""
     known = runs.join(comp, F.col("a") == comp["node"], "left").select(
@@ -331,7 +363,7 @@ def ngram_join(
         lambda it: _postings(it, n, num, den, buckets), "bucket long, who binary, value binary"
     ).groupBy("bucket").applyInArrow(_meet, "run long, a long, b long")
     met, _ = written(met, "met")
-    first = _verified(met.where("run < 0").select("a", "b"), classes, docs, n, num, den)
+    first = _verified(_first_pairs(met), classes, docs, n, num, den)
     comp = components(first)
     second = _verified(_second_pairs(met.where("run >= 0"), comp, classes, num, den), classes, docs, n, num, den)
     comp = components(first.union(second))
