@@ -8,23 +8,40 @@ from pyspark.sql import functions as F
 
 from .byte_bpe import decode, encode
 from .common import table
+from .decontaminate import leaks
 from .html_extract import extract_text
 from .kk_shards import kk_shards
 from .license_scan import license_scan
 from .ngram_join import ngram_join
+from .pii import pseudonymise
 from .quality_gam import quality_scores
+from .quality_mcd import quality_rules
 from .token_counts import token_counts
 
+# The queries' key for pseudonyms; a job passes its own.
+PII_KEY = "coppice"
+
 
 def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join(table(spark, sf, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf: str, key: str = PII_KEY) -> DataFrame:
+    """Every document with its text rewritten, and how many places of which kinds were changed."""
+    found = pseudonymise(table(spark, sf, "documents").select("doc_id", "text"), key)
+    kinds = F.array_join(F.array_sort(F.array_distinct(F.transform("pii", lambda p: p["kind"]))), ",")
+    return found.select("doc_id", "text", F.size("pii").cast("long").alias("n_pii"), kinds.alias("kinds"))
+
+
 def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts(table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Encodes and decodes; the digests are derived from the ids and the decoded bytes."""
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -42,6 +59,10 @@ def op6_quality_gam(spark: SparkSession, sf: str) -> DataFrame:
     return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op7_quality_mcd(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_rules(table(spark, sf, "documents")).drop("distance")
+
+
 def op8_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Places of the phrases, the labels, and the share of a text's words inside license wording."""
     found = license_scan(table(spark, sf, "documents"))
@@ -70,9 +91,12 @@ def op10_html_extract(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_pii": op2_pii,
     "op3_token_counts": op3_token_counts,
+    "op4_decontaminate": op4_decontaminate,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_quality_gam": op6_quality_gam,
+    "op7_quality_mcd": op7_quality_mcd,
     "op8_license_scan": op8_license_scan,
     "op9_kk_shards": op9_kk_shards,
     "op10_html_extract": op10_html_extract,
