@@ -175,7 +175,7 @@ def _postings(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, buc
             value = (((key & U(0x3FFFFFFF)) << U(2)) | flag).astype(np.uint32)[order]
             who, bucket = who[order], bucket[order]
             heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else []
-            ends = [*heads[1:], len(bucket)]
+            ends = [*heads[1:], len(bucket)] if len(bucket) else []
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([bucket[h] for h in heads], pa.int64()),

@@ -72,7 +72,7 @@ class MergeTable:
         out = size.copy()
         sym = self.byte[np.frombuffer(b"".join(pieces), np.uint8)]
         seq = np.repeat(np.arange(len(pieces)), size)
-        while len(sym) > 1:
+        while len(sym):
             rank = self.ranks(sym[:-1], sym[1:])
             rank[seq[:-1] != seq[1:]] = _NONE
             heads = np.flatnonzero(np.concatenate([[True], seq[1:] != seq[:-1]]))
