@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 EDGE_SCHEMA = "feature INT, bin INT, upper DOUBLE"
 _FIRST_PASS = 4096
 _NEXT_PASS = 64
-_MAX_PASSES = 12
+# Natural logarithm of the smallest positive double, rounded away from 0.
+_LEAST_LOG = 745.0
 
 
 def long_values(df: DataFrame, features: str = "features") -> DataFrame:
@@ -31,11 +32,32 @@ def long_values(df: DataFrame, features: str = "features") -> DataFrame:
     )
 
 
-def _bucket(parts: int):
-    """Interval of a value between ``lo`` and ``hi``; the width is 0 for a single value."""
-    width = F.col("hi") - F.col("lo")
-    place = F.floor((F.col("value") - F.col("lo")) / F.when(width > 0, width) * parts)
-    return F.coalesce(F.least(place, F.lit(parts - 1)), F.lit(0)).cast("int")
+def _place(value, lo, hi, parts: int):
+    """Which of ``parts`` equal steps from ``lo`` to ``hi`` a value is in. Halves keep the width of
+    any finite interval finite; the ends always fall into different steps."""
+    width = hi / 2 - lo / 2
+    place = F.floor((value / 2 - lo / 2) / F.when(width > 0, width) * parts)
+    last = F.lit(parts - 1)
+    return F.when(value >= hi, last).otherwise(F.coalesce(F.greatest(F.lit(0), F.least(place, last)), F.lit(0))).cast("int")
+
+
+def _magnitude(value):
+    """A growing function of any finite number that spreads orders of magnitude evenly."""
+    return F.when(value == 0, F.lit(0.0)).otherwise(F.signum(value) * (F.log(F.abs(value)) + _LEAST_LOG))
+
+
+def _bucket(parts: int, by_magnitude: bool):
+    """Interval of a value between ``lo`` and ``hi``. Infinite values have intervals of their own."""
+    value, lo, hi = F.col("value"), F.col("lo"), F.col("hi")
+    place = _place(value, lo, hi, parts)
+    if by_magnitude:
+        low, high = _magnitude(lo), _magnitude(hi)
+        place = F.when(low < high, F.when(value == lo, F.lit(0)).otherwise(_place(_magnitude(value), low, high, parts))).otherwise(place)
+        place = F.when(value >= hi, F.lit(parts - 1)).otherwise(place)
+    return F.when(value == -_INF, F.lit(-1)).when(value == _INF, F.lit(parts)).otherwise(place)
+
+
+_INF = float("inf")
 
 
 def quantile_edges(
@@ -49,11 +71,13 @@ def quantile_edges(
     """
     spark = df.sparkSession
     values = long_values(df, features)
+    finite = F.when(F.abs("value") < _INF, F.col("value"))
     stats = values.groupBy("feature").agg(
-        F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
+        F.count("*").alias("n"), F.min(finite).alias("lo"), F.max(finite).alias("hi"),
+        F.min("value").alias("least"), F.max("value").alias("most"),
     ).collect()
     total = {r.feature: r.n for r in stats}
-    lowest = {r.feature: r.lo for r in stats}
+    lowest = {r.feature: r.least for r in stats}
     edges: dict[int, set[float]] = {r.feature: set() for r in stats}
 
     # Open intervals: path -> (feature, ranks wanted inside, rows before the interval).
@@ -61,16 +85,18 @@ def quantile_edges(
     bounds = []
     for path, r in enumerate(sorted(stats)):
         ranks = sorted({-(-j * r.n // max_bins) for j in range(1, max_bins)} - {0})
-        if ranks and r.lo < r.hi:
+        if ranks and r.least < r.most:
+            lo, hi = (0.0, 0.0) if r.lo is None else (float(r.lo), float(r.hi))
             open_[path] = (r.feature, ranks, 0)
-            bounds.append((r.feature, path, float(r.lo), float(r.hi)))
+            bounds.append((r.feature, path, lo, hi))
 
     current = None
-    parts = _FIRST_PASS
-    for _ in range(_MAX_PASSES):
-        if not open_:
-            break
-        current = _enter(spark, values, current, bounds, parts)
+    parts, by_magnitude = _FIRST_PASS, False
+    # Every pass parts the ends of an open interval, so each ends; equal steps and steps of equal
+    # magnitude take turns, which settles narrow and wide ranges in a few passes.
+    while open_:
+        current = _enter(spark, values, current, bounds, parts, by_magnitude)
+        by_magnitude = not by_magnitude
         cells = current.groupBy("path", "bucket").agg(
             F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
         ).collect()
@@ -95,9 +121,6 @@ def quantile_edges(
                         path += 1
                 before += c.n
         open_, parts = todo, _NEXT_PASS
-    for feature, ranks, _before in open_.values():
-        raise RuntimeError(f"quantiles of feature {feature} did not settle: ranks {ranks[:3]}")
-
     rows = []
     for feature, found in edges.items():
         kept = sorted(v for v in found if v > lowest[feature])
@@ -105,7 +128,9 @@ def quantile_edges(
     return spark.createDataFrame(rows, EDGE_SCHEMA)
 
 
-def _enter(spark: SparkSession, values: DataFrame, current, bounds: list, parts: int) -> DataFrame:
+def _enter(
+    spark: SparkSession, values: DataFrame, current, bounds: list, parts: int, by_magnitude: bool
+) -> DataFrame:
     """Rows inside the open intervals, with ``path`` and ``bucket``. The intervals are at
     most ``max_bins`` per feature, so their table is broadcast."""
     if current is None:
@@ -117,7 +142,7 @@ def _enter(spark: SparkSession, values: DataFrame, current, bounds: list, parts:
         )
         rows = current.join(F.broadcast(table), ["path", "bucket"]).drop("path", "bucket")
         rows = rows.withColumnRenamed("next", "path")
-    return rows.select("path", "value", _bucket(parts).alias("bucket"))
+    return rows.select("path", "value", _bucket(parts, by_magnitude).alias("bucket"))
 
 
 def edges_by_feature(edges: DataFrame, n_features: int) -> list[list[float]]:

@@ -125,7 +125,8 @@ def _task_cells(batches: Iterator[pa.RecordBatch], todo: Pass) -> Iterator[pa.Re
                 used = np.flatnonzero(slot >= 0)
                 pk = p[used, t - first]
                 g = np.rint((pk - (y[used] == t - first)) * todo.scale)
-                h = np.rint(np.maximum(pk * (1 - pk), MIN_HESSIAN) * todo.scale)
+                # The floor holds after scaling: a second derivative is at least one unit.
+                h = np.maximum(np.rint(np.maximum(pk * (1 - pk), MIN_HESSIAN) * todo.scale), 1)
                 base = slot[used] * todo.n_bins
                 size = g_sum[t].shape[1]
                 for i, f in enumerate(todo.features[t]):

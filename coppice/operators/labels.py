@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.small import bounded
-
 
 def shift_label(df: DataFrame, label: str = "label", by: int = 1) -> DataFrame:
     """Labels that start at ``by`` to labels that start at 0."""
@@ -22,7 +20,7 @@ def class_index(df: DataFrame, label: str = "label") -> DataFrame:
 
 def index_labels(df: DataFrame, label: str = "label") -> DataFrame:
     """Add the dense ``class_id`` of any kind of label."""
-    return df.join(bounded(class_index(df, label)), label, "left")
+    return df.join(class_index(df, label), label, "left")
 
 
 def class_distribution(df: DataFrame, label: str = "label") -> DataFrame:

@@ -7,12 +7,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.proba import LOG_EPS, argmax, row_log_loss
-from ..functions.small import bounded
-from .binning import bin_features, edges_by_feature, quantile_edges
 
-# Up to this many rows a class is ranked in one window partition; above, its scores are
-# cut into buckets of about half as many rows.
-RANK_ROWS = 1_000_000
+# Log odds are cut into cells of this width between these bounds; what lies beyond shares the
+# outermost cells.
+_CELL, _BOUND = 1 / 1024, 32
 
 
 def accuracy(df: DataFrame, *by: str, proba: str = "proba", label: str = "label") -> DataFrame:
@@ -31,54 +29,43 @@ def confusion(df: DataFrame, proba: str = "proba", label: str = "label") -> Data
     )
 
 
+def _bucket(score):
+    """Cell of a probability on a fixed scale of log odds, which spreads scores near 0 and 1 as
+    well. A larger score never has a smaller cell."""
+    odds = F.when(score <= 0, -_BOUND).when(score >= 1, _BOUND).otherwise(F.log(score / (1 - score)))
+    return F.floor(F.greatest(F.lit(-_BOUND), F.least(F.lit(_BOUND), odds)) / _CELL).cast("int")
+
+
 def auc_per_class(
     df: DataFrame,
     n_class: int,
     proba: str = "proba",
     label: str = "label",
     n_groups: int = 1,
-    buckets: int | None = None,
 ) -> DataFrame:
     """Exact one-vs-rest ROC AUC ``(group, class_id, positives, negatives, auc)``.
 
     It is the rank sum of the positives with average ranks for ties. Equal scores are
-    collapsed first. Ranks are prefix sums at two levels: over the buckets of a class
-    (a small table) and over the scores inside a bucket, so no task orders a whole
-    class. The bucket borders are quantiles of the scores; they balance the work and do
-    not influence the value. ``proba`` may hold several models side by side
-    (``n_groups`` times ``n_class`` entries). A class without positives or without
-    negatives gets NULL.
+    collapsed first. Ranks are prefix sums at two levels: over the 65,537 cells of a fixed
+    scale of log odds and over the different scores inside a cell, so no task orders a whole
+    class and nothing passes through the driver. The cells do not influence the value.
+    ``proba`` may hold several models side by side (``n_groups`` times ``n_class`` entries).
+    A class without positives or without negatives gets NULL.
     """
-    width = n_class * n_groups
-    if buckets is None:
-        n = df.count()
-        buckets = 1 if n <= RANK_ROWS else min(4096, 2 * n // RANK_ROWS + 1)
     rows = df.select(F.col(proba).alias("_proba"), F.col(label).alias("_label"))
-    if buckets > 1:
-        edges = quantile_edges(rows, buckets, "_proba", tolerance=2.0 / buckets)
-        rows = bin_features(rows, edges_by_feature(edges, width), "_proba", "_bucket")
-    else:
-        rows = rows.withColumn("_bucket", F.array_repeat(F.lit(1).cast("tinyint"), width))
-    scores = rows.select(
-        "_label", F.posexplode(F.arrays_zip("_proba", "_bucket")).alias("slot", "_cell")
-    )
-    distinct = scores.groupBy(
-        "slot", F.col("_cell._bucket").alias("bucket"), F.col("_cell._proba").alias("score")
-    ).agg(
+    scores = rows.select("_label", F.posexplode("_proba").alias("slot", "score"))
+    distinct = scores.groupBy("slot", _bucket(F.col("score")).alias("bucket"), "score").agg(
         F.count("*").alias("n"),
         F.count_if(F.col("_label") == F.col("slot") % n_class).alias("pos"),
     )
     inside = W.partitionBy("slot", "bucket").orderBy("score").rowsBetween(W.unboundedPreceding, 0)
     ranked = distinct.withColumn("_upto", F.sum("n").over(inside))
-    if buckets > 1:
-        totals = distinct.groupBy("slot", "bucket").agg(F.sum("n").alias("_n"))
-        before = W.partitionBy("slot").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-        offsets = totals.select(
-            "slot", "bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-        )
-        ranked = ranked.join(bounded(offsets, 2_000_000), ["slot", "bucket"])
-    else:
-        ranked = ranked.withColumn("_offset", F.lit(0))
+    totals = distinct.groupBy("slot", "bucket").agg(F.sum("n").alias("_n"))
+    before = W.partitionBy("slot").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.select(
+        "slot", "bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+    )
+    ranked = ranked.join(offsets, ["slot", "bucket"])
     # Twice the average rank, an integer: 2 * rows before + n + 1.
     twice = (2 * (F.col("_offset") + F.col("_upto")) - F.col("n") + 1).cast("decimal(19,0)")
     sums = ranked.groupBy("slot").agg(

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.small import bounded
-
 CHAMPION = "champion"
 # A model reference is models:/<name>/<version> or models:/<name>@<alias>.
 _VERSION_URI = r"^models:/(.+)/(\d+)$"
@@ -30,7 +29,7 @@ def latest_version(versions: DataFrame, *names: str) -> DataFrame:
 
 def next_version(requests: DataFrame, versions: DataFrame) -> DataFrame:
     """Version each model name would get next; 1 for a new name."""
-    known = bounded(latest_version(versions)).withColumnRenamed("version", "_last")
+    known = latest_version(versions).withColumnRenamed("version", "_last")
     return requests.join(known, "name", "left").select(
         "name", (F.coalesce(F.col("_last"), F.lit(0)) + 1).cast("int").alias("version")
     )
@@ -69,11 +68,10 @@ def resolve_uri(
             ~by_version, F.regexp_extract(ref, _ALIAS_URI, 2)
         ),
     })
-    exact = bounded(
-        versions.select("name", F.col("version").cast("int").alias("_wanted")).distinct()
-    ).withColumn("_exact", F.col("_wanted"))
-    pointed = bounded(alias_current(aliases).select("name", "alias", F.col("version").alias("_alias_version")))
-    last = bounded(latest_version(versions).withColumnRenamed("version", "_last"))
+    exact = versions.select("name", F.col("version").cast("int").alias("_wanted")).distinct()
+    exact = exact.withColumn("_exact", F.col("_wanted"))
+    pointed = alias_current(aliases).select("name", "alias", F.col("version").alias("_alias_version"))
+    last = latest_version(versions).withColumnRenamed("version", "_last")
     found = (
         parsed.join(exact, ["name", "_wanted"], "left")
         .join(pointed, ["name", "alias"], "left")
@@ -94,25 +92,33 @@ def resolve_uri(
 
 def serving_version(requests: DataFrame, versions: DataFrame) -> DataFrame:
     """The version asked for, else the latest one of that model."""
-    last = bounded(latest_version(versions).withColumnRenamed("version", "_last"))
+    last = latest_version(versions).withColumnRenamed("version", "_last")
     return requests.join(last, "name", "left").select(
         *requests.columns,
         F.coalesce(F.col("requested").try_cast("int"), F.col("_last")).alias("version"),
     )
 
 
+def run_states(runs: DataFrame) -> DataFrame:
+    """The last logged row of each run: its present status, next to when it began."""
+    last = F.max(F.struct("started_at", "status", "run_name", "parent_run_id"))
+    return runs.groupBy("run_id").agg(last.alias("r"), F.min("started_at").alias("began_at")).select(
+        "run_id", "r.parent_run_id", "r.run_name", "r.status", "began_at", F.col("r.started_at").alias("changed_at")
+    )
+
+
 def child_runs(runs: DataFrame) -> DataFrame:
     """Each run next to its parent."""
     parents = runs.select(
         F.col("run_id").alias("parent_run_id"), F.col("run_name").alias("parent_name")
-    )
+    ).distinct()
     return runs.where("parent_run_id IS NOT NULL").join(parents, "parent_run_id").select(
         "parent_run_id", "parent_name", "run_id", "run_name", "status"
     )
 
 
 def compare_trials(runs: DataFrame, metrics: DataFrame, *keys: str) -> DataFrame:
-    """Latest metrics of every child run side by side, with its rank under its parent by
+    """Latest metrics of every child run side by side, with its ``rank`` under its parent by
     the first key (highest first, then by run name)."""
     values = metrics.where(F.col("key").isin(*keys)).groupBy("run_id").agg(
         *[
@@ -120,6 +126,7 @@ def compare_trials(runs: DataFrame, metrics: DataFrame, *keys: str) -> DataFrame
             for k in keys
         ]
     )
+    best = W.partitionBy("parent_run_id").orderBy(F.col(keys[0]).desc_nulls_last(), "run_name", "run_id")
     return child_runs(runs).join(values, "run_id", "left").select(
-        "parent_run_id", "run_id", "run_name", *keys
+        "parent_run_id", "run_id", "run_name", *keys, F.row_number().over(best).alias("rank")
     )

@@ -10,11 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.proba import with_softmax
-from ..session import written
 from .blocks import lists, matrix
 
-# Nodes of an ensemble that travel to the executors at once (about 40 bytes each). A
-# larger ensemble is applied in several stages.
+# Nodes of an ensemble that one expression holds (about 40 bytes each). A larger ensemble is a
+# chain of expressions in the same stage; the result does not depend on it.
 MAX_NODES = 4_000_000
 _FIELDS = ("round", "class_id", "node_id", "is_leaf", "feature", "threshold", "missing_left", "leaf_value")
 
@@ -42,6 +41,8 @@ def pack(nodes: DataFrame, first_round: int = 0, last_round: int | None = None)
     col = {n: t.column(n).to_numpy(zero_copy_only=False) for n in _FIELDS if n not in ("is_leaf", "missing_left")}
     leaf = t.column("is_leaf").to_numpy(zero_copy_only=False).astype(bool)
     node = col["node_id"].astype(np.int64)
+    if len(node) and not ((col["round"][1:] != col["round"][:-1]) | (col["class_id"][1:] != col["class_id"][:-1]) | (node[1:] != node[:-1])).all():
+        raise ValueError("the model table holds a node more than once")
     tree = np.flatnonzero(node == 0)
     number = np.cumsum(node == 0) - 1
     # Heap numbers are ascending inside a tree, so (tree, node) is a sorted key.
@@ -119,11 +120,8 @@ def _round_groups(nodes: DataFrame, max_nodes: int) -> list[tuple[int, int]]:
 def score(
     df: DataFrame, nodes: DataFrame, n_class: int, n_features: int, max_nodes: int = MAX_NODES
 ) -> DataFrame:
-    """Add ``proba``. Thresholds compare raw features, so no edge table is needed.
-
-    An ensemble of up to ``max_nodes`` nodes is applied in one narrow stage; a larger one
-    by groups of rounds, each in its own stage, with the margins written out between.
-    """
+    """Add ``proba``, lazily and in one narrow stage whatever the size of the ensemble, on tables
+    and streams alike. Thresholds compare raw features, so no edge table is needed."""
     groups = _round_groups(nodes, max_nodes)
     if not groups:
         raise ValueError("the model has no trees")
@@ -132,16 +130,13 @@ def score(
         forest = pack(nodes, first, last)
         step = margin_column(forest, n_class, n_features, "features", "_margin" if i else None, final)
         df = df.withColumn("proba" if final else "_margin", step)
-        if not final:
-            df, _ = written(df, "margins")
     return df.drop("_margin")
 
 
-def score_native(df: DataFrame, nodes: DataFrame, n_class: int, max_nodes: int = 2000) -> DataFrame:
-    """The same for small ensembles as one nested CASE per tree, without Python."""
-    rows = nodes.limit(max_nodes + 1).collect()
-    if len(rows) > max_nodes:
-        raise ValueError(f"more than {max_nodes} nodes: use score()")
+def score_native(df: DataFrame, nodes: DataFrame, n_class: int) -> DataFrame:
+    """The same as one nested CASE per tree, without Python. The expression grows with the
+    ensemble, which makes it the form for small ones."""
+    rows = nodes.collect()
     by_tree: dict[tuple[int, int], dict[int, object]] = {}
     for r in rows:
         by_tree.setdefault((r["round"], r.class_id), {})[r.node_id] = r

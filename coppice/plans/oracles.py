@@ -356,8 +356,9 @@ ORACLES = {
         WITH m AS (
           SELECT concat('o', l_orderkey) AS run_id, l_returnflag AS key, max({{'s': l_linenumber, 'v': l_extendedprice}}).v AS value
           FROM lineitem GROUP BY 1, 2)
+        SELECT *, row_number() OVER (PARTITION BY parent_run_id ORDER BY "A" DESC NULLS LAST, run_name, run_id) AS rank FROM (
         SELECT c.parent_run_id, c.run_id, c.run_name, {", ".join(f"max(value) FILTER (key = '{k}') AS {chr(34)}{k}{chr(34)}" for k in "ANR")}
-        FROM ({CHILDREN}) c LEFT JOIN m USING (run_id) GROUP BY 1, 2, 3""",
+        FROM ({CHILDREN}) c LEFT JOIN m USING (run_id) GROUP BY 1, 2, 3)""",
     "batch_inference": f"""
         SELECT row_id, {_ARG3} AS predicted_class, round(greatest(p0, p1, p2), 6) AS predicted_probability, label AS true_label, 1 AS model_version
         FROM ({fixed_sql(f"SELECT * FROM ({split_sql(Y3_DOUBLE, 'row_id', 'label', '0.25', 11)}) WHERE split = 'test'")})""",
@@ -376,3 +377,61 @@ ORACLES = {
         SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n,
                round(avg(CAST((event_type = 'click') = (value > 10) AS INT)), 6) AS accuracy FROM events GROUP BY 1""",
 }
+
+# Odd inputs ---------------------------------------------------------------------
+
+_STATUS = "SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus END AS o_orderstatus FROM orders"
+_WIDE_VALUE = """
+CASE WHEN l_suppkey % 10 = 0 THEN CAST('inf' AS DOUBLE) WHEN l_suppkey % 10 = 1 THEN CAST('-inf' AS DOUBLE)
+     ELSE l_extendedprice * pow(2.0::DOUBLE, (l_partkey % 200 - 100)::DOUBLE) END"""
+_HALF = f"""
+SELECT * REPLACE (CASE WHEN CAST(split_part(row_id, ':', 2) AS INT) % 2 = 1 THEN label END AS label) FROM ({Y3_DOUBLE})"""
+_OLD = f"SELECT * FROM ({Y3}) WHERE CAST(split_part(row_id, ':', 1) AS BIGINT) % 10 <> 0"
+_RANK = "md5(concat_ws(':', '42', row_id))"
+_STUMP = " ".join(
+    f"0.0078125 * (2 * len(list_filter(t{k}, lambda t: t <= CAST(f1 AS DOUBLE))) - len(t{k})) AS m{k}," for k in range(3)
+)
+
+ORACLES |= {
+    "split_null_labels": f"""
+        SELECT o_orderkey, split FROM ({split_sql(f"SELECT * FROM ({_STATUS}) WHERE o_orderstatus IS NOT NULL", "o_orderkey", "o_orderstatus")})
+        UNION ALL SELECT o_orderkey, 'unlabelled' FROM ({_STATUS}) WHERE o_orderstatus IS NULL""",
+    "split_crowded": ORACLES["stratified_split"],
+    "quantile_edges_wide": f"""
+        WITH v AS (SELECT {_WIDE_VALUE} AS v, l_linenumber FROM lineitem),
+        vals AS (SELECT 0 AS feature, v FROM v UNION ALL SELECT 1, CASE WHEN l_linenumber % 2 = 0 THEN v ELSE -v END FROM v),
+        ranked AS (
+          SELECT feature, v, row_number() OVER (PARTITION BY feature ORDER BY v) AS rk,
+                 count(*) OVER (PARTITION BY feature) AS n, min(v) OVER (PARTITION BY feature) AS lo FROM vals),
+        cuts AS (
+          SELECT DISTINCT feature, v FROM ranked JOIN range(1, {BINS}) j(j) ON rk = (j.j * n + {BINS - 1}) // {BINS}
+          WHERE v > lo)
+        SELECT feature, CAST(row_number() OVER (PARTITION BY feature ORDER BY v) AS INT) AS bin,
+               CASE WHEN NOT isinf(v) THEN v END AS upper, CAST(CASE WHEN isinf(v) THEN sign(v) ELSE 0 END AS INT) AS infinite
+        FROM cuts""",
+    "score_large_model": f"""
+        WITH t AS (SELECT {", ".join(f"list(p_retailprice * 20) FILTER (p_partkey % 3 = {k}) AS t{k}" for k in range(3))} FROM part),
+        m AS (SELECT row_id, {_STUMP} FROM ({Y3}) CROSS JOIN t),
+        e AS (SELECT row_id, exp(m0) AS e0, exp(m1) AS e1, exp(m2) AS e2 FROM m)
+        SELECT row_id, {", ".join(f"round(e{k} / (e0 + e1 + e2), 6) AS p{k}" for k in range(3))} FROM e""",
+    "reregister_scores": ORACLES["score_fixed_model"],
+    "batch_inference_unlabelled": f"""
+        SELECT row_id, {_ARG3} AS predicted_class, label AS true_label FROM ({fixed_sql(f"""
+          SELECT * EXCLUDE (split) FROM ({split_sql(f"SELECT * FROM ({_HALF}) WHERE label IS NOT NULL", 'row_id', 'label', '0.25', 11)}) WHERE split = 'test'
+          UNION ALL SELECT * FROM ({_HALF}) WHERE label IS NULL""")})""",
+    "grown_table": f"""
+        WITH old AS ({split_sql(_OLD, "row_id", "label")}),
+        cut AS (SELECT label, max({_RANK}) FILTER (split = 'test') AS cut FROM old GROUP BY label)
+        SELECT count(*) AS n, count(*) AS labelled, 0 AS trained_rows_scored
+        FROM ({Y3}) JOIN cut USING (label) WHERE {_RANK} <= cut""",
+    "stream_rejects": """
+        SELECT concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT)) AS row_id,
+               CASE WHEN l_linenumber % 3 = 0 THEN 'scored' ELSE concat('expected 4 features, got ', 4 - l_linenumber % 3) END AS reason
+        FROM lineitem""",
+    "request_edge_cases": """
+        SELECT event_id AS request_id, CAST(NULL AS INT) AS pos, CASE event_id % 5 WHEN 0 THEN 'no inputs' ELSE 'malformed request' END AS outcome
+        FROM events WHERE event_id % 5 IN (0, 3)
+        UNION ALL SELECT event_id, 0, CASE event_id % 5 WHEN 1 THEN 'expected 4 features, got 3' WHEN 2 THEN 'no features' ELSE 'answered' END
+        FROM events WHERE event_id % 5 IN (1, 2, 4)
+        UNION ALL SELECT event_id, 1, 'answered' FROM events WHERE event_id % 5 = 2""",
+}

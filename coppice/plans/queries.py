@@ -282,7 +282,8 @@ def q_preview(spark, sf):
 
 
 def q_tail_rows(spark, sf):
-    rows = feat.head_rows(fixed_scores(spark, sf), 3, last=True)
+    last = feat.head_rows(lineitem_y3(spark, sf), 3, last=True)
+    rows = score(last, fixed_nodes(spark), N_CLASS, N_FEATURES)
     return rows.select("row_id", argmax("proba").alias("predicted_class"))
 
 
@@ -293,6 +294,20 @@ def q_reject_bad_width(spark, sf):
     return feat.split_by_width(rows, N_FEATURES)[1].select("row_id", "reason")
 
 
+def q_split_null_labels(spark, sf):
+    """Every fifth order has no class: it takes no seat and no side."""
+    status = F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderstatus"))
+    o = table(spark, sf, "orders").select("o_orderkey", status.alias("o_orderstatus"))
+    return split.stratified_split(o, "o_orderkey", "o_orderstatus").select("o_orderkey", "split")
+
+
+def q_split_crowded(spark, sf):
+    """The same split as ``stratified_split`` where next to nothing may be ordered in one task."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    cuts = split.split_cuts(o, "o_orderkey", "o_orderstatus", order_rows=1)
+    return split.stratified_split(o, "o_orderkey", "o_orderstatus", cuts=cuts).select("o_orderkey", "split")
+
+
 # Training steps -------------------------------------------------------------------
 
 
@@ -304,6 +319,19 @@ def q_quantile_edges(spark, sf):
     return quantile_edges(y3_train(spark, sf), HIST_BINS)
 
 
+def q_quantile_edges_wide(spark, sf):
+    """Prices over 200 powers of two, some of them infinite; infinite edges by their sign."""
+    power = F.pow(F.lit(2.0), (F.col("l_partkey") % 200 - 100).cast("double"))
+    inf = F.lit(float("inf"))
+    value = F.when(F.col("l_suppkey") % 10 == 0, inf).when(F.col("l_suppkey") % 10 == 1, -inf).otherwise(F.col("l_extendedprice") * power)
+    signed = F.when(F.col("l_linenumber") % 2 == 0, value).otherwise(-value)
+    li = table(spark, sf, "lineitem").select(F.array(value, signed).alias("features"))
+    edges = quantile_edges(li, HIST_BINS)
+    finite = F.abs("upper") < inf
+    return edges.select("feature", "bin", F.when(finite, F.col("upper")).alias("upper"),
+                        F.when(~finite, F.signum("upper")).otherwise(0.0).cast("int").alias("infinite"))
+
+
 def y3_binned(spark, sf):
     both = split.stratified_split(lineitem_y3(spark, sf), "row_id").persist()
     edges = quantile_edges(both.where("split = 'train'"), HIST_BINS)
@@ -419,6 +447,31 @@ def q_score_native(spark, sf):
     return _proba(score_native(lineitem_y3(spark, sf), fixed_nodes(spark), N_CLASS))
 
 
+def stump_nodes(spark, sf):
+    """One tree of depth 1 for each part, its price as threshold of the line price: thousands of nodes."""
+    p = table(spark, sf, "part").select(
+        F.col("p_partkey").cast("int").alias("round"), (F.col("p_partkey") % N_CLASS).cast("int").alias("class_id"),
+        (F.col("p_retailprice") * 20).alias("t"),
+    )
+    node = lambda i, leaf, value: F.struct(
+        F.lit(i).alias("node_id"), F.lit(leaf).alias("is_leaf"), F.lit(value).cast("double").alias("leaf_value")
+    )
+    nodes = p.select("round", "class_id", "t", F.inline(F.array(
+        node(0, False, None), node(1, True, -0.0078125), node(2, True, 0.0078125))))
+    inner = ~F.col("is_leaf")
+    return nodes.select(
+        F.lit("stumps").alias("model_id"), "round", "class_id", "node_id", "is_leaf", F.when(inner, 1).alias("feature"),
+        F.lit(None).cast("int").alias("split_bin"), F.when(inner, F.col("t")).alias("threshold"),
+        F.when(inner, True).alias("missing_left"), F.when(inner, 1).alias("left_id"), F.when(inner, 2).alias("right_id"),
+        "leaf_value", F.lit(None).cast("double").alias("gain"), F.lit(None).cast("double").alias("cover"),
+    )
+
+
+def q_score_large_model(spark, sf):
+    """An ensemble that is far beyond what one expression may hold."""
+    return _proba(score(lineitem_y3(spark, sf), stump_nodes(spark, sf), N_CLASS, N_FEATURES, max_nodes=500))
+
+
 def q_eval_curve(spark, sf):
     """Log loss per split after 0, 1 and 2 rounds of the fixed model."""
     df = split.stratified_split(lineitem_y3(spark, sf), "row_id").persist()
@@ -466,11 +519,11 @@ def q_auc_per_class(spark, sf):
 def q_auc_ties(spark, sf):
     """A model of few leaves: hardly any distinct scores, ranked in buckets."""
     scored = fixed_scores(spark, sf).select("label", "proba").persist()
-    return _auc(metrics.auc_per_class(scored, N_CLASS, buckets=16))
+    return _auc(metrics.auc_per_class(scored, N_CLASS))
 
 
 def q_auc_ovr_macro(spark, sf):
-    per_class = metrics.auc_per_class(embedding_scores(spark, sf), 10, buckets=8)
+    per_class = metrics.auc_per_class(embedding_scores(spark, sf), 10)
     return metrics.macro_auc(per_class).select(F.round("auc_ovr_macro", 9).alias("auc_ovr_macro"))
 
 
@@ -589,6 +642,77 @@ def q_batch_inference(spark, sf):
                        "true_label", F.lit(done["version"]).alias("model_version"))
 
 
+def q_batch_inference_unlabelled(spark, sf):
+    """Half of the rows have no label: all of them are scored, and the held-out ones of the others."""
+    s = store(spark)
+    s.set_alias("shop.fixed", s.register("shop.fixed", fixed_model(spark), test_size=0.25, split_seed=11))
+    path = new_path(spark, "scored")
+    rows = lineitem_y3(spark, sf)
+    odd = F.element_at(F.split("row_id", ":"), 2).cast("int") % 2 == 1
+    run_batch_inference(s, rows.withColumn("label", F.when(odd, F.col("label"))), "shop.fixed", path)
+    back = files.read_predictions(
+        spark, path, "row_id STRING, predicted_class INT, predicted_probability DOUBLE, true_label INT"
+    )
+    return back.select("row_id", "predicted_class", "true_label")
+
+
+def q_grown_table(spark, sf):
+    """Rows that are scored after the table has grown: the cuts stored at registration hold out
+    the old test rows and new rows below the cut, and none that was trained on."""
+    s = store(spark)
+    rows = lineitem_y3(spark, sf)
+    old = rows.where(F.element_at(F.split("row_id", ":"), 1).cast("bigint") % 10 != 0)
+    cuts = split.split_cuts(old, "row_id")
+    s.set_alias("shop.fixed", s.register("shop.fixed", fixed_model(spark), split_cuts=cuts))
+    path = new_path(spark, "scored")
+    run_batch_inference(s, rows, "shop.fixed", path)
+    back = files.read_predictions(
+        spark, path, "row_id STRING, predicted_class INT, predicted_probability DOUBLE, true_label INT"
+    )
+    trained = split.stratified_split(old, "row_id", cuts=cuts).where("split = 'train'")
+    leaked = back.join(trained, "row_id", "left_semi").agg(F.count("*").alias("trained_rows_scored"))
+    return back.agg(F.count("*").alias("n"), F.count("true_label").alias("labelled")).crossJoin(leaked)
+
+
+def q_reregister_scores(spark, sf):
+    """One model registered under two names and once more: scores of the last version."""
+    s = store(spark)
+    for name in ("shop.a", "shop.b", "shop.b"):
+        s.register(name, fixed_model(spark))
+    version = s.resolve("shop.b")
+    return _proba(score(lineitem_y3(spark, sf), s.load_nodes(version.model_id), version.num_class, version.num_features))
+
+
+def q_stream_rejects(spark, sf):
+    """Arriving rows of several widths: what does not fit is set aside, the rest is scored."""
+    schema = table(spark, sf, "lineitem").schema
+    rows = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf)
+    width = F.lit(N_FEATURES) - (F.col("l_linenumber") % 3)
+    rows = rows.select(line_key().alias("row_id"), F.slice(feat.feature_array(Y3_FEATURES), F.lit(1), width).alias("features"))
+    path = new_path(spark, "stream")
+    q = serve.score_stream(rows, fixed_nodes(spark), N_CLASS, N_FEATURES, path, new_path(spark, "checkpoint"))
+    q.awaitTermination()
+    scored = spark.read.parquet(path).select("row_id", F.lit("scored").alias("reason"))
+    return scored.unionByName(spark.read.parquet(f"{path}-rejected").select("row_id", "reason"))
+
+
+def q_request_edge_cases(spark, sf):
+    """Empty, misshapen and broken requests: each is answered, refused as a whole, or has refused inputs."""
+    e = table(spark, sf, "events").select("event_id", (F.col("event_id") % 5).alias("k"))
+    payload = (
+        F.when(F.col("k") == 0, '{"inputs": []}').when(F.col("k") == 1, '{"inputs": [[1, 2, 3]]}')
+        .when(F.col("k") == 2, '{"inputs": [null, [1, 2, 3, 4]]}').when(F.col("k") == 3, "[1")
+        .otherwise('{"inputs": [[30, 2, 0.03, 4]]}')
+    )
+    asked = e.select(F.col("event_id").alias("request_id"), payload.alias("payload"))
+    fitting, others = feat.split_by_width(serve.parse_requests(asked), N_FEATURES)
+    answered = score(fitting, fixed_nodes(spark), N_CLASS, N_FEATURES)
+    out = answered.select("request_id", "pos", F.lit("answered").alias("outcome"))
+    out = out.unionByName(others.select("request_id", "pos", F.col("reason").alias("outcome")))
+    refused = serve.rejected_requests(asked)
+    return out.unionByName(refused.select("request_id", F.lit(None).cast("int").alias("pos"), F.col("reason").alias("outcome")))
+
+
 def line_stream(spark, sf):
     schema = table(spark, sf, "lineitem").schema
     rows = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf)

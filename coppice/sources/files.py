@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..functions.proba import argmax, confidence
 
@@ -53,16 +53,17 @@ def read_shard_results(spark: SparkSession, path: str, search_id: str | None = N
     return df if search_id is None else df.where(F.col("search_id") == search_id)
 
 
+# SQL state of a missing privilege.
+_NOT_ALLOWED = "42501"
+
+
 def ensure_namespace(spark: SparkSession, name: str) -> None:
-    """Create a schema when it is missing. A refusal says what to do about it."""
+    """Make sure that the catalog has the schema ``name``."""
+    if spark.catalog.databaseExists(name):
+        return
     try:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
-    except Exception as exc:
-        if isinstance(exc, AnalysisException) and "ALREADY_EXISTS" in str(exc):
-            return
-        if any(w in str(exc).lower() for w in ("permission", "denied", "unauthorized", "privilege")):
-            raise PermissionError(
-                f"cannot create schema {name}: ask for CREATE on its catalog, have it created, "
-                "or name an existing schema"
-            ) from exc
-        raise
+    except PySparkException as refused:
+        if refused.getSqlState() != _NOT_ALLOWED:
+            raise
+        raise PermissionError(f"{name} does not exist and may not be created by this user") from refused

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +12,8 @@ from pyspark.sql.utils import AnalysisException
 
 from ..operators.binning import EDGE_SCHEMA
 from ..operators.registry import CHAMPION, alias_current, latest_version, resolve_uri
+from ..operators.scoring import score
+from .files import SHARD_RESULT, read_shard_results
 
 SCHEMAS = {
     "bin_edges": "model_id STRING, " + EDGE_SCHEMA,
@@ -24,7 +25,7 @@ SCHEMAS = {
     "model_versions": (
         "name STRING, version INT, run_id STRING, model_id STRING, num_class INT, "
         "num_features INT, signature_json STRING, input_example_json STRING, test_size DOUBLE, "
-        "split_seed INT"
+        "split_seed INT, split_cuts_json STRING, max_samples BIGINT, sample_cut STRING"
     ),
     "model_aliases": "name STRING, alias STRING, version INT, seq BIGINT",
     "runs": "run_id STRING, parent_run_id STRING, run_name STRING, status STRING, started_at TIMESTAMP",
@@ -35,7 +36,8 @@ SCHEMAS = {
         "train_seconds DOUBLE, model_id STRING, error STRING"
     ),
 }
-_PARTITIONED = {"bin_edges": "model_id", "model_nodes": "model_id"}
+# Tables with one folder per model, written whole or not at all.
+_BY_MODEL = ("bin_edges", "model_nodes")
 
 
 class Store:
@@ -55,10 +57,7 @@ class Store:
         else:
             df = self.spark.createDataFrame(rows, schema).coalesce(1)
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
-        if table in _PARTITIONED:
-            df.write.mode("append").partitionBy(_PARTITIONED[table]).parquet(self.path(table))
-        else:
-            df.write.mode("append").parquet(self.path(table))
+        df.write.mode("append").parquet(self.path(table))
 
     def read(self, table: str) -> DataFrame:
         """The whole table; empty before its first row."""
@@ -69,6 +68,15 @@ class Store:
                 raise
             return self.spark.createDataFrame([], SCHEMAS[table])
 
+    def shard_results(self, search_id: str) -> DataFrame:
+        """Results of one search's shards; empty before the first."""
+        try:
+            return read_shard_results(self.spark, self.path("shard_results"), search_id)
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" not in str(exc):
+                raise
+            return self.spark.createDataFrame([], f"{SHARD_RESULT}, search_id STRING")
+
     # Runs ---------------------------------------------------------------------
 
     def log_run(
@@ -104,19 +112,39 @@ class Store:
             self.append("run_metrics", long.select(F.lit(run_id).alias("run_id"), "key", "step", "value"))
         return run_id
 
+    def end_run(self, run_id: str, run_name: str, status: str, parent_run_id: str | None = None) -> None:
+        """Log how a run ended; its last logged row is its state (``registry.run_states``)."""
+        self.log_run(run_name, parent_run_id=parent_run_id, status=status, run_id=run_id)
+
     # Models -------------------------------------------------------------------
 
-    def save_model(self, nodes: DataFrame, edges: DataFrame | None = None) -> None:
-        """Append the tables of one model (one partition per ``model_id``)."""
-        self.append("model_nodes", nodes)
-        if edges is not None:
-            self.append("bin_edges", edges)
+    def _folder(self, table: str, model_id: str) -> str:
+        return f"{self.path(table)}/model_id={model_id}"
+
+    def has_model(self, model_id: str) -> bool:
+        """Whether the nodes of a model were written to the end."""
+        done = self.spark._jvm.org.apache.hadoop.fs.Path(self._folder("model_nodes", model_id) + "/_SUCCESS")
+        return done.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(done)
+
+    def save_model(self, model_id: str, nodes: DataFrame, edges: DataFrame | None = None) -> None:
+        """Write the tables of one model, each as one folder. A model that is stored stays as it
+        is, what a lost attempt left behind is replaced; the nodes, which tell whether a model is
+        stored, come last."""
+        if self.has_model(model_id):
+            return
+        for table, rows in zip(_BY_MODEL, (edges, nodes)):
+            if rows is not None:
+                fields = [f for f in T.StructType.fromDDL(SCHEMAS[table]) if f.name != "model_id"]
+                columns = [F.col(f.name).cast(f.dataType) for f in fields]
+                rows.select(*columns).write.mode("overwrite").parquet(self._folder(table, model_id))
 
     def load_nodes(self, model_id: str) -> DataFrame:
-        nodes = self.read("model_nodes").where(F.col("model_id") == model_id)
-        if not nodes.limit(1).count():
+        """The nodes of one model; only its folder is listed."""
+        if not self.has_model(model_id):
             raise LookupError(f"no model {model_id} in {self.root}")
-        return nodes
+        fields = [f for f in T.StructType.fromDDL(SCHEMAS["model_nodes"]) if f.name != "model_id"]
+        nodes = self.spark.read.schema(T.StructType(fields)).parquet(self._folder("model_nodes", model_id))
+        return nodes.select(F.lit(model_id).alias("model_id"), "*")
 
     def register(
         self,
@@ -126,20 +154,32 @@ class Store:
         example: DataFrame | None = None,
         test_size: float = 0.2,
         split_seed: int = 42,
+        split_cuts: DataFrame | None = None,
+        max_samples: int = 0,
+        sample_cut: str | None = None,
     ) -> int:
-        """New version of ``name``. Keeps the input and output types, a few real rows, and
-        the split settings, so that scoring regenerates the same held-out rows."""
-        self.save_model(model.nodes, model.edges)
+        """New version of ``name``. Keeps the types of inputs and outputs, a few real rows with
+        their predictions, and the split with its cuts, so that scoring holds out the same rows
+        also when the table has grown since."""
+        self.save_model(model.model_id, model.nodes, model.edges)
         last = latest_version(self.read("model_versions"), name).first()
         version = (last.version if last else 0) + 1
+        if example is None:
+            example = self.spark.createDataFrame([], "features ARRAY<FLOAT>")
+        scored = score(
+            example.select("features").limit(5), self.load_nodes(model.model_id), model.n_class, model.n_features
+        )
+        rows = scored.collect()
         signature = {
-            "inputs": T.StructType.fromDDL("features ARRAY<FLOAT>").jsonValue(),
-            "outputs": T.StructType.fromDDL("proba ARRAY<DOUBLE>").jsonValue(),
+            "inputs": scored.select("features").schema.jsonValue(),
+            "outputs": scored.select("proba").schema.jsonValue(),
         }
-        rows = [list(r.features) for r in example.select("features").limit(5).collect()] if example is not None else []
+        shown = {"inputs": [r.features for r in rows], "predictions": [r.proba for r in rows]}
+        cuts = json.dumps([list(r) for r in split_cuts.collect()]) if split_cuts is not None else None
         self.append("model_versions", [(
             name, version, run_id, model.model_id, model.n_class, model.n_features,
-            json.dumps(signature), json.dumps({"inputs": rows}), float(test_size), int(split_seed),
+            json.dumps(signature), json.dumps(shown), float(test_size), int(split_seed), cuts,
+            int(max_samples), sample_cut,
         )])
         return version
 
@@ -169,9 +209,18 @@ class Store:
             (F.col("name") == got.name) & (F.col("version") == got.version)
         ).first()
 
-
-def timed(action):
-    """``(result, seconds)`` of a function that runs a Spark action."""
-    started = time.time()
-    result = action()
-    return result, time.time() - started
+    def check_signature(self, version, df: DataFrame) -> None:
+        """Raise when the features of ``df`` are of another type than those the model was
+        registered with."""
+        wanted = T.StructType.fromJson(json.loads(version.signature_json)["inputs"])["features"].dataType
+        got = df.schema["features"].dataType
+        if not isinstance(got, T.ArrayType) or got.elementType != wanted.elementType:
+            raise TypeError(f"{version.name} {version.version} takes features as {wanted}, not as {got}")
+
+    def cuts_of(self, version) -> DataFrame | None:
+        """The split of a version, one row per class; None where it was registered without."""
+        if version.split_cuts_json is None:
+            return None
+        return self.spark.createDataFrame(
+            [tuple(c) for c in json.loads(version.split_cuts_json)], "label INT, cut STRING"
+        )

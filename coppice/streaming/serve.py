@@ -7,6 +7,7 @@ quality monitor, which is a watermarked aggregate.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from ..functions.hashing import hex_to_bigint
 from ..functions.proba import argmax, confidence
 from ..operators.registry import CHAMPION
 from ..operators.scoring import score
+from ..sources.features import split_by_width
 from ..sources.store import Store
 
 _REQUEST = "inputs ARRAY<ARRAY<FLOAT>>"
@@ -36,10 +38,9 @@ def parse_requests(df: DataFrame, key: str = "request_id", payload: str = "paylo
 
 
 def rejected_requests(df: DataFrame, key: str = "request_id", payload: str = "payload") -> DataFrame:
-    """Requests that could not be read, with a reason."""
-    return df.where(_inputs(payload).isNull()).select(
-        key, payload, F.lit("malformed request").alias("reason")
-    )
+    """Requests that could not be read or hold no inputs, with a reason."""
+    reason = F.when(_inputs(payload).isNull(), "malformed request").when(F.size(_inputs(payload)) == 0, "no inputs")
+    return df.withColumn("reason", reason).where("reason IS NOT NULL").select(key, payload, "reason")
 
 
 def responses(scored: DataFrame, key: str = "request_id") -> DataFrame:
@@ -72,24 +73,32 @@ def route(df: DataFrame, key: Column | str, weights: dict[str, int], seed: int =
 
 
 def score_rows(df: DataFrame, nodes: DataFrame, n_class: int, n_features: int) -> DataFrame:
-    """Scored rows with class and confidence; works on streams and tables alike."""
+    """Scored rows with class and confidence; works on streams and tables alike. Every row has to
+    fit the model (``split_by_width`` takes the others out)."""
     return score(df, nodes, n_class, n_features).withColumns(
         {"predicted_class": argmax("proba"), "predicted_probability": confidence("proba")}
     )
 
 
+def _write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
+    """One folder per batch, written anew when the batch is repeated after a failure."""
+    df.write.mode("overwrite").format(fmt).save(f"{path}/batch={batch_id}")
+
+
 def score_stream(
     stream: DataFrame, nodes: DataFrame, n_class: int, n_features: int, path: str, checkpoint: str,
-    fmt: str = "parquet", once: bool = True,
+    fmt: str = "parquet", once: bool = True, rejects: str | None = None,
 ) -> StreamingQuery:
-    """Score arriving rows with one fixed model and append them to ``path``."""
-    writer = (
-        score_rows(stream, nodes, n_class, n_features)
-        .writeStream.format(fmt)
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-    )
+    """Score arriving rows with one fixed model into ``path``. Rows that do not fit the model go
+    to ``rejects`` (``<path>-rejected`` by default) with a reason and hold nothing up."""
+    rejects = rejects or f"{path}-rejected"
+
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
+        fitting, others = split_by_width(batch, n_features)
+        _write_batch(score_rows(fitting, nodes, n_class, n_features), path, batch_id, fmt)
+        _write_batch(others, rejects, batch_id, fmt)
+
+    writer = stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
@@ -102,31 +111,34 @@ def score_current(
     path: str,
     checkpoint: str,
     once: bool = True,
+    rejects: str | None = None,
 ) -> StreamingQuery:
     """Score arriving rows with whatever model is current when a micro-batch starts.
 
     ``weights`` returns ``{reference: percent}`` (champion at 100 % by default) and is asked
     again for every batch, as are the aliases, so a promotion takes effect on a running
     stream. Every row carries the version that scored it. A batch writes its own folder and
-    overwrites it when it is repeated after a failure.
+    overwrites it when it is repeated after a failure. Rows that do not fit the model they are
+    routed to go to ``rejects`` (``<path>-rejected`` by default) with a reason.
     """
+    rejects = rejects or f"{path}-rejected"
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         routes = weights() if weights else {f"models:/{name}@{CHAMPION}": 100}
         routed = route(batch, key, routes).persist()
-        parts = []
+        parts, refused = [], []
         for uri, percent in routes.items():
             if not percent:
                 continue
             version = store.resolve(name, uri)
             mine = routed.where(F.col("served_model") == uri)
             nodes = store.load_nodes(version.model_id)
-            scored = score_rows(mine, nodes, version.num_class, version.num_features)
+            fitting, others = split_by_width(mine, version.num_features)
+            refused.append(others.withColumn("model_version", F.lit(version.version)))
+            scored = score_rows(fitting, nodes, version.num_class, version.num_features)
             parts.append(scored.withColumn("model_version", F.lit(version.version)))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        out.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        _write_batch(reduce(DataFrame.unionByName, parts), path, batch_id)
+        _write_batch(reduce(DataFrame.unionByName, refused), rejects, batch_id)
         routed.unpersist()
 
     writer = stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)

@@ -34,14 +34,14 @@ def scored(spark, n=600, k=4, seed=0, digits=2, hot=True):
 @pytest.mark.parametrize("digits", [1, 6])
 def test_auc_equals_counting_pairs(spark, buckets, digits):
     df, p, y = scored(spark, digits=digits)
-    for r in auc_per_class(df, 4, buckets=buckets).collect():
+    for r in auc_per_class(df, 4).collect():
         assert r.auc == pytest.approx(plain_auc(p[:, r.class_id], y == r.class_id), abs=1e-12)
         assert r.positives + r.negatives == len(y)
 
 
 def test_auc_equals_the_library(spark):
     df, p, y = scored(spark, digits=3)
-    ours = {r.class_id: r.auc for r in auc_per_class(df, 4, buckets=9).collect()}
+    ours = {r.class_id: r.auc for r in auc_per_class(df, 4).collect()}
     for k in range(4):
         one = df.select((F.col("label") == k).cast("double").alias("label"), F.get("proba", F.lit(k)).alias("rawPrediction"))
         assert ours[k] == pytest.approx(BinaryClassificationEvaluator(numBins=0).evaluate(one), abs=1e-9)
@@ -50,7 +50,7 @@ def test_auc_equals_the_library(spark):
 def test_models_side_by_side(spark):
     df, p, y = scored(spark)
     both = df.withColumn("proba", F.concat("proba", F.reverse("proba")))
-    for r in auc_per_class(both, 4, n_groups=2, buckets=5).collect():
+    for r in auc_per_class(both, 4, n_groups=2).collect():
         s = p if r.group == 0 else p[:, ::-1]
         assert r.auc == pytest.approx(plain_auc(s[:, r.class_id], y == r.class_id), abs=1e-12)
 

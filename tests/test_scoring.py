@@ -64,15 +64,9 @@ def test_rows_of_another_width_raise(spark, trained):
         score_model(bad, model).collect()
 
 
-def test_big_ensembles_are_refused_as_expressions(trained):
-    df, model = trained
-    with pytest.raises(ValueError):
-        score_native(df, model.nodes, model.n_class, max_nodes=5)
-
-
 def test_save_and_load(store, trained):
     df, model = trained
-    store.save_model(model.nodes, model.edges)
+    store.save_model("m", model.nodes, model.edges)
     again = score(df, store.load_nodes("m"), model.n_class, model.n_features)
     assert np.array_equal(proba(again), proba(score_model(df, model)))
     with pytest.raises(LookupError):
