@@ -105,6 +105,10 @@ def main() -> None:
     wide = prepare(stratified_split(vectors, "row_id"), 32)
     clock("train_64_features_10_classes_3_rounds_depth_4", lambda: boost(
         wide, [TrainParams(n_estimators=3, max_depth=4)], ["wide"])[1].unpersist(), 1)
+    # The reference's shape: 10 numeric and 44 binary features, 7 classes, depth 8.
+    cover = clock("prepare_54_features_7_classes", lambda: prepare(stratified_split(q.cover_rows(spark, SF), "row_id"), 64), 1)
+    clock("train_54_features_7_classes_2_rounds_depth_8", lambda: boost(
+        cover, [TrainParams(n_estimators=2, max_depth=8)], ["cover"])[1].unpersist(), 1)
     for name in ("predictions_csv", "score_stream", "score_native", "subsample", "label_index", "auc_ties",
                  "confusion", "resolve_uri", "compare_trials", "request_response", "search_summary"):
         clock(name, lambda: materialise(q.QUERIES[name](spark, SF)))

@@ -103,7 +103,9 @@ class Pass:
     slots: dict[int, np.ndarray]
 
 
-def _task_cells(batches: Iterator[pa.RecordBatch], todo: Pass) -> Iterator[pa.RecordBatch]:
+def _task_sums(batches: Iterator[pa.RecordBatch], todo: Pass):
+    """What the rows of one task add up to: per tree the wanted nodes and the sums of both
+    derivatives, as arrays of (used feature, node and bin)."""
     wanted = {t: np.flatnonzero(s >= 0) for t, s in todo.slots.items()}
     g_sum = {t: np.zeros((len(todo.features[t]), len(p) * todo.n_bins), np.int64) for t, p in wanted.items()}
     h_sum = {t: np.zeros_like(a) for t, a in g_sum.items()}
@@ -133,6 +135,12 @@ def _task_cells(batches: Iterator[pa.RecordBatch], todo: Pass) -> Iterator[pa.Re
                     cell = base + x[f, used]
                     g_sum[t][i] += np.bincount(cell, g, size).astype(np.int64)
                     h_sum[t][i] += np.bincount(cell, h, size).astype(np.int64)
+    return wanted, g_sum, h_sum
+
+
+def _task_cells(batches: Iterator[pa.RecordBatch], todo: Pass) -> Iterator[pa.RecordBatch]:
+    """One row per cell."""
+    wanted, g_sum, h_sum = _task_sums(batches, todo)
     for t, at in wanted.items():
         used = np.asarray(todo.features[t], np.int32)
         i, cell = np.nonzero((g_sum[t] != 0) | (h_sum[t] != 0))
@@ -168,3 +176,104 @@ def node_histograms(blocks: DataFrame, todo: Pass, n_tasks: int = 1) -> DataFram
     return cells.groupBy("tree", "node", "feature", "bin").agg(
         F.sum("g").alias("g"), F.sum("h").alias("h")
     )
+
+
+def _task_nodes(batches: Iterator[pa.RecordBatch], todo: Pass) -> Iterator[pa.RecordBatch]:
+    """One row per node, with its cells that are not empty: numbers and sums as bytes."""
+    wanted, g_sum, h_sum = _task_sums(batches, todo)
+    for t, at in wanted.items():
+        shape = (len(todo.features[t]), len(at), todo.n_bins)
+        g, h = g_sum[t].reshape(shape), h_sum[t].reshape(shape)
+        packed = []
+        for k in range(len(at)):
+            gk, hk = g[:, k].ravel(), h[:, k].ravel()
+            cell = np.flatnonzero(hk)
+            if len(cell):
+                packed.append((at[k], cell.astype(np.int32).tobytes(), gk[cell].tobytes(), hk[cell].tobytes()))
+        if packed:
+            node, cell, gs, hs = zip(*packed)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([t] * len(node), pa.int32()), pa.array(node, pa.int32()), pa.array(cell, pa.binary()),
+                 pa.array(gs, pa.binary()), pa.array(hs, pa.binary())],
+                names=["tree", "node", "cell", "g", "h"],
+            )
+
+
+SPLITS = (
+    "tree INT, node INT, feature INT, bin INT, missing_left BOOLEAN, gain DOUBLE, "
+    "g_left DOUBLE, h_left DOUBLE, g_right DOUBLE, h_right DOUBLE, g_all DOUBLE, h_all DOUBLE"
+)
+
+
+def search_node(
+    g: np.ndarray, h: np.ndarray, features: list[int], scale: float, lam: float, weight: float
+) -> tuple:
+    """Best split of one node from its (feature, bin) sums, by the rules of ``splits.split_gain``
+    and ``splits.best_split``, and the node's totals."""
+    g, h = g / scale, h / scale
+    g_upto, h_upto = np.cumsum(g, axis=1), np.cumsum(h, axis=1)
+    g_all, h_all = g_upto[:, -1:], h_upto[:, -1:]
+
+    def score(a, b):
+        below = b + lam
+        return a * a / np.where(below > 0, below, 1.0)
+
+    best = None
+    for missing_left in (True, False):
+        gl = g_upto if missing_left else g_upto - g[:, :1]
+        hl = h_upto if missing_left else h_upto - h[:, :1]
+        gr, hr = g_all - gl, h_all - hl
+        gain = (score(gl, hl) + score(gr, hr) - score(g_all, h_all)) * 0.5
+        ok = (hl > 0) & (hr > 0) & (hl >= weight) & (hr >= weight) & (gain > 0)
+        if not missing_left:
+            ok &= h[:, :1] > 0
+        if not ok.any():
+            continue
+        # The first of equal gains is that of the lowest feature and then the lowest bin.
+        i, b = np.unravel_index(np.argmax(np.where(ok, gain, -1.0)), gain.shape)
+        rank = (gain[i, b], -features[i], -b, missing_left)
+        if best is None or rank > best[0]:
+            best = (rank, int(features[i]), int(b), missing_left, float(gain[i, b]), gl[i, b], hl[i, b], gr[i, b], hr[i, b])
+    found = best[1:] if best else (None,) * 8
+    return (*found, float(g_all[0, 0]), float(h_all[0, 0]))
+
+
+# Bytes of cells that one reducer of the split search gets, at most, unless one node has more.
+REDUCER_BYTES = 32 << 20
+
+
+def node_splits(
+    blocks: DataFrame, todo: Pass, reg_lambda: list[float], min_child_weight: list[float], n_tasks: int = 1
+) -> DataFrame:
+    """Best split of every wanted node in one shuffle: tasks emit their sums node by node, and the
+    reducer of a node adds them up and searches it. The same splits as ``best_split`` finds in the
+    cells of ``node_histograms``. A node without a split has NULLs and its totals. A reducer holds
+    the sums of all tasks for one node; :data:`NODE_CELLS` bounds where this form is used."""
+    n_nodes = sum(int((s >= 0).sum()) for s in todo.slots.values())
+    size = n_nodes * n_tasks * todo.n_features * todo.n_bins * 20
+
+    def search(key, group):
+        tree, node = (k.as_py() for k in key)
+        used = todo.features[tree]
+        g, h = np.zeros(len(used) * todo.n_bins, np.int64), np.zeros(len(used) * todo.n_bins, np.int64)
+        for cell, gs, hs in zip(*(group.column(c).to_pylist() for c in ("cell", "g", "h"))):
+            at = np.frombuffer(cell, np.int32)
+            g[at] += np.frombuffer(gs, np.int64)
+            h[at] += np.frombuffer(hs, np.int64)
+        shape = (len(used), todo.n_bins)
+        row = search_node(
+            g.reshape(shape), h.reshape(shape), used, todo.scale, reg_lambda[tree], min_child_weight[tree]
+        )
+        return pa.Table.from_pylist([dict(zip(_SPLIT_NAMES, (tree, node, *row)))], schema=_SPLIT_TYPE)
+
+    sums = blocks.select("bins", "margin", "label", "row_hash").mapInArrow(
+        lambda batches: _task_nodes(batches, todo), "tree INT, node INT, cell BINARY, g BINARY, h BINARY"
+    )
+    reducers = max(1, min(n_nodes, -(-size // REDUCER_BYTES)))
+    return sums.repartition(reducers, "tree", "node").groupBy("tree", "node").applyInArrow(search, SPLITS)
+
+
+_SPLIT_TYPE = pa.schema(
+    [(f.split()[0], {"INT": pa.int32(), "BOOLEAN": pa.bool_(), "DOUBLE": pa.float64()}[f.split()[1]]) for f in SPLITS.split(", ")]
+)
+_SPLIT_NAMES = _SPLIT_TYPE.names

@@ -96,7 +96,7 @@ def split_cuts(
     ranked = df.where(F.col(label).isNotNull()).select(label, seeded_md5(seed, key).alias("_rank"))
     cells, _ = written(_cells(ranked, [label]), "cells")
     counts = cells.groupBy(label).agg(F.sum("_n").alias("n"))
-    quota, _ = written(test_quota(counts, label, test_size).select(label, "quota"), "quota")
+    quota = test_quota(counts, label, test_size).select(label, "quota")
     cuts = _cuts(ranked, cells, [label], quota, order_rows)
     every = quota.select(label).join(cuts, label, "left").select(label, F.coalesce("cut", F.lit("")).alias("cut"))
     return written(every, "cuts")[0]

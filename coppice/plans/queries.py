@@ -64,6 +64,19 @@ def embedding_scores(spark: SparkSession, sf: str) -> DataFrame:
     return e.select("vec_id", "label", softmax(margin).alias("proba"))
 
 
+def cover_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as 10 numeric and 44 binary features with 7 classes that some of them decide."""
+    li = table(spark, sf, "lineitem")
+    key = row_hash(line_key())
+    numeric = [F.col(c) for c in (*Y3_FEATURES, "l_linenumber", "l_orderkey", "l_partkey", "l_suppkey")]
+    numeric += [key % 1000, key % 97]
+    binary = [(F.floor(key / (i + 3)) % (2 + i % 5) == 0).cast("int") for i in range(44)]
+    label = (
+        (F.col("l_quantity") > 25).cast("int") * 2 + (F.col("l_discount") > 0.05).cast("int") * 3 + (key % 97 > 48).cast("int")
+    )
+    return feat.as_features(li, [*numeric, *binary], line_key(), label)
+
+
 # (round, class, node, is_leaf, feature, threshold, missing_left, leaf value) of two rounds.
 _FIXED = [
     (0, 0, 0, False, 0, 25.5, True, None), (0, 0, 1, True, None, None, None, 0.9), (0, 0, 2, True, None, None, None, -0.7),

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from ..functions.hashing import round_coefficients, row_hash, sample_cutoff
 from ..operators.binning import bin_features, edges_by_feature, quantile_edges
 from ..operators.blocks import FIXED, lists, to_blocks, unpack, without_margin
-from ..operators.histogram import Grown, Pass, fixed_scale, node_histograms, positions
+from ..operators.histogram import NODE_CELLS, Grown, Pass, fixed_scale, node_histograms, node_splits, positions
 from ..operators.sampling import sample_features
 from ..operators.splits import best_split, node_totals, split_gain
 from ..session import new_path, remove, written
@@ -203,10 +203,16 @@ class _Round:
             found = []
             for start in range(0, len(wanted), chunk):
                 todo = self._pass(wanted[start : start + chunk], level, scale)
+                if self.p.n_tasks * self.p.n_features * self.p.n_bins <= NODE_CELLS:
+                    rows = node_splits(blocks, todo, lam, weight, self.p.n_tasks).collect()
+                    if level == 0:
+                        self.leaves.update({(r.tree, 0, 0): (r.g_all, r.h_all) for r in rows if r.feature is None})
+                    found += [r for r in rows if r.feature is not None]
+                    continue
                 cells = node_histograms(blocks, todo, self.p.n_tasks)
                 found += best_split(split_gain(cells, scale, lam, weight)).collect()
-            if level == 0:
-                self._single_leaves(blocks, scale, wanted, found)
+                if level == 0:
+                    self._single_leaves(blocks, scale, wanted, found)
             self.grown.add_level()
             wanted = []
             for s in found:
