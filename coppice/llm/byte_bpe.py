@@ -22,10 +22,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 
 from .common import flat, per_worker, slices, text_of
-from .token_counts import KEPT, byte_alphabet
+from .token_counts import byte_alphabet
 
 # Ids that one output batch holds at most, or one text's.
-BATCH_IDS = 1 << 20
+BATCH_IDS = 1 << 18
+# Pre-tokens whose ids a worker keeps, emptied when full, and that one call of the library gets.
+KEPT, _CALL = 300_000, 20_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -33,8 +35,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
-class ByteCodec:
-    """Encoder and decoder of one rank file."""
+class Encoder:
+    """Text to ids, by the ``tokenizers`` library."""
 
     def __init__(self, path: str, pattern: str):
         from tokenizers import Tokenizer, models, pre_tokenizers
@@ -42,43 +44,46 @@ class ByteCodec:
         ranks = read_ranks(path)
         letter = byte_alphabet()
         shown = {token: "".join(letter[b] for b in token) for token in ranks}
-        merges = [
+        merges = sorted(
             (rank, shown[token[:k]], shown[token[k:]])
             for token, rank in ranks.items()
             for k in range(1, len(token))
             if token[:k] in ranks and token[k:] in ranks
-        ]
-        merges.sort()
+        )
         model = models.BPE({shown[t]: r for t, r in ranks.items()}, [m[1:] for m in merges], ignore_merges=True)
         self.model = Tokenizer(model)
         self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.pattern = regex.compile(pattern)
-        size = max(ranks.values()) + 1
-        by_id = [b""] * size
-        for token, rank in ranks.items():
-            by_id[rank] = token
-        self.length = np.array([len(t) for t in by_id], np.int64)
-        self.start = np.concatenate([[0], np.cumsum(self.length)])
-        self.bytes = np.frombuffer(b"".join(by_id), np.uint8)
-        self.known: dict[str, list[int]] = {}
+        # Ids of a pre-token as the bytes of 32-bit numbers.
+        self.known: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; the texts' new pre-tokens go to the library in one call."""
         cut = [self.pattern.findall(t) for t in texts]
         new = list({p for pieces in cut for p in pieces if p not in self.known})
         if new:
             if len(self.known) + len(new) > KEPT:
                 self.known.clear()
                 new = list({p for pieces in cut for p in pieces})
-            found = self.model.encode_batch_fast(new, add_special_tokens=False)
-            self.known.update((p, e.ids) for p, e in zip(new, found, strict=True))
+            for start in range(0, len(new), _CALL):
+                part = new[start : start + _CALL]
+                found = self.model.encode_batch_fast(part, add_special_tokens=False)
+                self.known.update((p, np.array(e.ids, np.int32).tobytes()) for p, e in zip(part, found, strict=True))
         get = self.known.__getitem__
-        out = []
-        for pieces in cut:
-            ids: list[int] = []
-            for p in pieces:
-                ids += get(p)
-            out.append(ids)
-        return out
+        return [np.frombuffer(b"".join(map(get, pieces)), np.int32) for pieces in cut]
+
+
+class Decoder:
+    """Ids to bytes, by the reversed byte table."""
+
+    def __init__(self, path: str):
+        ranks = read_ranks(path)
+        by_id = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            by_id[rank] = token
+        self.length = np.array([len(t) for t in by_id], np.int64)
+        self.start = np.concatenate([[0], np.cumsum(self.length)])
+        self.bytes = np.frombuffer(b"".join(by_id), np.uint8)
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of the ids one after the other."""
@@ -94,8 +99,12 @@ def char_offsets(text: np.ndarray, at: np.ndarray) -> np.ndarray:
     return first[at] - 1
 
 
-def _codec(path: str, pattern: str) -> ByteCodec:
-    return per_worker(f"codec:{path}:{pattern}", lambda: ByteCodec(path, pattern))
+def _encoder(path: str, pattern: str) -> Encoder:
+    return per_worker(f"encoder:{path}:{pattern}", lambda: Encoder(path, pattern))
+
+
+def _decoder(path: str) -> Decoder:
+    return per_worker(f"decoder:{path}", lambda: Decoder(path))
 
 
 def _lists(sizes: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -103,7 +112,7 @@ def _lists(sizes: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Array
     return pa.ListArray.from_arrays(pa.array(at), pa.array(values, kind))
 
 
-def _parts(ids: list[list[int]]) -> Iterator[tuple[int, int]]:
+def _parts(ids: list[np.ndarray]) -> Iterator[tuple[int, int]]:
     start, held = 0, 0
     for k, one in enumerate(ids):
         if k > start and held + len(one) > BATCH_IDS:
@@ -129,20 +138,20 @@ def encode(
         schema = schema.add("char_start", ArrayType(IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(path, pattern)
+        encoder, decoder = _encoder(path, pattern), _decoder(path)
         for batch in batches:
             for part in slices(batch, "__text"):
                 texts = text_of(part.column(len(kept)))
-                ids = codec.encode(texts.to_pylist())
+                ids = encoder.encode(texts.to_pylist())
                 buf, at = flat(texts)
                 for a, b in _parts(ids):
                     sizes = np.array([len(x) for x in ids[a:b]], np.int64)
-                    values = np.fromiter((v for x in ids[a:b] for v in x), np.int32, int(sizes.sum()))
+                    values = np.concatenate(ids[a:b])
                     cols = [part.column(k).slice(a, b - a) for k in range(len(kept))] + [_lists(sizes, values, pa.int32())]
                     if offsets:
                         starts, done = [], 0
                         for k, n in zip(range(a, b), sizes, strict=True):
-                            size = codec.length[values[done : done + n]]
+                            size = decoder.length[values[done : done + n]]
                             starts.append(char_offsets(buf[at[k] : at[k + 1]], np.cumsum(size) - size))
                             done += n
                         cols.append(_lists(sizes, np.concatenate(starts), pa.int32()))
@@ -151,7 +160,7 @@ def encode(
     return inner.mapInArrow(run, schema)
 
 
-def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
+def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """All columns of ``encoded``, and ``decoded_bytes`` (binary) and ``decoded`` (text) made from
     the ids; NULL ids give empty ones. Ids outside the file raise."""
     kept = [c for c in encoded.columns if c not in ("decoded_bytes", "decoded")]
@@ -160,19 +169,18 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids") ->
     where = kept.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(path, pattern)
+        codec = _decoder(path)
         for batch in batches:
             lists = batch.column(where)
             sizes = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            values = pa.compute.list_flatten(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-            if len(values) and (values.min() < 0 or values.max() >= len(codec.length)):
-                raise ValueError("an id is not in the rank file")
-            ends = np.cumsum(sizes)
+            ends = np.cumsum(sizes, dtype=np.int64)
             start = 0
             while start < len(sizes):
                 base = ends[start - 1] if start else 0
                 stop = max(start + 1, int(np.searchsorted(ends, base + BATCH_IDS, side="right")))
-                ids = values[base : ends[stop - 1]]
+                ids = pa.compute.list_flatten(lists.slice(start, stop - start)).to_numpy(zero_copy_only=False)
+                if len(ids) and (ids.min() < 0 or ids.max() >= len(codec.length)):
+                    raise ValueError("an id is not in the rank file")
                 raw = codec.decode(ids)
                 per_id = np.concatenate([[0], np.cumsum(codec.length[ids])])
                 cuts = per_id[np.concatenate([[base], ends[start:stop]]) - base].astype(np.int32)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .byte_bpe import decode, encode
 from .common import table
-from .decontaminate import leaks
+from .decontaminate import COVERAGE, MIN_LITERALS, NAME, NUMBER, POINT, UNIT, UNITS, WIDTH, leaks
 from .html_extract import extract_text
 from .kk_shards import kk_shards
 from .license_scan import license_scan
@@ -46,7 +46,7 @@ def op5_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Encodes and decodes; the digests are derived from the ids and the decoded bytes."""
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    both = decode(encode(docs, path, pattern), path, pattern)
+    both = decode(encode(docs, path, pattern), path)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -101,4 +101,51 @@ QUERIES = {
     "op9_kk_shards": op9_kk_shards,
     "op10_html_extract": op10_html_extract,
 }
-ORACLES: dict[str, str] = {}
+
+
+def _canonical_sql(text: str) -> str:
+    """Words of a text with typed ones marked, as ``decontaminate.canonical`` has them."""
+    marked = f"regexp_replace(coalesce({text}, ''), '([0-9])[.,]([0-9])', '\\1{POINT}\\2', 'g')"
+    marked = f"regexp_replace({marked}, '([\\p{{Ll}}0-9,;] )(\\p{{Lu}})', '\\1{NAME}\\2', 'g')"
+    pieces = f"list_filter(regexp_split_to_array(lower({marked}), '[^\\p{{L}}\\p{{N}}{NAME}{POINT}]+'), lambda t: t <> '')"
+    units = ", ".join(f"'{u}'" for u in UNITS)
+    number = lambda t: f"({t} >= '0' AND {t} < ':')"
+    return f"""
+      (SELECT list_transform(list_zip(ws, list_prepend('', ws)[:len(ws)]), lambda p: CASE
+         WHEN {number("p[1]")} THEN '{NUMBER}' || p[1]
+         WHEN {number("p[2]")} AND p[1] IN ({units}) THEN '{UNIT}' || p[1] ELSE p[1] END)
+       FROM (SELECT {pieces} AS ws))"""
+
+
+def _kinds_sql(words: str) -> str:
+    return f"list_transform({words}, lambda t: CASE WHEN t >= '{NUMBER}' AND t < '{POINT}' THEN t[1] ELSE t END)"
+
+
+LEAKS_SQL = f"""
+WITH d AS (SELECT doc_id, {_canonical_sql("text")} AS words FROM documents),
+b AS (SELECT item_id, words, least(len(words), {WIDTH}) AS width FROM (SELECT item_id, {_canonical_sql("text")} AS words FROM benchmark)),
+bw AS (SELECT item_id, width, spot, words[spot + 1:spot + width] AS typed
+       FROM (SELECT *, unnest(range(0, len(words) - width + 1)) AS spot FROM b WHERE width > 0)),
+bs AS (SELECT item_id, width, shape, arg_min(typed, spot) AS typed, min(spot) AS spot
+       FROM (SELECT *, {_kinds_sql("typed")} AS shape FROM bw)
+       WHERE len(list_distinct(list_filter(shape, lambda t: t < '{NUMBER}' OR t >= '{POINT}'))) >= least(width, {MIN_LITERALS})
+       GROUP BY item_id, width, shape),
+dw AS (SELECT doc_id, width, pos, words[pos + 1:pos + width] AS seen
+       FROM (SELECT d.*, w.width, unnest(range(0, len(words) - w.width + 1)) AS pos
+             FROM d CROSS JOIN (SELECT DISTINCT width FROM bs) w WHERE len(words) >= w.width)),
+hits AS (SELECT doc_id, item_id, pos, spot, pos - spot AS shift,
+           list_filter(list_zip(typed, seen), lambda p: p[1] >= '{NUMBER}' AND p[1] < '{POINT}') AS slots
+         FROM (SELECT *, {_kinds_sql("seen")} AS shape FROM dw) x JOIN bs USING (width, shape)),
+lines AS (SELECT doc_id, item_id, shift, list(DISTINCT spot) AS spots, list_distinct(flatten(list(slots))) AS slots, min(pos) AS first_word
+          FROM hits GROUP BY doc_id, item_id, shift),
+kept AS (SELECT doc_id, item_id, first_word, unnest(spots) AS spot FROM lines
+         WHERE len(list_distinct(list_transform(slots, lambda p: p[1]))) = len(slots)
+           AND len(list_distinct(list_transform(slots, lambda p: p[2]))) = len(slots)),
+n AS (SELECT doc_id, item_id, count(DISTINCT spot) AS n_windows, CAST(min(first_word) AS BIGINT) AS first_word FROM kept GROUP BY ALL),
+t AS (SELECT item_id, count(*) AS total FROM bs GROUP BY item_id)
+SELECT doc_id, item_id, n_windows, n_windows / total AS coverage, first_word
+FROM n JOIN t USING (item_id) WHERE n_windows / total >= {COVERAGE}
+"""
+ORACLES: dict[str, str] = {
+    "op4_decontaminate": LEAKS_SQL,
+}

@@ -63,7 +63,7 @@ def encode_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their ids (operator 5); ``round_trip`` tells that the ids decode to the text."""
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     with_text = docs.withColumn("sha256", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
-    both = decode(encode(with_text, path, pattern), path, pattern)
+    both = decode(encode(with_text, path, pattern), path)
     return both.select(
         "doc_id",
         "lang",

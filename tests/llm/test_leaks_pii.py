@@ -3,11 +3,12 @@ import re
 from datetime import date
 
 import pytest
+from compare import connect, spark_rows, sql_rows
 from pyspark.sql import functions as F
 
 from coppice.llm import pii
 from coppice.llm.decontaminate import NAME, NUMBER, POINT, UNIT, canonical, decontaminate, leaks
-from coppice.llm.queries import op4_decontaminate
+from coppice.llm.queries import ORACLES, QUERIES, op4_decontaminate
 
 KEY = b"k" * 32
 
@@ -155,3 +156,9 @@ def test_texts_keep_links_and_all_else(make_docs, odd_rows, no_rows):
     odd = pii.pseudonymise(odd_rows, "k")
     assert sorted(map(str, [r.text for r in odd.collect()])) == sorted(map(str, [r.text for r in odd_rows.collect()]))
     assert odd.columns.count("pii") == 1 and pii.pseudonymise(no_rows, "k").collect() == []
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, sf, name):
+    got, want = spark_rows(QUERIES[name](spark, sf)), sql_rows(connect(sf), ORACLES[name])
+    assert got == want and got[1]

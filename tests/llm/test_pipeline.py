@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline as P
 import __spark_entry__ as entry
 from coppice.llm import pii
-from coppice.llm.byte_bpe import ByteCodec
+from coppice.llm.byte_bpe import Encoder
 from coppice.session import written
 
 
@@ -50,12 +50,12 @@ def test_stages(spark, sf, planted):
         else:
             assert all(after[i] == before[i] for i in after)
     last = P.STAGES[-1][1](spark, docs, sf)
-    codec = ByteCodec(P.public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), P.public_tokenizers.PATTERN)
+    codec = Encoder(P.public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), P.public_tokenizers.PATTERN)
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
     rows = last.collect()
     assert len(rows) == len(texts) and all(r.round_trip for r in rows)
     for r in rows[:50]:
-        assert codec.encode([texts[r.doc_id]])[0] == list(r.ids) and r.n_tokens == len(r.ids)
+        assert codec.encode([texts[r.doc_id]])[0].tolist() == list(r.ids) and r.n_tokens == len(r.ids)
 
 
 def test_run_equals_the_stages_and_odd_rows(spark, sf, odd_rows, no_rows):

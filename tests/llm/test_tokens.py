@@ -9,7 +9,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from coppice.llm.byte_bpe import ByteCodec, char_offsets, decode, encode
+from coppice.llm.byte_bpe import Decoder, Encoder, char_offsets, decode, encode
 from coppice.llm.queries import op5_byte_bpe
 from coppice.llm.token_counts import load, token_counts
 
@@ -51,16 +51,16 @@ def test_counts_query_and_odd_rows(odd_rows, no_rows):
 
 
 def test_codec_equals_the_library(gold):
-    codec = ByteCodec(RANKS, P.PATTERN)
+    decoder = Decoder(RANKS)
     texts = TEXTS + random_texts(600)
-    got = codec.encode(texts)
+    got = [ids.tolist() for ids in Encoder(RANKS, P.PATTERN).encode(texts)]
     assert got == [gold.encode_ordinary(t) for t in texts]
     for t, ids in zip(texts, got):
-        assert codec.decode(np.array(ids, np.int64)).tobytes() == t.encode()
+        assert decoder.decode(np.array(ids, np.int64)).tobytes() == t.encode()
 
 
 def test_encode_decode_tables(odd_rows, no_rows, gold):
-    both = decode(encode(odd_rows, RANKS, P.PATTERN, offsets=True), RANKS, P.PATTERN)
+    both = decode(encode(odd_rows, RANKS, P.PATTERN, offsets=True), RANKS)
     assert both.columns.count("ids") == 1 and "text" not in both.columns
     rows = both.select("doc_id", "ids", "char_start", "decoded").collect()
     texts = sorted(r.text or "" for r in odd_rows.collect())
@@ -77,11 +77,11 @@ def test_offsets_and_split_characters(spark, gold):
     assert char_offsets(buf, np.arange(len(buf))).tolist() == [0, 1, 2, 2, 2, 2, 3, 3, 4, 4, 4]
     ids = gold.encode_ordinary("😀 \U0001f9ff")
     cut = spark.createDataFrame([(1, ids[:-1]), (2, None), (3, [])], "doc_id long, ids array<int>")
-    got = {r.doc_id: r for r in decode(cut, RANKS, P.PATTERN).collect()}
+    got = {r.doc_id: r for r in decode(cut, RANKS).collect()}
     assert bytes(got[1].decoded_bytes) == gold.decode_bytes(ids[:-1]) and got[1].decoded.endswith("�")
     assert got[2].decoded == got[3].decoded == ""
     with pytest.raises(Exception, match="not in the rank file"):
-        decode(spark.createDataFrame([(1, [70_000])], "doc_id long, ids array<int>"), RANKS, P.PATTERN).collect()
+        decode(spark.createDataFrame([(1, [70_000])], "doc_id long, ids array<int>"), RANKS).collect()
 
 
 def test_query_digests(spark, sf, gold):
