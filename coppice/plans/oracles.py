@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 Y3 = """
 SELECT concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT)) AS row_id,
        CAST(l_quantity AS FLOAT) AS f0, CAST(l_extendedprice AS FLOAT) AS f1, CAST(l_discount AS FLOAT) AS f2,
@@ -435,3 +437,74 @@ ORACLES |= {
         FROM events WHERE event_id % 5 IN (1, 2, 4)
         UNION ALL SELECT event_id, 1, 'answered' FROM events WHERE event_id % 5 = 2""",
 }
+
+# Whole trainings -----------------------------------------------------------------
+
+
+def _tree_features(round_no: int, tree: int, ratio: float = 0.8, seed: int = 42) -> str:
+    order = sorted(range(4), key=lambda f: hashlib.md5(f"{seed}:{round_no}:{tree}:{f}".encode()).hexdigest())
+    return ", ".join(map(str, sorted(order[: int(ratio * 4)])))
+
+
+def boost_sql(rounds: int, depth: int, rate: float, ratio: float = 0.8, seed: int = 42) -> str:
+    """A training with row and feature samples: ``m0`` ... hold the margins of every row after each
+    round, as plain steps: derivatives, histogram, best split and routing of each level, leaves."""
+    top = "greatest(m0, m1, m2)"
+    out = [
+        f"""{BINNED},
+        st0 AS MATERIALIZED (
+          SELECT row_id, split, label, [b0, b1, b2, b3] AS bins, {_hash8("row_id")} % {_P} AS hash,
+                 0.0::DOUBLE AS m0, 0.0::DOUBLE AS m1, 0.0::DOUBLE AS m2 FROM binned)"""
+    ]
+    for r in range(rounds):
+        digest = hashlib.md5(f"{seed}:{r}".encode()).hexdigest()
+        a, b = max(1, int(digest[:7], 16)), int(digest[7:14], 16)
+        used = " WHEN ".join(f"{k} THEN [{_tree_features(r, k, ratio, seed)}]" for k in range(3))
+        out.append(f"""
+        e{r} AS (SELECT *, exp(m0 - {top}) AS e0, exp(m1 - {top}) AS e1, exp(m2 - {top}) AS e2 FROM st{r}),
+        t{r}_0 AS MATERIALIZED (
+          SELECT row_id, split, label, bins, tree, 0 AS node, CASE tree WHEN {used} END AS used,
+                 split = 'train' AND (hash * {a} + {b}) % {_P} < {int(ratio * _P)} AS sampled,
+                 CAST(round_even((p - CASE WHEN label = tree THEN 1 ELSE 0 END) * {_BIG}, 0) AS BIGINT) AS g,
+                 CAST(round_even(p * (1 - p) * {_BIG}, 0) AS BIGINT) AS h
+          FROM (SELECT *, unnest([0, 1, 2]) AS tree, unnest([e0, e1, e2]) / (e0 + e1 + e2) AS p FROM e{r}))""")
+        for lv in range(depth):
+            out.append(f"""
+            c{r}_{lv} AS (
+              SELECT tree, node, feature, bin, CAST(sum(g) AS BIGINT) AS g, CAST(sum(h) AS BIGINT) AS h
+              FROM (SELECT tree, node, g, h, unnest(used) AS feature, unnest(list_transform(used, lambda f: bins[f + 1])) AS bin
+                    FROM t{r}_{lv} WHERE sampled AND node >= {2 ** lv - 1}) GROUP BY ALL),
+            s{r}_{lv} AS MATERIALIZED ({best_sql(gains_sql(f"c{r}_{lv}", float(_BIG)))}),
+            t{r}_{lv + 1} AS MATERIALIZED (
+              SELECT t.* REPLACE (CASE WHEN s.tree IS NULL THEN t.node WHEN t.bins[s.feature + 1] <= s.bin THEN 2 * t.node + 1
+                                  ELSE 2 * t.node + 2 END AS node)
+              FROM t{r}_{lv} t LEFT JOIN s{r}_{lv} s ON t.tree = s.tree AND t.node = s.node)""")
+        splits = " UNION ALL ".join(f"SELECT tree, node, gl, hl, gr, hr FROM s{r}_{lv}" for lv in range(depth))
+        out.append(f"""
+        v{r} AS (
+          SELECT tree, node, -g * {rate!r}::DOUBLE / (h + 1) AS v
+          FROM (SELECT tree, 2 * node + 1 AS node, gl AS g, hl AS h FROM ({splits})
+                UNION ALL SELECT tree, 2 * node + 2, gr, hr FROM ({splits}))),
+        st{r + 1} AS MATERIALIZED (
+          SELECT s.* REPLACE (m0 + v0 AS m0, m1 + v1 AS m1, m2 + v2 AS m2)
+          FROM st{r} s JOIN (
+            SELECT row_id, {", ".join(f"max(v) FILTER (t.tree = {k}) AS v{k}" for k in range(3))}
+            FROM t{r}_{depth} t JOIN v{r} v ON t.tree = v.tree AND t.node = v.node GROUP BY row_id) USING (row_id))""")
+    return ",".join(out)
+
+
+_LOSS = "ln(exp(m0 - {t}) + exp(m1 - {t}) + exp(m2 - {t})) + {t} - [m0, m1, m2][label + 1]".format(t="greatest(m0, m1, m2)")
+_ARGM = "CASE WHEN m0 >= m1 AND m0 >= m2 THEN 0 WHEN m1 >= m2 THEN 1 ELSE 2 END"
+
+ORACLES |= {
+    "train_predict": boost_sql(5, 3, 0.3) + f"""
+        SELECT row_id, {_ARGM} AS predicted_class, label AS true_label,
+               round(1 / (exp(m0 - t) + exp(m1 - t) + exp(m2 - t)), 6) AS predicted_probability
+        FROM (SELECT *, greatest(m0, m1, m2) AS t FROM st5) WHERE split = 'test'""",
+    "train_curve": boost_sql(3, 3, 0.3) + " UNION ALL ".join(
+        f"""
+        SELECT 'y3' AS model_id, {r} AS step, round(avg({_LOSS}) FILTER (split = 'train'), 6) AS train_mlogloss,
+               round(avg({_LOSS}) FILTER (split = 'test'), 6) AS test_mlogloss FROM st{r + 1}"""
+        for r in range(3)
+    ),
+}
