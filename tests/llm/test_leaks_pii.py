@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 from datetime import date
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from coppice.llm import pii
 from coppice.llm.decontaminate import NAME, NUMBER, POINT, UNIT, canonical, decontaminate, leaks
-from coppice.llm.queries import ORACLES, QUERIES, op4_decontaminate
+from coppice.llm.queries import ORACLES, PII_KEY, QUERIES, op2_pii, op4_decontaminate
 
 KEY = b"k" * 32
 
@@ -162,3 +163,14 @@ def test_texts_keep_links_and_all_else(make_docs, odd_rows, no_rows):
 def test_query_equals_sql(spark, sf, name):
     got, want = spark_rows(QUERIES[name](spark, sf)), sql_rows(connect(sf), ORACLES[name])
     assert got == want and got[1]
+
+
+def test_pii_query_equals_plain_rewriting(spark, sf):
+    key = hashlib.sha256(PII_KEY.encode()).digest()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    for r in op2_pii(spark, sf).collect():
+        text = want = texts[r.doc_id]
+        found = pii.find(text, key)
+        for _, start, end, new in reversed(found):
+            want = want[:start] + new + want[end:]
+        assert (r.text, r.n_pii, r.kinds) == (want, len(found), ",".join(sorted({f[0] for f in found})))

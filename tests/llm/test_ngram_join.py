@@ -8,6 +8,7 @@ import pytest
 from coppice.llm.common import sets_of_shingles, slices
 from coppice.llm.components import components
 from coppice.llm.ngram_join import DELETION_SIZE, allowances, bands, bits_apart, ngram_join, parities, signatures
+from coppice.llm.queries import op1_ngram_join
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -67,6 +68,12 @@ def test_equals_brute_force(make_docs, seed):
     assert got == brute(rows)
 
 
+def test_query_equals_brute_force(spark, sf):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in op1_ngram_join(spark, sf).collect()}
+    assert got == brute(rows)
+
+
 def test_every_link_shares_a_signature_with_a_probe():
     r = random.Random(5)
     universe = np.array([r.getrandbits(64) for _ in range(4000)], np.uint64)

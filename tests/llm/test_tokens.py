@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from coppice.llm.byte_bpe import Decoder, Encoder, char_offsets, decode, encode
-from coppice.llm.queries import op5_byte_bpe
+from coppice.llm.queries import op3_token_counts, op5_byte_bpe
 from coppice.llm.token_counts import load, token_counts
 
 JSON, RANKS = P.path("byte_bpe_50k.json"), P.path("byte_bpe_multi_50k.tiktoken")
@@ -91,3 +91,11 @@ def test_query_digests(spark, sf, gold):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(d.text.encode()).hexdigest()
+
+
+def test_count_query_equals_the_library(spark, sf):
+    library = Tokenizer.from_file(JSON)
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    for r in op3_token_counts(spark, sf).collect():
+        want = len(library.encode(texts[r.doc_id], add_special_tokens=False).ids)
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(texts[r.doc_id].encode()), want, want > 512)
