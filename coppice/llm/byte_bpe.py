@@ -19,15 +19,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, StructType
 
-from .common import flat, per_worker, slices, text_of
+from .common import flat, per_worker, slices, small_batches, text_of
 from .token_counts import byte_alphabet
 
 # Ids that one output batch holds at most, or one text's.
 BATCH_IDS = 1 << 18
 # Pre-tokens whose ids a worker keeps, emptied when full, and that one call of the library gets.
-KEPT, _CALL = 300_000, 20_000
+KEPT, _CALL = 200_000, 10_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -124,18 +124,21 @@ def _parts(ids: list[np.ndarray]) -> Iterator[tuple[int, int]]:
 
 
 def encode(
-    docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", offsets: bool = False
+    docs: DataFrame, path: str, pattern: str, text_col: str = "text", offsets: bool = False, round_trip: bool = False
 ) -> DataFrame:
     """All columns of ``docs`` but ``text_col``, and ``ids``; with ``offsets`` also ``char_start``,
-    the character of the text at which each token starts. A column of ``docs`` with the name of an
+    the character of the text at which each token starts; with ``round_trip`` also whether the ids,
+    decoded, are the text again, byte for byte. A column of ``docs`` with the name of an
     output column is replaced. A NULL or empty text has no ids. ``path`` and ``pattern`` name a rank
     file and its pre-token pattern; each match of the pattern is encoded by itself."""
-    made = ["ids", "char_start"] if offsets else ["ids"]
+    made = ["ids"] + ["char_start"] * offsets + ["round_trip"] * round_trip
     kept = [c for c in docs.columns if c not in (text_col, *made)]
-    inner = docs.select(*kept, F.col(text_col).cast("string").alias("__text"))
+    inner = small_batches(docs).select(*kept, F.col(text_col).cast("string").alias("__text"))
     schema = StructType(inner.schema.fields[:-1]).add("ids", ArrayType(IntegerType()))
     if offsets:
         schema = schema.add("char_start", ArrayType(IntegerType()))
+    if round_trip:
+        schema = schema.add("round_trip", BooleanType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _encoder(path, pattern), _decoder(path)
@@ -155,6 +158,9 @@ def encode(
                             starts.append(char_offsets(buf[at[k] : at[k + 1]], np.cumsum(size) - size))
                             done += n
                         cols.append(_lists(sizes, np.concatenate(starts), pa.int32()))
+                    if round_trip:
+                        same = [np.array_equal(decoder.decode(ids[k]), buf[at[k] : at[k + 1]]) for k in range(a, b)]
+                        cols.append(pa.array(same, pa.bool_()))
                     yield pa.RecordBatch.from_arrays(cols, schema.names)
 
     return inner.mapInArrow(run, schema)
@@ -164,7 +170,7 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """All columns of ``encoded``, and ``decoded_bytes`` (binary) and ``decoded`` (text) made from
     the ids; NULL ids give empty ones. Ids outside the file raise."""
     kept = [c for c in encoded.columns if c not in ("decoded_bytes", "decoded")]
-    inner = encoded.select(*kept)
+    inner = small_batches(encoded).select(*kept)
     schema = StructType([*inner.schema.fields]).add("decoded_bytes", BinaryType())
     where = kept.index(ids_col)
 

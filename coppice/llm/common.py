@@ -38,6 +38,21 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+# Bytes of one Arrow batch. A task holds a batch in the JVM and in Python, there next to what it
+# makes of it, so Spark's default of 64 MB takes several times that of an executor.
+BATCH_BYTES = "8m"
+_BATCH_KEY, _DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df`` itself, with the session's limit for Arrow batches lowered to ``BATCH_BYTES`` where it
+    has its default value; a limit that was set stays. Results do not depend on it."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_KEY, None) == _DEFAULT:
+        conf.set(_BATCH_KEY, BATCH_BYTES)
+    return df
+
+
 def text_of(column) -> pa.Array:
     """A string column as one array without nulls."""
     if isinstance(column, pa.ChunkedArray):

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, byte_class, flat, hash_words, slices, text_of, words
+from .common import U, byte_class, flat, hash_words, slices, small_batches, text_of, words
 from .html_blocks import Block, blocks
 from .page_grammar import Grammar
 
@@ -220,7 +220,7 @@ def extract_text(
     the name of an output column is replaced. The whole page is read, however long."""
     made = ("text", "n_chars", "n_blocks")
     kept = [c for c in pages.columns if c != html_col and c not in made]
-    inner = pages.select(*kept, F.col(html_col).cast("string").alias("__html"))
+    inner = small_batches(pages).select(*kept, F.col(html_col).cast("string").alias("__html"))
     weights = (model or train()).p
     fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in inner.schema.fields[:-1]), "text string, n_chars long, n_blocks long"])
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_class, flat, slices, text_of, words
+from .common import byte_class, flat, slices, small_batches, text_of, words
 from .license_texts import PHRASES, TEMPLATES
 
 _INSIDE = byte_class(bytes([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]))
@@ -153,7 +153,7 @@ def license_scan(
 
     A NULL or empty text has no words and no matches. NULL and repeated ids keep one row each;
     other columns are not read."""
-    inner = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    inner = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     match = pa.struct([("label", pa.string()), ("first", pa.int64()), ("last", pa.int64()), ("phrase", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

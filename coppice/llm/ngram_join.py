@@ -34,13 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .common import U, mix, sets_of_shingles, slices, text_of
+from .common import U, mix, sets_of_shingles, slices, small_batches, text_of
 from .components import components
 
 # Least content size at which a segment may get the allowance 2.
 DELETION_SIZE = 9
 # Postings that one bucket holds on average.
 BUCKET_POSTINGS = 400_000
+# Class ids that a task remembers, so as not to post a set again.
+KEPT_CLASSES = 200_000
 # Members of a signature that meet in one task in the second pass.
 BLOCK = 2_048
 _PROBE, _DELETED = 1, 2
@@ -163,12 +165,18 @@ def _describe(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
 
 
 def _postings(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, buckets: int):
-    """Postings dealt by signature; one packed row per bucket and slice."""
+    """Postings dealt by signature; one packed row per bucket and slice. Copies of a set that the
+    task has met give nothing again, so that a large group of copies costs one set per task."""
+    met: set[int] = set()
     for batch in batches:
-        for part in slices(batch, "text", 4 << 20):
+        for part in slices(batch, "text"):
             unique = {}
             for s in sets_of_shingles(text_of(part.column(1)), n):
-                unique.setdefault(int(class_id(s)), s)
+                if (cls := int(class_id(s))) not in met:
+                    unique[cls] = s
+            if len(met) > KEPT_CLASSES:
+                met.clear()
+            met.update(unique)
             key, who, flag = signatures(list(unique.values()), np.array(list(unique), np.int64), num, den)
             bucket = (((key >> U(32)) * U(buckets)) >> U(32)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
@@ -258,22 +266,10 @@ def _whole_sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.Record
             sets = sets_of_shingles(text_of(part.column(1)), n)
             cls = np.array([class_id(s) for s in sets], np.int64)
             keep = np.flatnonzero(cls == part.column(0).to_numpy())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cls[keep]), pa.array([sets[i].tobytes() for i in keep], pa.binary())], ["cls", "shingles"]
-            )
-
-
-def _verify(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """The pairs whose sets are similar enough, counted exactly."""
-    for batch in batches:
-        keep = []
-        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = np.concatenate([x, y])
-            both.sort(kind="stable")
-            common = int((both[1:] == both[:-1]).sum())
-            keep.append(den * common >= num * (len(both) - common))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            at = np.concatenate([[0], np.cumsum([len(sets[i]) for i in keep])]).astype(np.int32)
+            held = np.concatenate([sets[i] for i in keep]) if len(keep) else np.zeros(0, np.uint64)
+            lists = pa.ListArray.from_arrays(pa.array(at), pa.array(held.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(cls[keep]), lists], ["cls", "shingles"])
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -298,12 +294,13 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, num
     wanted = wanted.join(classes.select("cls", "rep"), "cls")
     sets = docs.join(wanted, docs["id"].eqNullSafe(wanted["rep"])).select("cls", "text")
     sets, _ = written(
-        sets.mapInArrow(lambda it: _whole_sets(it, n), "cls long, shingles binary").dropDuplicates(["cls"]), "sets"
+        sets.mapInArrow(lambda it: _whole_sets(it, n), "cls long, shingles array<long>").dropDuplicates(["cls"]), "sets"
     )
     full = left.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x")), "a")
     full = full.join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y")), "b")
-    links = full.select("a", "b", "x", "y").mapInArrow(lambda it: _verify(it, num, den), "a long, b long")
-    return written(links, "links")[0]
+    full = full.withColumn("common", F.size(F.array_intersect("x", "y")))
+    alike = den * F.col("common") >= num * (F.size("x") + F.size("y") - F.col("common"))
+    return written(full.where(alike).select("a", "b"), "links")[0]
 
 
 def _first_pairs(met: DataFrame) -> DataFrame:
@@ -342,7 +339,7 @@ def ngram_join(
     """``id_col``, ``n_shingles`` and ``component_id`` of every row (see the module). Two texts link
     when ``den`` times the intersection is at least ``num`` times the union of their sets of
     ``n``-word shingles. Intermediate tables go to the folder of ``spark.checkpoint.dir``."""
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    docs = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = docs.schema["id"].dataType
     described, _ = written(
         docs.mapInArrow(

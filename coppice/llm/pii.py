@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_class, flat, slices, text_of
+from .common import byte_class, flat, slices, small_batches, text_of
 
 ROUNDS = 8
 _FIRST_DAY, _LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
@@ -243,7 +243,7 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
     A NULL text stays NULL, an empty one empty; both have no places. A column ``pii`` of ``docs`` is
     replaced; rows are kept as they are otherwise. Texts are read and kept whole."""
     secret_key = hashlib.sha256(key.encode()).digest()
-    inner = docs.drop("pii").withColumn(text_col, F.col(text_col).cast("string"))
+    inner = small_batches(docs).drop("pii").withColumn(text_col, F.col(text_col).cast("string"))
     names, at = inner.columns, inner.columns.index(text_col)
     place = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("pseudonym", pa.string())])
 

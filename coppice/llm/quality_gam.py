@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .common import SPACE, byte_class, flat, hash_windows, hash_words, slices, text_of, words
+from .common import SPACE, byte_class, flat, hash_windows, hash_words, slices, small_batches, text_of, words
 
 STATISTICS = (
     "log_words", "word_length", "word_spread", "symbols", "bangs", "upper", "digits", "marks_at_end",
@@ -90,7 +90,7 @@ def statistics(texts: pa.Array) -> np.ndarray:
 
 def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id`` and the statistics of every row."""
-    inner = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    inner = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

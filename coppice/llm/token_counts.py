@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_worker, slices, text_of
+from .common import per_worker, slices, small_batches, text_of
 
 # Pre-tokens whose counts a worker keeps; the store is emptied when it is full.
 KEPT = 1_000_000
@@ -134,7 +134,7 @@ def token_counts(
     result; other columns are not read. ``path`` names a byte-level BPE file of the ``tokenizers``
     format at the same place on every executor, ``pattern`` its pre-token pattern. Strings of the
     file's special tokens count as one token each."""
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    docs = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = per_worker(f"merges:{path}:{pattern}", lambda: load(path, pattern))

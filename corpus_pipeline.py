@@ -24,7 +24,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coppice.llm.byte_bpe import decode, encode
+from coppice.llm.byte_bpe import encode
 from coppice.llm.common import table
 from coppice.llm.decontaminate import decontaminate as without_leaks
 from coppice.llm.ngram_join import ngram_join
@@ -62,15 +62,9 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their ids (operator 5); ``round_trip`` tells that the ids decode to the text."""
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    with_text = docs.withColumn("sha256", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
-    both = decode(encode(with_text, path, pattern), path)
-    return both.select(
-        "doc_id",
-        "lang",
-        "source",
-        "ids",
-        F.size("ids").cast("long").alias("n_tokens"),
-        (F.sha2("decoded_bytes", 256) == F.col("sha256")).alias("round_trip"),
+    encoded = encode(docs, path, pattern, round_trip=True)
+    return encoded.select(
+        "doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), "round_trip"
     )
 
 
