@@ -5,8 +5,9 @@ a sentence) and units behind numbers are typed slots. Windows of ``width`` words
 reduced to its type, are hashed and joined between benchmark and documents, and the canonical words
 compared. Windows that lie on one diagonal (same shift between document and item) must agree on
 their slots: a benchmark value has to stand for one document value and the other way round, so that
-re-parameterised questions are found and chance templates are not. An item has leaked into a
-document when the windows that are left cover a share of the item's windows.
+re-parameterised questions are found and chance templates are not. Only the windows with a slot that
+contradicts this are left out; those without slots or with the benchmark's own values always count.
+An item has leaked into a document when the windows that are left cover a share of the item's windows.
 
 The windows of the benchmark are written once and counted; up to ``BROADCAST_ROWS`` of them are
 broadcast, beyond that the same join is left to the planner. Where the benchmark has at most
@@ -102,6 +103,17 @@ def _hashed_shape(width: int) -> Column:
     return F.xxhash64(*[F.xxhash64(F.get("shape", F.lit(k))) for k in range(width)])
 
 
+def _agreeing() -> Column:
+    """Places in the item of a diagonal's ``windows`` whose slots agree with its ``pairs``. A pair of
+    equal values always agrees; another one if neither value is in a second pair."""
+    once = lambda p, name: F.size(F.filter("pairs", lambda q: q[name] == p[name])) == 1
+    agreeing = F.filter("pairs", lambda p: (p["theirs"] == p["ours"]) | (once(p, "theirs") & once(p, "ours")))
+    side = lambda name: F.size(F.array_distinct(F.transform("pairs", lambda p: p[name])))
+    all_agree = (side("theirs") == F.size("pairs")) & (side("ours") == F.size("pairs"))
+    some = F.filter("windows", lambda w: F.size(F.array_except(w["slots"], agreeing)) == 0)
+    return F.transform(F.when(all_agree, F.col("windows")).otherwise(some), lambda w: w["at"])
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -147,15 +159,11 @@ def leaks(
         hits = hits.select("id", "item_id", (F.col("pos") - F.col("at")).alias("shift"), "pos", "at", pairs.alias("slots"))
         found = hits if found is None else found.union(hits)
     # At most as many windows as the item has lie on one diagonal.
-    lines = found.groupBy("id", "item_id", "shift").agg(
-        F.collect_set("at").alias("at"),
-        F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
-        F.min("pos").alias("first_word"),
-    )
-    side = lambda name: F.size(F.array_distinct(F.transform("slots", lambda p: p[name])))
-    lines = lines.where((side("theirs") == F.size("slots")) & (side("ours") == F.size("slots")))
-    covered = lines.select("id", "item_id", "first_word", F.explode("at").alias("at")).groupBy("id", "item_id").agg(
-        F.countDistinct("at").alias("n_windows"), F.min("first_word").cast("long").alias("first_word")
+    lines = found.groupBy("id", "item_id", "shift").agg(F.collect_set(F.struct("at", "slots")).alias("windows"))
+    lines = lines.withColumn("pairs", F.array_distinct(F.flatten(F.transform("windows", lambda w: w["slots"]))))
+    lines = lines.select("id", "item_id", "shift", F.explode(_agreeing()).alias("at"))
+    covered = lines.groupBy("id", "item_id").agg(
+        F.countDistinct("at").alias("n_windows"), F.min(F.col("at") + F.col("shift")).cast("long").alias("first_word")
     )
     out = covered.join(totals, "item_id").withColumn("coverage", F.col("n_windows") / F.col("total"))
     return out.where(F.col("coverage") >= coverage).select(

@@ -64,6 +64,15 @@ def test_slots_must_agree(spark, make_docs):
     assert [r.doc_id for r in leaks(make_docs(rows), item).collect()] == [1]
 
 
+def test_one_altered_slot_leaves_the_other_windows(spark, make_docs):
+    text = "put 12 apples in the big basket by the old door and walk slowly home then put 12 pears on the table for Maria"
+    item = spark.createDataFrame([(1, text)], "item_id long, text string")
+    rows = [(1, text), (2, text.replace("12 pears", "13 pears")), (3, text.replace("12 pears", "13 pears").replace("Maria", "Anna"))]
+    got = {r.doc_id: (r.n_windows, r.first_word) for r in leaks(make_docs(rows), item).collect()}
+    # Of 17 windows, 7 hold the second number.
+    assert got == {1: (17, 0), 2: (10, 0), 3: (10, 0)}
+
+
 def brute_leaks(docs, items, width=8):
     word = re.compile(r"[^\W_]+")
     grams = {}
