@@ -3,7 +3,7 @@
 A text becomes a sequence of words in lower case in which numbers, names (capitalised words inside
 a sentence) and units behind numbers are typed slots. Windows of ``width`` words, with each slot
 reduced to its type, are hashed and joined between benchmark and documents, and the canonical words
-compared. Windows that lie on one diagonal (same shift between document and item) must agree on
+compared. Windows of few words besides slots must be equal with their slots' values. Windows that lie on one diagonal (same shift between document and item) must agree on
 their slots: a benchmark value has to stand for one document value and the other way round, so that
 re-parameterised questions are found and chance templates are not. Only the windows with a slot that
 contradicts this are left out; those without slots or with the benchmark's own values always count.
@@ -85,8 +85,10 @@ def _with_words(df: DataFrame, text_col: str) -> DataFrame:
 
 def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, width: int) -> DataFrame:
     """Windows of every item with their length, first place, canonical words and typed words. An
-    item of fewer words is one window as a whole; windows with fewer than ``MIN_LITERALS`` different
-    words besides slots are left out, as chance would match them."""
+    item of fewer words is one window as a whole. The shape of a window is its words with slots reduced
+    to their types; with fewer than ``MIN_LITERALS`` different words besides slots, where chance would
+    match that, it is the words themselves (``exact``). Windows of one repeated word that would be
+    exact are left out."""
     items = _with_words(benchmark.select(F.col(item_col).alias("item_id"), F.col(text_col).alias("text")), "text")
     items = items.withColumn("width", F.least(F.size("words"), F.lit(width))).where("width > 0")
     spots = F.explode(F.sequence(F.lit(0), F.size("words") - F.col("width")))
@@ -94,8 +96,23 @@ def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, width:
     rows = rows.withColumn("typed", F.expr("slice(words, at + 1, width)"))
     rows = rows.withColumn("shape", F.transform("typed", kind))
     literal = F.size(F.array_distinct(F.filter("shape", lambda t: (t < NUMBER) | (t >= POINT))))
-    rows = rows.where(literal >= F.least(F.col("width"), F.lit(MIN_LITERALS)))
-    return rows.groupBy("item_id", "width", "shape").agg(F.min_by("typed", "at").alias("typed"), F.min("at").alias("at"))
+    rows = rows.withColumn("exact", literal < F.least(F.col("width"), F.lit(MIN_LITERALS)))
+    rows = rows.where(~F.col("exact") | (F.size(F.array_distinct("typed")) > 1))
+    rows = rows.withColumn("shape", F.when(F.col("exact"), F.col("typed")).otherwise(F.col("shape")))
+    return rows.groupBy("item_id", "width", "exact", "shape").agg(F.min_by("typed", "at").alias("typed"), F.min("at").alias("at"))
+
+
+def _known(texts: DataFrame, windows: DataFrame, exact: bool) -> tuple[DataFrame, list[int] | None]:
+    """Texts with the hashes that exact or typed windows are made of, and the vocabulary of those
+    windows unless it is too large; then also ``known``."""
+    terms = windows.where(F.col("exact") == exact).select(F.explode("shape").alias("word"))
+    terms = terms.select(F.xxhash64("word").alias("h")).distinct()
+    vocabulary = [r.h for r in terms.limit(VOCABULARY + 1).collect()]
+    if exact:
+        texts = texts.withColumn("hashes", F.transform("words", lambda t: F.xxhash64(t)))
+    if len(vocabulary) > VOCABULARY:
+        return texts, None
+    return texts.withColumn("known", F.transform("hashes", lambda h: h.isin(vocabulary))), vocabulary
 
 
 def _hashed_shape(width: int) -> Column:
@@ -131,26 +148,23 @@ def leaks(
     NULL and empty texts have no words and leak nothing, on either side; rows with the same id count
     as one document; an empty benchmark gives no rows. Other columns are not read."""
     windows, _ = written(benchmark_windows(benchmark, item_col, item_text_col, width), "windows")
-    sizes = [r.width for r in windows.select("width").distinct().collect()]  # at most ``width`` values
+    # At most two of every width.
+    sorts = sorted((r.exact, r.width) for r in windows.select("exact", "width").distinct().collect())
     few = windows.count() <= BROADCAST_ROWS
     totals = windows.groupBy("item_id").agg(F.count("*").alias("total"))
-    words = _with_words(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text")
-    terms = windows.select(F.explode("shape").alias("word")).select(F.xxhash64("word").alias("h")).distinct()
-    vocabulary = [r.h for r in terms.limit(VOCABULARY + 1).collect()]
-    if len(vocabulary) > VOCABULARY:
-        vocabulary = None
-    else:
-        words = words.withColumn("known", F.transform("hashes", lambda h: h.isin(vocabulary)))
+    texts = _with_words(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text")
+    seen = {exact: _known(texts, windows, exact) for exact in {e for e, _ in sorts} | {False}}
     found = None
-    for size in sorted(sizes) or [width]:
+    for exact, size in sorts or [(False, width)]:
+        words, vocabulary = seen[exact]
         spots = words.select("id", "words", F.inline(_windows(size, vocabulary)))
-        asked = windows.where(F.col("width") == size).select(
+        asked = windows.where((F.col("exact") == exact) & (F.col("width") == size)).select(
             "item_id", "at", "shape", "typed", _hashed_shape(size).alias("hash")
         )
         hits = spots.join(F.broadcast(asked) if few else asked, "hash")
         hits = hits.withColumn("seen", F.slice("words", F.col("pos") + 1, size))
         # Word by word, not as a second join key, which every window would have to spell out.
-        alike = F.forall(F.arrays_zip("seen", "shape"), lambda p: kind(p["seen"]) == p["shape"])
+        alike = F.forall(F.arrays_zip("seen", "shape"), lambda p: (p["seen"] if exact else kind(p["seen"])) == p["shape"])
         hits = hits.where(alike)
         pairs = F.transform(
             F.filter(F.arrays_zip(F.col("typed").alias("theirs"), F.col("seen").alias("ours")), lambda p: (p["theirs"] >= NUMBER) & (p["theirs"] < POINT)),

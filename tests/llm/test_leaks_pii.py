@@ -73,6 +73,17 @@ def test_one_altered_slot_leaves_the_other_windows(spark, make_docs):
     assert got == {1: (17, 0), 2: (10, 0), 3: (10, 0)}
 
 
+def test_items_of_few_literal_words(spark, make_docs):
+    sums, names = "What is 12 + 35 * 7 - 3 + 18 * 4 - 9 + 11 * 2?", "the names are Anna, Bert, Carl, Dora, Emil, Frida, Gustav, Hanna, Ida"
+    items = spark.createDataFrame([(1, sums), (2, names), (3, "12 35")], "item_id long, text string")
+    rows = [
+        (1, f"Some text. {sums} And more."), (2, sums.replace("35", "36").replace("18", "19").replace("12", "13")), (3, f"x {names} y"),
+        (4, "12 36"), (5, "3 9 12 35 4"),
+    ]
+    got = {(r.doc_id, r.item_id): (r.n_windows, r.coverage) for r in leaks(make_docs(rows), items).collect()}
+    assert got == {(1, 1): (4, 1.0), (1, 3): (1, 1.0), (3, 2): (5, 1.0), (5, 3): (1, 1.0)}
+
+
 def brute_leaks(docs, items, width=8):
     word = re.compile(r"[^\W_]+")
     grams = {}
