@@ -216,23 +216,59 @@ _KINDS: list[tuple[str, Callable, re.Pattern, int]] = [
         0,
     ),
 ]
+# Characters of an IBAN by country. The IBAN registry.
+IBAN_LENGTHS = {
+    c: n
+    for n, names in {
+        15: "NO", 16: "BE BI", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV",
+        22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+        26: "IS TR", 27: "DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+        30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for c in names.split()
+}
 # A text without any of these bytes and words holds nothing that the patterns could find.
 _MAYBE = byte_class(b"0123456789@")
 _WORD = re.compile(r"(?i)password|passwd|pwd|token|secret|key|auth")
 
 
+def _iban_ends(found: str) -> list[int]:
+    """Ends at the country's length, of the whole, and for other countries before every space."""
+    length = IBAN_LENGTHS.get(found[:2].upper())
+    places = [k + 1 for k, c in enumerate(found) if c != " "]
+    borders = [k for k in reversed(places) if k == len(found) or found[k] == " "]
+    own = [k for k in places[length - 1 : length] if k in borders] if length else borders
+    return [*own, *([len(found)] if len(found) not in own else [])]
+
+
+def _card_ends(found: str) -> list[int]:
+    """Ends of 19 to 13 digits, not inside a group of digits."""
+    places = [k + 1 for k, c in enumerate(found) if c.isdigit()]
+    return [k for k in reversed(places[12:19]) if k == len(found) or not found[k].isdigit()]
+
+
+# Kinds whose pattern may run on into what stands behind a value, and the ends to try in order.
+_ENDS: dict[str, Callable[[str], list[int]]] = {"iban": _iban_ends, "card": _card_ends}
+
+
 def find(text: str, key: bytes, known: Callable | None = None) -> list[tuple[str, int, int, str]]:
     """(kind, start, end, pseudonym) of what validates, in order, not overlapping; a kind that comes
     first in the list of kinds has the first choice."""
     out: list[tuple[str, int, int, str]] = []
     for kind, make, pattern, group in _KINDS:
-        for hit in pattern.finditer(text):
-            start, end = hit.span(group)
-            if any(start < e and s < end for _, s, e, _ in out):
-                continue
-            new = known(kind, hit.group(group)) if known else make(hit.group(group), key)
-            if new is not None:
-                out.append((kind, start, end, new))
+        pos = 0
+        while hit := pattern.search(text, pos):
+            start, pos = hit.start(group), hit.end()
+            value = hit.group(group)
+            for length in _ENDS[kind](value) if kind in _ENDS else [len(value)]:
+                end = start + length
+                if any(start < e and s < end for _, s, e, _ in out):
+                    continue
+                new = known(kind, value[:length]) if known else make(value[:length], key)
+                if new is not None:
+                    out.append((kind, start, end, new))
+                    pos = end if kind in _ENDS else pos
+                    break
     return sorted(out, key=lambda x: x[1])
 
 

@@ -154,6 +154,16 @@ def test_what_does_not_validate_stays(text):
     assert pii.find(text, KEY) == []
 
 
+@pytest.mark.parametrize("value", ["ES9121000418450200051332", "AT611904300234573201", "BE68 5390 0754 7034", "SE4550000000058398257466",
+                                   "PL61109010140000071219812874", "GB82WEST12345698765432", "DE89370400440532013000",
+                                   "4111111111111111", "4111 1111 1111 1111", "378282246310005"])
+@pytest.mark.parametrize("behind", ["", " en", " bei uns", " mediante", " 12/27", " 27 ES9121000418450200051332", " 5 4111111111111111 x"])
+def test_values_end_before_the_next_words(value, behind):
+    found = pii.find(f"x {value}{behind}", KEY)
+    assert found[0][1:3] == (2, 2 + len(value)) and found[0][0] in ("iban", "card")
+    assert found[0][3] == pii.find(value, KEY)[0][3]
+
+
 def test_texts_keep_links_and_all_else(make_docs, odd_rows, no_rows):
     rows = [
         (1, "a élle.42@mail8.example.com, call +1 (988) 555-1234; card 4041894974608795!"),
