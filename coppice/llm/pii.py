@@ -130,18 +130,33 @@ def iban(found: str, key: bytes) -> str | None:
     return "".join(c if c == " " else next(it) for c in found)
 
 
+def _country_code(found: str) -> int:
+    """Where the country code of a number with + ends: with a first group of up to three digits, else
+    by the plan of country codes."""
+    written = re.match(r"\+(\d{1,3})\D", found)
+    if written:
+        return written.end(1)
+    return 2 if found[1] in "17" else 3 if found[1:3] in _TWO_DIGITS else 4
+
+
 def phone(found: str, key: bytes) -> str | None:
-    """The country code stays, the ten digits behind it change; area and exchange codes go on from
-    2 to 9 where they did."""
-    digits = _digits(found)
-    if not 10 <= len(digits) <= 13 or len(set(digits)) < 2:
+    """The country code stays, the national digits behind it change, but for a zero in brackets; area
+    and exchange codes of ten digits go on from 2 to 9 where they did, other numbers from 0."""
+    cut = _country_code(found) if found[0] == "+" else 0
+    if zero := re.match(r"[ .-]?\(0\)", found[cut:]):
+        cut += zero.end()
+    head, body = _digits(found[:cut]), _digits(found[cut:])
+    if found[0] == "+" and re.fullmatch(r"\+\d\.\d+", found) or len(set(head + body)) < 2:
+        return None  # a decimal fraction
+    if not (10 if len(head) < 2 else 7) <= len(body) <= (12 if head else 10):
         return None
-    head, body = digits[:-10], digits[-10:]
-    regular = body[0] in "23456789" and body[3] in "23456789"
+    regular = lambda d: d[0] in "23456789" and d[3] in "23456789" if len(d) == 10 else d[0] != "0"
+    was = regular(body)
+    new = body
     while True:
-        body = _number(body, key, f"phone{head}:{regular}:")
-        if (body[0] in "23456789" and body[3] in "23456789") == regular:
-            return _refill(found, head + body)
+        new = _number(new, key, f"phone{head}:{was}:")
+        if regular(new) == was:
+            return found[:cut] + _refill(found[cut:], new)
 
 
 def address(found: str, key: bytes) -> str | None:
@@ -199,7 +214,7 @@ _KINDS: list[tuple[str, Callable, re.Pattern, int]] = [
         "secret",
         secret,
         re.compile(
-            r"(?i)\b(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key|auth)\b[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
+            r"(?i)(?<![^\W_])(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key|auth)\b[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
             r"([A-Za-z0-9_+/~-]{8,}={0,2})"
         ),
         1,
@@ -212,7 +227,10 @@ _KINDS: list[tuple[str, Callable, re.Pattern, int]] = [
     (
         "phone",
         phone,
-        re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)|(?<![\w+])\+\d{11,13}(?!\w)"),
+        re.compile(
+            r"(?<![\w+])\+[1-9](?:(?:[ .-]|[ .-]?\(|\)[ .-]?)?\d){7,15}(?!\w)|"
+            r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)"
+        ),
         0,
     ),
 ]
@@ -227,6 +245,13 @@ IBAN_LENGTHS = {
     }.items()
     for c in names.split()
 }
+# Country codes of two digits, and most national digits where numbers of a country have one length.
+# The plan of country codes (E.164).
+_TWO_DIGITS = frozenset(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 "
+    "93 94 95 98".split()
+)
+PHONE_DIGITS = {"1": 10, "7": 10, "30": 10, "31": 9, "32": 9, "33": 9, "34": 9, "41": 9, "44": 10, "45": 8, "47": 8, "48": 9, "351": 9}
 # A text without any of these bytes and words holds nothing that the patterns could find.
 _MAYBE = byte_class(b"0123456789@")
 _WORD = re.compile(r"(?i)password|passwd|pwd|token|secret|key|auth")
@@ -247,8 +272,23 @@ def _card_ends(found: str) -> list[int]:
     return [k for k in reversed(places[12:19]) if k == len(found) or not found[k].isdigit()]
 
 
+def _phone_ends(found: str) -> list[int]:
+    """Of a number with +, ends at most as long as the country's numbers, longest first, then longer
+    ones; not inside a group of digits."""
+    if found[0] != "+":
+        return [len(found)]
+    cut = _country_code(found)
+    if zero := re.match(r"[ .-]?\(0\)", found[cut:]):
+        cut += zero.end()
+    places = [cut + k + 1 for k, c in enumerate(found[cut:]) if c.isdigit()]
+    most = PHONE_DIGITS.get(found[1 : _country_code(found)], 12)
+    ends = [k for k in places[6:12] if k == len(found) or not found[k].isdigit()]
+    fit = [k for k in ends if places.index(k) < most]
+    return [*reversed(fit), *(k for k in ends if k not in fit)]
+
+
 # Kinds whose pattern may run on into what stands behind a value, and the ends to try in order.
-_ENDS: dict[str, Callable[[str], list[int]]] = {"iban": _iban_ends, "card": _card_ends}
+_ENDS: dict[str, Callable[[str], list[int]]] = {"iban": _iban_ends, "card": _card_ends, "phone": _phone_ends}
 
 
 def find(text: str, key: bytes, known: Callable | None = None) -> list[tuple[str, int, int, str]]:

@@ -164,6 +164,31 @@ def test_values_end_before_the_next_words(value, behind):
     assert found[0][3] == pii.find(value, KEY)[0][3]
 
 
+@pytest.mark.parametrize("before", ["AWS_SECRET_ACCESS_KEY=", "client_secret: ", "db_password = '", "my-api-key=", "token="])
+def test_secrets_behind_a_prefix(before):
+    value = "b7db7aa4a5fcc78305"
+    assert [f[:3] for f in pii.find(f"x {before}{value} y", KEY)] == [("secret", 2 + len(before), 2 + len(before) + len(value))]
+
+
+@pytest.mark.parametrize("value, code", [("+44 20 7946 0958", "+44 "), ("+33 1 23 45 67 89", "+33 "), ("+34 912 345 678", "+34 "), ("+49 30 901820", "+49 "),
+                                         ("+44 (0)20 7946 0958", "+44 (0)"), ("+442079460958", "+44"), ("+351 21 123 4567", "+351 "), ("+1 (988) 555-1234", "+1 "),
+                                         ("+491234567890", "+49")])
+@pytest.mark.parametrize("behind", ["", ".", " 6 y", ", 17 y", " 2024-05-06"])
+def test_phones_of_other_countries(value, code, behind):
+    if behind == " 6 y" and code[:3] in ("+49",):
+        return  # numbers of no fixed length
+    found = [f for f in pii.find(f"x {value}{behind}", KEY) if f[0] == "phone"]
+    assert [f[:3] for f in found] == [("phone", 2, 2 + len(value))]
+    new = found[0][3]
+    assert new != value and new.startswith(code) and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", value)
+
+
+def test_phone_keeps_its_digits_in_any_grouping():
+    digits = [re.sub(r"\D", "", pii.phone(v, KEY)) for v in ("+44 20 7946 0958", "+442079460958", "+44 2079 460 958")]
+    assert len(set(digits)) == 1
+    assert pii.find("x +3.14159265 y +12 z +5 apples 2+2", KEY) == []
+
+
 def test_texts_keep_links_and_all_else(make_docs, odd_rows, no_rows):
     rows = [
         (1, "a élle.42@mail8.example.com, call +1 (988) 555-1234; card 4041894974608795!"),
