@@ -14,6 +14,15 @@ BLOCK = frozenset(
 )
 # Elements whose content is no text of the page.
 HIDDEN = frozenset("script style template head title textarea svg math object audio video canvas iframe select".split())
+# Elements that may stand in a head; any other one, and text, ends it. Fixed values of HTML, as below.
+_IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+_FOREIGN = ("svg", "math")
+# Elements that end an svg or math element, and those of its elements inside which they do not.
+_BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p "
+    "pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+_INTEGRATION = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Opening one of these closes an open one of the same set, up to a container.
 _SIBLINGS = {t: g for g in (("li",), ("dt", "dd"), ("td", "th"), ("tr",), ("option",), ("p",)) for t in g}
@@ -44,7 +53,7 @@ def _names(attributes: str) -> list[str]:
 def blocks(html: str) -> list[Block]:
     """Leaf blocks in page order. Character references are decoded; comments, declarations and
     hidden elements give nothing; unclosed and misplaced tags are repaired as browsers do for
-    paragraphs, list items and table cells."""
+    paragraphs, list items, table cells, heads, svg and math."""
     out: list[Block] = []
     stack: list[tuple[str, list[str]]] = []
     text: list[str] = []
@@ -68,6 +77,9 @@ def blocks(html: str) -> list[Block]:
     while pos < size:
         found = _TAG.search(html, pos)
         stop = found.start() if found else size
+        if stop > pos and stack and stack[-1][0] == "head" and html[pos:stop].strip():
+            close(len(stack) - 1)
+            hidden = sum(t in HIDDEN for t, _ in stack)
         if stop > pos and not hidden:
             piece = html[pos:stop]
             text.append(piece)
@@ -92,6 +104,24 @@ def blocks(html: str) -> list[Block]:
             elif tag == "br" and not hidden:
                 text.append(" ")
             continue
+        if hidden and stack[-1][0] == "head":
+            if tag in ("head", "html"):
+                continue
+            if tag in ("noscript", "noframes"):
+                end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(html, pos)
+                pos = end.end() if end else pos
+                continue
+            if tag not in _IN_HEAD:
+                close(len(stack) - 1)
+        elif hidden and tag in _BREAKOUT:
+            while stack and stack[-1][0] in _FOREIGN:
+                close(len(stack) - 1)
+        elif hidden and tag in _INTEGRATION and any(t in _FOREIGN for t, _ in stack):
+            if not found.group(4).rstrip().endswith("/"):
+                stack.append((tag, []))
+            continue
+        if hidden:
+            hidden = sum(t in HIDDEN for t, _ in stack)
         if hidden and tag not in HIDDEN:
             continue
         if tag in BLOCK or tag in HIDDEN:

@@ -29,6 +29,16 @@ def test_blocks():
     assert found[0].link_chars == 4
 
 
+def test_open_head_svg_and_math_end():
+    head = "<html><head><title>x</title><meta charset=utf-8><script>s</script><noscript><img src=a></noscript>"
+    for rest in ("<body><p>a</p><p>b</p></body></html>", "<p>a<p>b", "</head><body><p>a</p>b", "a<p>b"):
+        assert texts(head + rest) == ["a", "b"]
+    assert texts("<head><template><div>no</div></template><link rel=x><head><p>a") == ["a"]
+    assert blocks(head + "<body><p>a")[0].path == blocks(head + "</head><body><p>a")[0].path == ("html", "body", "p")
+    assert texts("<div><svg><path d=''><text>no</text><p>a</p>b</div>") == ["a", "b"] == texts("<math><mi>x</mi><div>a</div>b")
+    assert texts("<svg><g><foreignObject><div>no</div></foreignObject><text>no</text></svg><p>a") == ["a"]
+
+
 def test_gradients():
     pages = training_pages(4, 3)
     model = Labeller(1)
