@@ -12,11 +12,15 @@ from .decontaminate import COVERAGE, MIN_LITERALS, NAME, NUMBER, POINT, UNIT, UN
 from .html_extract import extract_text
 from .kk_shards import kk_shards
 from .license_scan import license_scan
+from .merkle import FIELDS, ascii_lower, folded, leaf_digest, merkle_manifest, proof_digest
+from .mixing import mix
 from .ngram_join import ngram_join
 from .pii import pseudonymise
 from .quality_gam import quality_scores
 from .quality_mcd import quality_rules
+from .sql import MERKLE_SQL, MIX_SQL
 from .token_counts import token_counts
+from .whitening import whiten
 
 # The queries' key for pseudonyms; a job passes its own.
 PII_KEY = "coppice"
@@ -89,6 +93,30 @@ def op10_html_extract(spark: SparkSession, sf: str) -> DataFrame:
     return extract_text(table(spark, sf, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op11_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    """Digests of the manifest's proofs, and what follows from copies of which some were altered."""
+    docs = table(spark, sf, "documents")
+    altered = leaf_digest([*[F.col(c) for c in FIELDS[:-1]], ascii_lower(F.col("text"))])
+    chosen = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    found = merkle_manifest(docs, also={"altered": F.when(chosen, altered)})
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        proof_digest(F.col("path")).alias("proof_sha256"),
+        folded(F.coalesce("altered", "leaf"), F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_whiten(spark: SparkSession, sf: str) -> DataFrame:
+    return whiten(table(spark, sf, "embeddings"))
+
+
+def op13_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return mix(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_pii": op2_pii,
@@ -100,6 +128,9 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_kk_shards": op9_kk_shards,
     "op10_html_extract": op10_html_extract,
+    "op11_merkle": op11_merkle,
+    "op12_whiten": op12_whiten,
+    "op13_mix": op13_mix,
 }
 
 
@@ -148,4 +179,6 @@ FROM n JOIN t USING (item_id) WHERE n_windows / total >= {COVERAGE}
 """
 ORACLES: dict[str, str] = {
     "op4_decontaminate": LEAKS_SQL,
+    "op11_merkle": MERKLE_SQL,
+    "op13_mix": MIX_SQL,
 }
