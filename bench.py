@@ -71,7 +71,7 @@ def main() -> None:
     train_rows, test_rows = split.where("split = 'train'"), split.where("split = 'test'").persist()
     n_test = test_rows.count()
     params = TrainParams(n_estimators=20, max_depth=3, learning_rate=0.3)
-    edges = clock("quantile_edges", lambda: quantile_edges(train_rows, params.max_bins, tolerance=0.001))
+    edges = clock("quantile_edges", lambda: quantile_edges(train_rows, params.max_bins))
     cuts = edges_by_feature(edges, q.N_FEATURES)
     clock("bin_features", lambda: materialise(bin_features(split, cuts)))
     prepared = clock("prepare", lambda: prepare(split, params.max_bins))

@@ -1,148 +1,63 @@
 """Quantile bins.
 
-``quantile_edges`` finds exact order statistics by counting. Each pass counts the
-values of every feature in narrow intervals (combined before the shuffle, so what is
-moved depends on the number of intervals, not of rows) and continues only inside the
-intervals that hold a wanted rank. The result does not depend on partitioning.
-
-Bins: 0 is a missing value, bin ``b`` holds ``upper[b-1] <= v < upper[b]``. A split at
-bin ``b`` sends ``v < upper[b]`` to the left.
+``quantile_edges`` takes exact order statistics of the training rows as edges, all features in the
+same two scans (:mod:`.quantiles`). Bins: 0 is a missing value, bin ``b`` holds
+``upper[b-1] <= v < upper[b]``. A split at bin ``b`` sends ``v < upper[b]`` to the left.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-EDGE_SCHEMA = "feature INT, bin INT, upper DOUBLE"
-_FIRST_PASS = 4096
-_NEXT_PASS = 64
-# Natural logarithm of the smallest positive double, rounded away from 0.
-_LEAST_LOG = 745.0
-
+from .quantiles import LIMIT, order_statistics
 
-def long_values(df: DataFrame, features: str = "features") -> DataFrame:
-    """``(feature, value)``, missing values left out."""
-    pairs = df.select(F.posexplode(features).alias("feature", "value"))
-    return pairs.select("feature", F.col("value").cast("double").alias("value")).where(
-        "value IS NOT NULL AND NOT isnan(value)"
-    )
+EDGE_SCHEMA = "feature INT, bin INT, upper DOUBLE"
 
 
-def _place(value, lo, hi, parts: int):
-    """Which of ``parts`` equal steps from ``lo`` to ``hi`` a value is in. Halves keep the width of
-    any finite interval finite; the ends always fall into different steps."""
-    width = hi / 2 - lo / 2
-    place = F.floor((value / 2 - lo / 2) / F.when(width > 0, width) * parts)
-    last = F.lit(parts - 1)
-    return F.when(value >= hi, last).otherwise(F.coalesce(F.greatest(F.lit(0), F.least(place, last)), F.lit(0))).cast("int")
+def list_columns(batch: pa.RecordBatch) -> Iterator[list[np.ndarray]]:
+    """The entries of the batch's one list column by place; shorter lists lack the last ones."""
+    lists = batch.column(0)
+    sizes = np.diff(lists.offsets.to_numpy())
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    if len(sizes) and (sizes == sizes[0]).all():
+        yield list(flat.reshape(len(sizes), -1).T)
+        return
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    yield [flat[place == i] for i in range(sizes.max(initial=0))]
 
 
-def _magnitude(value):
-    """A growing function of any finite number that spreads orders of magnitude evenly."""
-    return F.when(value == 0, F.lit(0.0)).otherwise(F.signum(value) * (F.log(F.abs(value)) + _LEAST_LOG))
+def edge_ranks(max_bins: int) -> Callable[[int], list[int]]:
+    """Ranks of the edges among ``n`` values: ``ceil(j * n / max_bins)``."""
+    return lambda n: sorted({-(-j * n // max_bins) for j in range(1, max_bins)} - {0})
 
 
-def _bucket(parts: int, by_magnitude: bool):
-    """Interval of a value between ``lo`` and ``hi``. Infinite values have intervals of their own."""
-    value, lo, hi = F.col("value"), F.col("lo"), F.col("hi")
-    place = _place(value, lo, hi, parts)
-    if by_magnitude:
-        low, high = _magnitude(lo), _magnitude(hi)
-        place = F.when(low < high, F.when(value == lo, F.lit(0)).otherwise(_place(_magnitude(value), low, high, parts))).otherwise(place)
-        place = F.when(value >= hi, F.lit(parts - 1)).otherwise(place)
-    return F.when(value == -_INF, F.lit(-1)).when(value == _INF, F.lit(parts)).otherwise(place)
+def edge_lists(found: dict[int, dict[int, float]], lowest: dict[int, float], n_features: int) -> list[list[float]]:
+    """Ascending edges of each feature: equal ones once, none at the least value."""
+    return [sorted({v for v in found.get(f, {}).values() if v > lowest[f]}) for f in range(n_features)]
 
 
-_INF = float("inf")
+def edge_table(spark: SparkSession, cuts: list[list[float]]) -> DataFrame:
+    rows = [(f, b, v) for f, c in enumerate(cuts) for b, v in enumerate(c, 1)]
+    return spark.createDataFrame(rows, EDGE_SCHEMA)
 
 
 def quantile_edges(
-    df: DataFrame, max_bins: int = 64, features: str = "features", tolerance: float = 0.0
+    df: DataFrame, max_bins: int = 64, features: str = "features", tolerance: float = 0.0, limit: int = LIMIT
 ) -> DataFrame:
     """Edge table ``(feature, bin, upper)`` of the rows given (the training rows).
 
     Edge ``j`` is the value of rank ``ceil(j * n / max_bins)``; equal edges and edges at
-    the minimum are dropped, so a 0/1 feature gets two bins. With ``tolerance`` > 0 an
-    edge may be off by that share of the rows, which saves passes.
-    """
-    spark = df.sparkSession
-    values = long_values(df, features)
-    finite = F.when(F.abs("value") < _INF, F.col("value"))
-    stats = values.groupBy("feature").agg(
-        F.count("*").alias("n"), F.min(finite).alias("lo"), F.max(finite).alias("hi"),
-        F.min("value").alias("least"), F.max("value").alias("most"),
-    ).collect()
-    total = {r.feature: r.n for r in stats}
-    lowest = {r.feature: r.least for r in stats}
-    edges: dict[int, set[float]] = {r.feature: set() for r in stats}
-
-    # Open intervals: path -> (feature, ranks wanted inside, rows before the interval).
-    open_: dict[int, tuple[int, list[int], int]] = {}
-    bounds = []
-    for path, r in enumerate(sorted(stats)):
-        ranks = sorted({-(-j * r.n // max_bins) for j in range(1, max_bins)} - {0})
-        if ranks and r.least < r.most:
-            lo, hi = (0.0, 0.0) if r.lo is None else (float(r.lo), float(r.hi))
-            open_[path] = (r.feature, ranks, 0)
-            bounds.append((r.feature, path, lo, hi))
-
-    current = None
-    parts, by_magnitude = _FIRST_PASS, False
-    # Every pass parts the ends of an open interval, so each ends; equal steps and steps of equal
-    # magnitude take turns, which settles narrow and wide ranges in a few passes.
-    while open_:
-        current = _enter(spark, values, current, bounds, parts, by_magnitude)
-        by_magnitude = not by_magnitude
-        cells = current.groupBy("path", "bucket").agg(
-            F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
-        ).collect()
-        by_path = defaultdict(list)
-        for c in cells:
-            by_path[c.path].append(c)
-        todo, bounds, path = {}, [], 0
-        for p, (feature, ranks, before) in open_.items():
-            want = iter(ranks)
-            rank = next(want, None)
-            for c in sorted(by_path[p], key=lambda c: c.bucket):
-                hits = []
-                while rank is not None and rank <= before + c.n:
-                    hits.append(rank)
-                    rank = next(want, None)
-                if hits:
-                    if c.lo == c.hi or c.n <= tolerance * total[feature]:
-                        edges[feature].add(c.lo)
-                    else:
-                        todo[path] = (feature, hits, before)
-                        bounds.append((p, c.bucket, path, float(c.lo), float(c.hi)))
-                        path += 1
-                before += c.n
-        open_, parts = todo, _NEXT_PASS
-    rows = []
-    for feature, found in edges.items():
-        kept = sorted(v for v in found if v > lowest[feature])
-        rows += [(feature, b, v) for b, v in enumerate(kept, 1)]
-    return spark.createDataFrame(rows, EDGE_SCHEMA)
-
-
-def _enter(
-    spark: SparkSession, values: DataFrame, current, bounds: list, parts: int, by_magnitude: bool
-) -> DataFrame:
-    """Rows inside the open intervals, with ``path`` and ``bucket``. The intervals are at
-    most ``max_bins`` per feature, so their table is broadcast."""
-    if current is None:
-        table = spark.createDataFrame(bounds, "feature INT, path INT, lo DOUBLE, hi DOUBLE")
-        rows = values.join(F.broadcast(table), "feature")
-    else:
-        table = spark.createDataFrame(
-            bounds, "path INT, bucket INT, next INT, lo DOUBLE, hi DOUBLE"
-        )
-        rows = current.join(F.broadcast(table), ["path", "bucket"]).drop("path", "bucket")
-        rows = rows.withColumnRenamed("next", "path")
-    return rows.select("path", "value", _bucket(parts, by_magnitude).alias("bucket"))
+    the minimum are dropped, so a 0/1 feature gets two bins. Edges are exact, so they keep to any
+    ``tolerance``. ``df`` is read twice: a costly input should be stored first."""
+    lists = df.where(F.col(features).isNotNull()).select(F.col(features).cast("array<double>").alias("features"))
+    found, lowest = order_statistics(lists, list_columns, edge_ranks(max_bins), limit)
+    return edge_table(df.sparkSession, edge_lists(found, lowest, max(found, default=-1) + 1))
 
 
 def edges_by_feature(edges: DataFrame, n_features: int) -> list[list[float]]:

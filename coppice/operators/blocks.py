@@ -8,11 +8,12 @@ numpy costs about as much as moving one row would, and the cached table is compa
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,6 +80,74 @@ def to_blocks(rows: DataFrame, n_features: int, n_bins: int) -> DataFrame:
     return rows.select(*cols).mapInArrow(pack, BLOCKS)
 
 
+# Rows before they are binned: ``features`` as (features, rows) of the element type; ``labels`` the
+# different ones, ``unlabelled`` rows without one, ``narrow`` and ``wide`` the least and greatest width.
+RAW = (
+    "is_train BOOLEAN, n INT, features BINARY, label BINARY, row_hash BINARY, "
+    "labels ARRAY<INT>, unlabelled INT, narrow INT, wide INT"
+)
+
+
+def to_raw_blocks(rows: DataFrame) -> DataFrame:
+    """Pack ``is_train, label, row_hash, features``, without their values where rows have not the same
+    number of features. A NULL array has the width 0, a NULL entry is NaN, a missing label -1."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            train = batch.column("is_train").to_numpy(zero_copy_only=False).astype(bool)
+            lists = batch.column("features")
+            width = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+            even = (width == width[0]).all()
+            x = matrix(lists, width[0]) if even and width[0] else None
+            missing = batch.column("label").is_null().to_numpy(zero_copy_only=False)
+            label = pc.fill_null(batch.column("label"), -1).to_numpy().astype(np.int32)
+            hashes = batch.column("row_hash").to_numpy().astype(np.int64)
+            out = []
+            for flag in (True, False):
+                at = np.flatnonzero(train == flag)
+                if len(at):
+                    values = np.ascontiguousarray(x[at].T).tobytes() if x is not None else b""
+                    out.append((
+                        flag, len(at), values, label[at].tobytes(), hashes[at].tobytes(), np.unique(label[at][~missing[at]]),
+                        int(missing[at].sum()), int(width[at].min()), int(width[at].max()),
+                    ))
+            kinds = [pa.bool_(), pa.int32(), *[pa.binary()] * 3, pa.list_(pa.int32()), *[pa.int32()] * 3]
+            arrays = [pa.array(values, k) for values, k in zip(zip(*out), kinds)]
+            yield pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in RAW.split(", ")])
+
+    return rows.select("is_train", "label", "row_hash", "features").mapInArrow(pack, RAW)
+
+
+def raw_columns(kind: np.dtype) -> Callable[[pa.RecordBatch], Iterator[list[np.ndarray]]]:
+    """The feature columns of each raw block of a batch (``n, features``)."""
+
+    def read(batch: pa.RecordBatch) -> Iterator[list[np.ndarray]]:
+        for n, values in zip(batch.column("n").to_pylist(), batch.column("features")):
+            yield list(np.frombuffer(values.as_buffer(), kind).reshape(-1, n))
+
+    return read
+
+
+def bin_blocks(raw: DataFrame, cuts: list[list[float]], kind: np.dtype) -> DataFrame:
+    """Raw blocks as blocks: the bins of all features by their edges, margins empty."""
+    n_bins = max(len(c) for c in cuts) + 2
+    read, edges = raw_columns(kind), [np.array(c) for c in cuts]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bins = []
+            for columns in read(batch):
+                x = np.array([np.where(np.isnan(v), 0, np.searchsorted(c, v, "right") + 1) for c, v in zip(edges, columns)])
+                bins.append(x.astype(bin_type(n_bins)).tobytes())
+            kept = [batch.column(c) for c in ("label", "row_hash")]
+            arrays = [batch.column("is_train"), batch.column("n"), pa.array(bins, pa.binary()), *kept, pa.array([b""] * len(bins), pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*FIXED, "margin"])
+
+    return raw.select("is_train", "n", "features", "label", "row_hash").mapInArrow(pack, BLOCKS)
+
+
 def unpack(batch: pa.RecordBatch | dict, n_features: int, n_bins: int, n_trees: int) -> Iterator[Block]:
     """The blocks of an Arrow batch (or of a dict of its columns), as views of its buffers."""
     column = batch.column if isinstance(batch, pa.RecordBatch) else batch.__getitem__

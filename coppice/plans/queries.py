@@ -434,7 +434,7 @@ def q_leaf_values(spark, sf):
 def q_boost_round(spark, sf):
     """One round of the trainer itself: a tree of depth 2 per class, all rows and features."""
     df = split.stratified_split(lineitem_y3(spark, sf), "row_id")
-    prepared = prepare(df, HIST_BINS, tolerance=0.0)
+    prepared = prepare(df, HIST_BINS)
     params = TrainParams(1, 2, 0.1, 1.0, 1.0, max_bins=HIST_BINS)
     (model,), rows = boost(prepared, [params], ["one"])
     rows.unpersist()
@@ -798,14 +798,14 @@ def small_params(**kw):
 def q_train_predict(spark, sf):
     """Split, train, score the held-out rows: the whole pipeline."""
     df = split.stratified_split(lineitem_y3(spark, sf), "row_id")
-    model = train(df, small_params(), "y3", tolerance=0.0)
+    model = train(df, small_params(), "y3")
     out = files.predictions(score_model(df.where("split = 'test'"), model))
     return out.withColumn("predicted_probability", F.round("predicted_probability", 6))
 
 
 def q_train_curve(spark, sf):
     df = split.stratified_split(lineitem_y3(spark, sf), "row_id")
-    curves = train(df, small_params(n_estimators=3), "y3", tolerance=0.0).curves
+    curves = train(df, small_params(n_estimators=3), "y3").curves
     return curves.withColumns({c: F.round(c, 6) for c in ("train_mlogloss", "test_mlogloss")})
 
 

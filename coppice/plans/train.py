@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import round_coefficients, row_hash, sample_cutoff
-from ..operators.binning import bin_features, edges_by_feature, quantile_edges
-from ..operators.blocks import FIXED, lists, to_blocks, unpack, without_margin
+from ..operators.binning import edge_lists, edge_ranks, edge_table
+from ..operators.blocks import FIXED, bin_blocks, lists, raw_columns, to_raw_blocks, unpack, without_margin
 from ..operators.histogram import NODE_CELLS, Grown, Pass, fixed_scale, node_histograms, node_splits, positions
+from ..operators.quantiles import chunk_limit, order_statistics
 from ..operators.sampling import sample_features
 from ..operators.splits import best_split, node_totals, split_gain
 from ..session import new_path, remove, written
@@ -116,47 +117,55 @@ class Model:
     extra: dict = field(default_factory=dict)
 
 
-def prepare(df: DataFrame, max_bins: int = 64, tolerance: float | None = None) -> Prepared:
+def prepare(df: DataFrame, max_bins: int = 64) -> Prepared:
     """Bin ``row_id, features, label, split`` by the quantiles of the training rows and
-    persist the result. Rows of other splits are binned with the same edges."""
-    train = df.where("split = 'train'")
-    seen = train.withColumn("_task", F.spark_partition_id()).agg(
-        F.max("_task").alias("last_task"),
-        F.count("*").alias("n"),
-        F.count("label").alias("labelled"),
-        F.min("label").alias("low"),
-        F.max("label").alias("top"),
-        F.count_distinct("label").alias("k"),
-        F.min(F.size("features")).alias("narrow"),
-        F.max(F.size("features")).alias("wide"),
-    ).first()
-    if not seen.n:
-        raise ValueError("no training rows")
-    if seen.labelled < seen.n or seen.low != 0 or seen.top + 1 != seen.k:
-        raise ValueError(f"training labels must be 0..K-1 without gaps or nulls: {seen.asDict()}")
-    if seen.narrow != seen.wide:
-        raise ValueError(f"feature counts differ: {seen.narrow} to {seen.wide}")
-    if tolerance is None:
-        tolerance = 1.0 / (16 * max_bins)
-    edges = quantile_edges(train, max_bins, tolerance=tolerance)
-    cuts = edges_by_feature(edges, seen.wide)
-    known = df.where("split IN ('train', 'test')").select(
+    persist the result. Rows of other splits are binned with the same edges.
+
+    ``df`` is read once: its rows are stored in blocks, and checks, edges and bins come from these."""
+    spark = df.sparkSession
+    known = df.where("split = 'train' OR (split = 'test' AND label IS NOT NULL)").select(
         "features",
-        "label",
+        F.col("label").cast("int").alias("label"),
         (F.col("split") == "train").alias("is_train"),
         row_hash("row_id").alias("row_hash"),
     )
-    rows = bin_features(known, cuts).drop("features")
-    spread = max(df.sparkSession.sparkContext.defaultParallelism, -(-seen.n // TASK_ROWS))
-    tasks = seen.last_task + 1
-    if tasks < spread:
-        rows = rows.repartition(spread, "row_hash")
-    n_bins = max(len(c) for c in cuts) + 2
-    # Every pass reads this table, so it is written once: lost blocks come from here and
-    # not from the raw input, and the plans of the rounds stay short.
-    blocks, path = written(to_blocks(rows, seen.wide, n_bins), "blocks")
+    kind = np.dtype(np.float32 if dict(df.dtypes)["features"] == "array<float>" else np.float64)
+    raw = known.withColumn("features", F.col("features").cast("array<float>" if kind == np.float32 else "array<double>"))
+    raw, raw_path = written(to_raw_blocks(raw).withColumn("task", F.spark_partition_id()), "rows")
+    try:
+        train = raw.where("is_train")
+        seen = train.agg(
+            F.max("task").alias("last_task"),
+            F.sum("n").alias("n"),
+            F.sum("unlabelled").alias("unlabelled"),
+            F.min("narrow").alias("narrow"),
+            F.max("wide").alias("wide"),
+        ).first()
+        if not seen.n:
+            raise ValueError("no training rows")
+        labels = train.select(F.explode("labels").alias("label")).agg(
+            F.min("label").alias("low"), F.max("label").alias("top"), F.count_distinct("label").alias("k")
+        ).first()
+        if seen.unlabelled or labels.low != 0 or labels.top + 1 != labels.k:
+            raise ValueError(f"training labels must be 0..K-1 without gaps or nulls: {seen.asDict() | labels.asDict()}")
+        if seen.narrow != seen.wide:
+            raise ValueError(f"feature counts differ: {seen.narrow} to {seen.wide}")
+        tasks = seen.last_task + 1
+        spread = max(spark.sparkContext.defaultParallelism, -(-seen.n // TASK_ROWS))
+        if tasks < spread:
+            raw = raw.repartition(spread)
+            tasks = spread
+        found, lowest = order_statistics(
+            raw.where("is_train").select("n", "features"), raw_columns(kind), edge_ranks(max_bins), chunk_limit(tasks)
+        )
+        cuts = edge_lists(found, lowest, seen.wide)
+        # Every pass reads this table, so it is written once: lost blocks come from here and
+        # not from the raw input, and the plans of the rounds stay short.
+        blocks, path = written(bin_blocks(raw, cuts, kind), "blocks")
+    finally:
+        remove(spark, raw_path)
     blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
-    return Prepared(blocks, edges, cuts, seen.k, seen.wide, seen.n, max(tasks, spread), [path])
+    return Prepared(blocks, edge_table(spark, cuts), cuts, labels.k, seen.wide, seen.n, tasks, [path])
 
 
 class _Round:
@@ -384,11 +393,10 @@ def train(
     df: DataFrame,
     params: TrainParams = TrainParams(),
     model_id: str | None = None,
-    tolerance: float | None = None,
 ) -> Model:
     """Train one model on ``row_id, features, label, split``."""
     params.validate()
-    prepared = prepare(df, params.max_bins, tolerance)
+    prepared = prepare(df, params.max_bins)
     try:
         (model,), state = boost(prepared, [params], [model_id or uuid.uuid4().hex])
         state.unpersist()

@@ -98,7 +98,7 @@ def plain_boost(data, p):
 @pytest.mark.parametrize("missing", [False, True])
 def test_trainer_equals_brute_force(spark, missing):
     data = make(missing=missing)
-    model = train(frame(spark, data), PARAMS, "m", tolerance=0.0)
+    model = train(frame(spark, data), PARAMS, "m")
     nodes, curve = plain_boost(data, PARAMS)
     got = {(r["round"], r.class_id, r.node_id): r for r in model.nodes.collect()}
     assert set(got) == set(nodes)
