@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from coppice.llm.quality_gam import STATISTICS, fit, quality_scores, statistics
-from coppice.llm.quality_mcd import CUTOFF, quality_rules
+from coppice.llm.quality_mcd import CUTOFF, MIN_GROUP, NAMES, SCALE_UP, SHARE, VECTOR, quality_rules
 from coppice.llm.queries import op6_quality_gam, op7_quality_mcd
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -49,10 +49,87 @@ def test_outliers_are_rejected_in_their_own_group(make_docs):
     assert all(got[i].kept for i in range(300))
     assert not any(got[1000 + i].kept for i in range(15))
     assert all(got[2000 + i].kept for i in range(200))
-    assert got[5000].kept and got[5000].distance is None
+    # Alone in its language and source, and with no other small group: its own centre.
+    assert got[5000].kept and got[5000].distance == 0
     assert all(x.kept == (x.distance <= CUTOFF) for x in got.values() if x.distance is not None and not x.base_failed)
 
 
+def vector(text):
+    n, chars, symbols, dup, rep = counts(text)
+    lines = len([x for x in (text or "").split("\n") if WORD.search(x)])
+    return [np.log1p(n), np.log((chars + 100) / (n + 20)), np.log1p(100 * symbols / (chars + 100)), dup / (lines + 1), rep / (n + 20)]
+
+
+def floored(cov):
+    np.fill_diagonal(cov, np.maximum(cov.diagonal(), np.array([VECTOR[n] for n in NAMES]) ** 2))
+    return cov
+
+
+def squared(x, m, c):
+    return np.einsum("ij,ij->i", x - m, np.linalg.solve(c, (x - m).T).T)
+
+
+def random_mcd(x, starts=40):
+    """Centre and scatter by concentration from random subsets, with the exact share of rows."""
+    r, h, best = np.random.default_rng(0), int(np.ceil(SHARE * len(x))), None
+    for _ in range(starts):
+        at = r.permutation(len(x))[:20]
+        for _ in range(100):
+            m, c = x[at].mean(0), floored(SCALE_UP * np.cov(x[at].T, bias=True))
+            new = np.argsort(squared(x, m, c), kind="stable")[:h]
+            if len(at) == h and set(new) == set(at):
+                break
+            at = new
+        det = np.linalg.slogdet(c)[1]
+        if best is None or det < best[0]:
+            best = det, m, c
+    return best[1:]
+
+
+def test_verdicts_equal_random_starts(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    rows = {r.doc_id: r for r in quality_rules(spark.createDataFrame(docs)).collect()}
+    x = {d.doc_id: np.array(vector(d.text)) for d in docs if not rows[d.doc_id].base_failed}
+    fine, langs = Counter((d.lang, d.source) for d in docs if d.doc_id in x), Counter()
+    for (lang, _), n in fine.items():
+        langs[lang] += n if n < MIN_GROUP else 0
+    groups = {}
+    for d in docs:
+        if d.doc_id in x:
+            key = (d.lang, d.source) if fine[d.lang, d.source] >= MIN_GROUP else d.lang if langs[d.lang] >= MIN_GROUP else "*"
+            groups.setdefault(key, []).append(d.doc_id)
+    near = 0
+    for ids in groups.values():
+        at = np.array([x[i] for i in ids])
+        for i, d2 in zip(ids, squared(at, *random_mcd(at))):
+            # The share of rows is exact here and up to a bucket there.
+            near += 0.9 < d2 / CUTOFF < 1.1
+            assert rows[i].kept == (d2 <= CUTOFF) or 0.9 < d2 / CUTOFF < 1.1, (i, d2, rows[i].distance)
+    assert near <= 0.02 * len(x)
+
+
+def test_each_statistic_rejects_alone(make_docs):
+    r = random.Random(5)
+    line = lambda: prose(r, 14)
+    rows = [(i, "\n".join(line() for _ in range(r.randint(20, 60))), "en", "a") for i in range(300)]
+    some = [line() for _ in range(50)]
+    # A repeated line of one word repeats no window of five words.
+    dup = "\n".join(x for k in range(50) for x in ([some[k], "menu"] if k < 40 else [some[k]]))
+    passage = prose(r, 195)
+    words = [prose(r, 1500), passage, prose(r, 110), passage]
+    odd = {900: dup, 901: " ".join(words), 902: "\n".join(f"{line()} ## $$ %% ||" for _ in range(40)), 903: "\n".join(f"{prose(r, 3)} {'x' * 60}" for _ in range(200))}
+    got = {x.doc_id: x for x in quality_rules(make_docs(rows + [(i, t, "en", "a") for i, t in odd.items()])).collect()}
+    assert all(got[i].kept for i in range(300))
+    for i in odd:
+        assert not got[i].base_failed and not got[i].kept, (i, got[i])
+
+
+def test_verdicts_do_not_depend_on_partitions(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = lambda d: sorted((r.doc_id, r.kept, round(r.distance or -1, 6)) for r in quality_rules(d).collect())
+    assert rows(docs.repartition(1)) == rows(docs.repartition(13, "text"))
+
+
 def test_rules_and_odd_rows(odd_rows, no_rows):
     rows = quality_rules(odd_rows).collect()
     assert Counter(r.n_words for r in rows) == Counter(counts(r.text)[0] for r in odd_rows.collect())
