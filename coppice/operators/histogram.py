@@ -1,10 +1,13 @@
 """Gradient histograms: sums of first and second derivatives per (tree, node, feature, bin).
 
-``grad_histogram`` is the plain DataFrame form. ``node_histograms`` is what training
-runs: each task adds up its own rows with numpy and emits one row per non-empty cell,
-and Spark sums the cells of all tasks. Both use fixed-point BIGINT derivatives, so the
-sums, and with them the trees, do not depend on the order in which rows or partial
-results arrive.
+``grad_histogram`` is the plain DataFrame form, ``node_histograms`` gives the cells of any nodes.
+Training runs ``level_splits``, one pass per level. Of two sibling nodes only the lighter one is
+summed over the rows: the sums of the other are those of their parent, which the last level has
+kept, less the lighter one's. Tasks send packed sums of node and feature slice; the reducer of a
+slice adds them up one by one as they come, so that what it holds does not depend on the number of
+tasks, and searches both children. All sums are fixed-point BIGINT, so that they, and with them the
+trees, do not depend on the order in which rows or partial results arrive, and a difference is
+exact.
 """
 
 from __future__ import annotations
@@ -21,10 +24,8 @@ from pyspark.sql import types as T
 
 from ..functions.hashing import PRIME
 from ..functions.proba import MIN_HESSIAN
-from .blocks import unpack
+from .blocks import Block, unpack
 
-# Most partial cells of one node that a single reducer gets.
-NODE_CELLS = 4_000_000
 CELLS = T.StructType(
     [T.StructField(c, T.IntegerType()) for c in ("tree", "node", "feature", "bin")]
     + [T.StructField(c, T.LongType()) for c in ("g", "h")]
@@ -58,33 +59,46 @@ def grad_histogram(df: DataFrame) -> DataFrame:
 class Grown:
     """The part of one round's trees that is already decided, in arrays by level.
 
-    Position ``p`` at level ``l`` has the children ``2p`` (left) and ``2p + 1``. A leaf
-    sends everything to the left and is followed down to the last level.
+    Position ``p`` at level ``l`` has the children ``2p`` (left) and ``2p + 1``, if it is split.
     """
 
     n_trees: int
+    split: list[np.ndarray] = field(default_factory=list)
     feature: list[np.ndarray] = field(default_factory=list)
     cut: list[np.ndarray] = field(default_factory=list)
     missing_right: list[np.ndarray] = field(default_factory=list)
 
     def add_level(self) -> None:
         shape = (self.n_trees, 1 << len(self.feature))
+        self.split.append(np.zeros(shape, bool))
         self.feature.append(np.zeros(shape, np.int32))
-        self.cut.append(np.full(shape, np.iinfo(np.int16).max, np.int16))
+        self.cut.append(np.zeros(shape, np.int16))
         self.missing_right.append(np.zeros(shape, bool))
 
 
-def positions(bins: np.ndarray, tree: int, grown: Grown) -> np.ndarray:
-    """Position in ``tree`` after the decided levels, for a (features, rows) array of bins."""
-    rows = np.arange(bins.shape[1])
-    at = np.zeros(len(rows), np.int64)
-    for feature, cut, right in zip(grown.feature, grown.cut, grown.missing_right):
-        b = bins[feature[tree][at], rows]
-        go = b > cut[tree][at]
-        if right[tree].any():
-            go |= (b == 0) & right[tree][at]
-        at = 2 * at + go
-    return at
+def descend(
+    bins: np.ndarray, rows: np.ndarray, tree: int, grown: Grown, enter: list[np.ndarray] | None = None
+) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Rows of each node of ``tree`` where the descent ends, as (level, position, rows). It ends at nodes
+    that are not split. With ``enter`` only the positions marked there, by level, are entered, and it
+    ends at the last level. ``bins`` is (features, rows); rows are halved level by level and keep
+    their order, so a level costs a look at one bin for each row that is still on the way."""
+    here = [(0, rows)]
+    depth = len(grown.split) if enter is None else len(enter) - 1
+    for level in range(depth + 1):
+        below = []
+        for at, r in here:
+            if level == depth or not grown.split[level][tree, at]:
+                yield level, at, r
+                continue
+            b = bins[grown.feature[level][tree, at]].take(r)
+            go = b > grown.cut[level][tree, at]
+            if grown.missing_right[level][tree, at]:
+                go |= b == 0
+            for child, side in ((2 * at, ~go), (2 * at + 1, go)):
+                if enter is None or enter[level + 1][child]:
+                    below.append((child, r[side]))
+        here = below
 
 
 @dataclass
@@ -98,41 +112,72 @@ class Pass:
     grown: Grown
     # Per trial: hash coefficients and cutoff of the row sample.
     samples: list[tuple[int, int, int]]
-    # Per tree: features it may use, and position -> slot in the output (-1: not wanted).
+    # Per tree: features it may use, ascending, and position -> slot in the output (-1: not wanted).
     features: list[list[int]]
     slots: dict[int, np.ndarray]
 
 
+# Rows whose blocks a task joins before it sums, so that a node's share of them is worth a call.
+GROUP_ROWS = 1 << 17
+
+
+def grouped(blocks: Iterator[Block], rows: int = GROUP_ROWS) -> Iterator[Block]:
+    """Blocks joined to larger ones."""
+
+    def join(parts: list[Block]) -> Block:
+        if len(parts) == 1:
+            return parts[0]
+        take = lambda name, axis=0: np.concatenate([getattr(p, name) for p in parts], axis=axis)
+        return Block(take("bins", 1), take("label"), take("row_hash"), take("margin"))
+
+    waiting, n = [], 0
+    for block in blocks:
+        waiting.append(block)
+        n += len(block.label)
+        if n >= rows:
+            yield join(waiting)
+            waiting, n = [], 0
+    if waiting:
+        yield join(waiting)
+
+
 def _task_sums(batches: Iterator[pa.RecordBatch], todo: Pass):
     """What the rows of one task add up to: per tree the wanted nodes and the sums of both
     derivatives, as arrays of (used feature, node and bin)."""
     wanted = {t: np.flatnonzero(s >= 0) for t, s in todo.slots.items()}
     g_sum = {t: np.zeros((len(todo.features[t]), len(p) * todo.n_bins), np.int64) for t, p in wanted.items()}
     h_sum = {t: np.zeros_like(a) for t, a in g_sum.items()}
+    enter = {}
+    for t, s in todo.slots.items():
+        marks = [s >= 0]
+        while len(marks[0]) > 1:
+            marks.insert(0, marks[0].reshape(-1, 2).any(axis=1))
+        enter[t] = marks
     n_trees = len(todo.samples) * todo.n_class
     blocks = (k for batch in batches for k in unpack(batch, todo.n_features, todo.n_bins, n_trees))
-    for block in blocks:
+    for block in grouped(blocks):
         for trial, (a, b, cutoff) in enumerate(todo.samples):
             first = trial * todo.n_class
             trees = [t for t in range(first, first + todo.n_class) if t in wanted]
             if not trees:
                 continue
             inside = np.flatnonzero((block.row_hash * a + b) % PRIME < cutoff)
-            x, y = block.bins[:, inside], block.label[inside]
-            m = block.margin[inside, first : first + todo.n_class]
+            m = block.margin[:, first : first + todo.n_class]
             p = np.exp(m - m.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             for t in trees:
-                slot = todo.slots[t][positions(x, t, todo.grown)]
-                used = np.flatnonzero(slot >= 0)
-                pk = p[used, t - first]
-                g = np.rint((pk - (y[used] == t - first)) * todo.scale)
+                parts = [(todo.slots[t][at], r) for _, at, r in descend(block.bins, inside, t, todo.grown, enter[t]) if len(r)]
+                if not parts:
+                    continue
+                rows = np.concatenate([r for _, r in parts])
+                base = np.repeat(np.array([s for s, _ in parts]) * todo.n_bins, [len(r) for _, r in parts])
+                pk = p[rows, t - first]
+                g = np.rint((pk - (block.label[rows] == t - first)) * todo.scale)
                 # The floor holds after scaling: a second derivative is at least one unit.
                 h = np.maximum(np.rint(np.maximum(pk * (1 - pk), MIN_HESSIAN) * todo.scale), 1)
-                base = slot[used] * todo.n_bins
                 size = g_sum[t].shape[1]
                 for i, f in enumerate(todo.features[t]):
-                    cell = base + x[f, used]
+                    cell = base + block.bins[f].take(rows)
                     g_sum[t][i] += np.bincount(cell, g, size).astype(np.int64)
                     h_sum[t][i] += np.bincount(cell, h, size).astype(np.int64)
     return wanted, g_sum, h_sum
@@ -157,123 +202,187 @@ def _task_cells(batches: Iterator[pa.RecordBatch], todo: Pass) -> Iterator[pa.Re
         )
 
 
-def node_histograms(blocks: DataFrame, todo: Pass, n_tasks: int = 1) -> DataFrame:
+def node_histograms(blocks: DataFrame, todo: Pass) -> DataFrame:
     """Histogram cells of the wanted nodes over all sampled rows.
 
     The margins of a block are those of the classes of trial 0, of trial 1, and so on.
     Memory of a task is bounded by the number of wanted nodes, which the caller limits.
-    Sums inside a block are exact: they stay far below 2^53.
-
-    Each task emits a cell at most once. While that is little in all, the cells are
-    shuffled by node, which also is the key of the split search. Otherwise they are
-    summed by the full cell key first, which spreads the work.
-    """
+    Sums inside a task are exact: they stay far below 2^53. Each task emits a cell at most once."""
     cells = blocks.select("bins", "margin", "label", "row_hash").mapInArrow(
         lambda batches: _task_cells(batches, todo), CELLS
     )
-    if n_tasks * todo.n_features * todo.n_bins <= NODE_CELLS:
-        cells = cells.repartition("tree", "node")
-    return cells.groupBy("tree", "node", "feature", "bin").agg(
-        F.sum("g").alias("g"), F.sum("h").alias("h")
-    )
+    return cells.groupBy("tree", "node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
 
 
-def _task_nodes(batches: Iterator[pa.RecordBatch], todo: Pass) -> Iterator[pa.RecordBatch]:
-    """One row per node, with its cells that are not empty: numbers and sums as bytes."""
-    wanted, g_sum, h_sum = _task_sums(batches, todo)
-    for t, at in wanted.items():
-        shape = (len(todo.features[t]), len(at), todo.n_bins)
-        g, h = g_sum[t].reshape(shape), h_sum[t].reshape(shape)
-        packed = []
-        for k in range(len(at)):
-            gk, hk = g[:, k].ravel(), h[:, k].ravel()
-            cell = np.flatnonzero(hk)
-            if len(cell):
-                packed.append((at[k], cell.astype(np.int32).tobytes(), gk[cell].tobytes(), hk[cell].tobytes()))
-        if packed:
-            node, cell, gs, hs = zip(*packed)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([t] * len(node), pa.int32()), pa.array(node, pa.int32()), pa.array(cell, pa.binary()),
-                 pa.array(gs, pa.binary()), pa.array(hs, pa.binary())],
-                names=["tree", "node", "cell", "g", "h"],
-            )
-
-
-SPLITS = (
-    "tree INT, node INT, feature INT, bin INT, missing_left BOOLEAN, gain DOUBLE, "
-    "g_left DOUBLE, h_left DOUBLE, g_right DOUBLE, h_right DOUBLE, g_all DOUBLE, h_all DOUBLE"
+# A row of a level: sums of one node and feature slice. ``cell`` numbers the cells that are not empty.
+# In what tasks send, ``node`` is the parent whose lighter child the sums are of (at the root the root
+# itself) and ``kept`` tells the parent's own sums, which the level before has left.
+_PARTS = "tree INT, node INT, slice INT, kept BOOLEAN, cell BINARY, g BINARY, h BINARY"
+FOUND = (
+    "feature INT, bin INT, missing_left BOOLEAN, gain DOUBLE, g_left DOUBLE, h_left DOUBLE, "
+    "g_right DOUBLE, h_right DOUBLE, g_all DOUBLE, h_all DOUBLE"
 )
+LEVEL = f"tree INT, node INT, slice INT, {FOUND}, cell BINARY, g BINARY, h BINARY"
+SPLIT_COLUMNS = ["tree", "node", "slice", *[c.split()[0] for c in FOUND.split(", ")]]
+# Bytes of dense sums that one reducer holds, and of packed sums that come to it, at most about.
+REDUCER_BYTES, ARRIVING_BYTES = 64 << 20, 256 << 20
+
+
+def _packed(g: np.ndarray, h: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    cell = np.flatnonzero(h)
+    return cell.astype(np.int32).tobytes(), g[cell].tobytes(), h[cell].tobytes()
 
 
-def search_node(
+def slices_of(n_used: int, n_slices: int) -> list[tuple[int, int]]:
+    """Ranges of a tree's features that are reduced together."""
+    ends = [n_used * k // n_slices for k in range(n_slices + 1)]
+    return [(a, b) for a, b in zip(ends, ends[1:]) if a < b]
+
+
+def _task_parts(batches: Iterator[pa.RecordBatch], todo: Pass, parent: dict[tuple[int, int], int], n_slices: int):
+    """One row per node summed and feature slice."""
+    wanted, g_sum, h_sum = _task_sums(batches, todo)
+    for t, at in wanted.items():
+        used = len(todo.features[t])
+        g, h = (s[t].reshape(used, len(at), todo.n_bins) for s in (g_sum, h_sum))
+        out = []
+        for k, node in enumerate(at):
+            for s, (a, b) in enumerate(slices_of(used, n_slices)):
+                part = _packed(g[a:b, k].ravel(), h[a:b, k].ravel())
+                if part[0]:
+                    out.append((t, parent[t, int(node)], s, False, *part))
+        if out:
+            yield _batch(out, _PART_TYPE)
+
+
+def search_nodes(
     g: np.ndarray, h: np.ndarray, features: list[int], scale: float, lam: float, weight: float
-) -> tuple:
-    """Best split of one node from its (feature, bin) sums, by the rules of ``splits.split_gain``
-    and ``splits.best_split``, and the node's totals."""
+) -> list[tuple]:
+    """Best split of each of some nodes of one tree from their (node, feature, bin) sums, by the rules of
+    ``splits.split_gain`` and ``splits.best_split``, and the nodes' totals. Features ascend."""
     g, h = g / scale, h / scale
-    g_upto, h_upto = np.cumsum(g, axis=1), np.cumsum(h, axis=1)
-    g_all, h_all = g_upto[:, -1:], h_upto[:, -1:]
+    g_upto, h_upto = np.cumsum(g, axis=2), np.cumsum(h, axis=2)
+    g_all, h_all = g_upto[:, :, -1:], h_upto[:, :, -1:]
 
     def score(a, b):
         below = b + lam
         return a * a / np.where(below > 0, below, 1.0)
 
-    best = None
+    every = np.arange(len(g))
+    best: list = [None] * len(g)
     for missing_left in (True, False):
-        gl = g_upto if missing_left else g_upto - g[:, :1]
-        hl = h_upto if missing_left else h_upto - h[:, :1]
+        gl = g_upto if missing_left else g_upto - g[:, :, :1]
+        hl = h_upto if missing_left else h_upto - h[:, :, :1]
         gr, hr = g_all - gl, h_all - hl
         gain = (score(gl, hl) + score(gr, hr) - score(g_all, h_all)) * 0.5
         ok = (hl > 0) & (hr > 0) & (hl >= weight) & (hr >= weight) & (gain > 0)
         if not missing_left:
-            ok &= h[:, :1] > 0
-        if not ok.any():
-            continue
+            ok &= h[:, :, :1] > 0
         # The first of equal gains is that of the lowest feature and then the lowest bin.
-        i, b = np.unravel_index(np.argmax(np.where(ok, gain, -1.0)), gain.shape)
-        rank = (gain[i, b], -features[i], -b, missing_left)
-        if best is None or rank > best[0]:
-            best = (rank, int(features[i]), int(b), missing_left, float(gain[i, b]), gl[i, b], hl[i, b], gr[i, b], hr[i, b])
-    found = best[1:] if best else (None,) * 8
-    return (*found, float(g_all[0, 0]), float(h_all[0, 0]))
-
-
-# Bytes of cells that one reducer of the split search gets, at most, unless one node has more.
-REDUCER_BYTES = 32 << 20
-
-
-def node_splits(
-    blocks: DataFrame, todo: Pass, reg_lambda: list[float], min_child_weight: list[float], n_tasks: int = 1
-) -> DataFrame:
-    """Best split of every wanted node in one shuffle: tasks emit their sums node by node, and the
-    reducer of a node adds them up and searches it. The same splits as ``best_split`` finds in the
-    cells of ``node_histograms``. A node without a split has NULLs and its totals. A reducer holds
-    the sums of all tasks for one node; :data:`NODE_CELLS` bounds where this form is used."""
-    n_nodes = sum(int((s >= 0).sum()) for s in todo.slots.values())
-    size = n_nodes * n_tasks * todo.n_features * todo.n_bins * 20
-
-    def search(key, group):
-        tree, node = (k.as_py() for k in key)
-        used = todo.features[tree]
-        g, h = np.zeros(len(used) * todo.n_bins, np.int64), np.zeros(len(used) * todo.n_bins, np.int64)
-        for cell, gs, hs in zip(*(group.column(c).to_pylist() for c in ("cell", "g", "h"))):
-            at = np.frombuffer(cell, np.int32)
-            g[at] += np.frombuffer(gs, np.int64)
-            h[at] += np.frombuffer(hs, np.int64)
-        shape = (len(used), todo.n_bins)
-        row = search_node(
-            g.reshape(shape), h.reshape(shape), used, todo.scale, reg_lambda[tree], min_child_weight[tree]
-        )
-        return pa.Table.from_pylist([dict(zip(_SPLIT_NAMES, (tree, node, *row)))], schema=_SPLIT_TYPE)
+        first = np.where(ok, gain, -1.0).reshape(len(g), -1).argmax(axis=1)
+        i, b = np.unravel_index(first, gain.shape[1:])
+        for k in np.flatnonzero(ok[every, i, b]):
+            at = k, i[k], b[k]
+            rank = (gain[at], -features[i[k]], -b[k], missing_left)
+            if best[k] is None or rank > best[k][0]:
+                best[k] = (rank, int(features[i[k]]), int(b[k]), missing_left, *(float(x[at]) for x in (gain, gl, hl, gr, hr)))
+    return [
+        (*(best[k][1:] if best[k] else (None,) * 8), float(g_all[k, 0, 0]), float(h_all[k, 0, 0])) for k in range(len(g))
+    ]
 
-    sums = blocks.select("bins", "margin", "label", "row_hash").mapInArrow(
-        lambda batches: _task_nodes(batches, todo), "tree INT, node INT, cell BINARY, g BINARY, h BINARY"
+
+@dataclass
+class Level:
+    """One level's part of a round: which nodes are summed over the rows, and what follows from them."""
+
+    todo: Pass
+    # Parent -> (child that is summed, the other one), or the root -> (root, None).
+    pairs: dict[tuple[int, int], tuple[int, int | None]]
+    n_slices: int
+    reg_lambda: list[float]
+    min_child_weight: list[float]
+    # Whether the sums are kept for the next level.
+    keep: bool
+
+
+def _reduce(batches: Iterator[pa.RecordBatch], level: Level) -> Iterator[pa.RecordBatch]:
+    """Sums what has come for each parent and slice, and searches both children."""
+    todo, sums = level.todo, {}
+    for batch in batches:
+        columns = [batch.column(c) for c in ("cell", "g", "h")]
+        keys = zip(*(batch.column(c).to_pylist() for c in ("tree", "node", "slice", "kept")))
+        for i, (tree, node, s, kept) in enumerate(keys):
+            if (tree, node) not in level.pairs:
+                continue
+            a, b = slices_of(len(todo.features[tree]), level.n_slices)[s]
+            if (tree, s, node) not in sums:
+                sums[tree, s, node] = np.zeros((2, 2, (b - a) * todo.n_bins), np.int64)
+            cell, g, h = (np.frombuffer(c[i].as_buffer(), kind) for c, kind in zip(columns, (np.int32, np.int64, np.int64)))
+            into = sums[tree, s, node][int(kept)]
+            into[0][cell] += g
+            into[1][cell] += h
+    by_slice: dict[tuple[int, int], list] = {}
+    for tree, s, node in sorted(sums):
+        of = sums.pop((tree, s, node))
+        small, other = level.pairs[tree, node]
+        by_slice.setdefault((tree, s), []).append((small, of[0]))
+        if other is not None:
+            by_slice[tree, s].append((other, of[1] - of[0]))
+    for (tree, s), nodes in by_slice.items():
+        a, b = slices_of(len(todo.features[tree]), level.n_slices)[s]
+        shape = (len(nodes), b - a, todo.n_bins)
+        g, h = (np.stack([x[k] for _, x in nodes]).reshape(shape) for k in (0, 1))
+        found = search_nodes(g, h, todo.features[tree][a:b], todo.scale, level.reg_lambda[tree], level.min_child_weight[tree])
+        rows = []
+        for (node, of), split in zip(nodes, found):
+            rows.append((tree, node, s, *split, *(_packed(*of) if level.keep else (b"", b"", b""))))
+        yield _batch(rows, _LEVEL_TYPE)
+
+
+def level_splits(blocks: DataFrame, level: Level, kept: DataFrame | None, n_tasks: int) -> DataFrame:
+    """Best split within each feature slice of every node of the level, with the node's totals, and the
+    sums (``LEVEL``). A node without a split has NULLs. ``kept`` has the rows of the level before; at the
+    root there are none."""
+    todo, pairs = level.todo, level.pairs
+    parent = {(t, small): p for (t, p), (small, _) in pairs.items()}
+    parts = blocks.select("bins", "margin", "label", "row_hash").mapInArrow(
+        lambda batches: _task_parts(batches, todo, parent, level.n_slices), _PARTS
     )
-    reducers = max(1, min(n_nodes, -(-size // REDUCER_BYTES)))
-    return sums.repartition(reducers, "tree", "node").groupBy("tree", "node").applyInArrow(search, SPLITS)
+    if kept is not None:
+        rows = kept.select("tree", "node", "slice", F.lit(True).alias("kept"), "cell", "g", "h")
+        parts = parts.union(rows)
+    node_bytes = todo.n_features * todo.n_bins * 16
+    arriving = len(pairs) * node_bytes * (n_tasks + 1)
+    reducers = max(-(-len(pairs) * 2 * node_bytes // REDUCER_BYTES), -(-arriving // ARRIVING_BYTES))
+    # The search of many nodes is worth more than one task.
+    reducers = max(reducers, min(n_tasks, -(-len(pairs) // 32)))
+    reducers = min(reducers, len(pairs) * level.n_slices)
+    return parts.repartition(reducers, "tree", "node", "slice").mapInArrow(lambda batches: _reduce(batches, level), LEVEL)
 
 
-_SPLIT_TYPE = pa.schema(
-    [(f.split()[0], {"INT": pa.int32(), "BOOLEAN": pa.bool_(), "DOUBLE": pa.float64()}[f.split()[1]]) for f in SPLITS.split(", ")]
-)
-_SPLIT_NAMES = _SPLIT_TYPE.names
+def slice_count(n_tasks: int, n_features: int, n_bins: int) -> int:
+    """Feature slices of a node: so many that what all tasks send of one keeps to ``ARRIVING_BYTES``."""
+    return max(1, min(n_features, -(-n_tasks * n_features * n_bins * 20 // ARRIVING_BYTES)))
+
+
+def merged_splits(rows: list) -> list:
+    """The best of the slices of each node, by gain, then lowest feature, lowest bin, missing values to the
+    left. Rows have ``SPLIT_COLUMNS``."""
+    best: dict[tuple[int, int], tuple] = {}
+    for r in rows:
+        rank = (r.gain is not None, r.gain or 0.0, -(r.feature or 0), -(r.bin or 0), bool(r.missing_left))
+        if (r.tree, r.node) not in best or rank > best[r.tree, r.node][0]:
+            best[r.tree, r.node] = (rank, r)
+    return [best[k][1] for k in sorted(best)]
+
+
+def _arrow(schema: str) -> pa.Schema:
+    kinds = {"INT": pa.int32(), "BOOLEAN": pa.bool_(), "DOUBLE": pa.float64(), "BINARY": pa.binary()}
+    return pa.schema([(f.split()[0], kinds[f.split()[1]]) for f in schema.split(", ")])
+
+
+_PART_TYPE, _LEVEL_TYPE = _arrow(_PARTS), _arrow(LEVEL)
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)

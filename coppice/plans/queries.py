@@ -66,7 +66,8 @@ def embedding_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 def cover_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as 10 numeric and 44 binary features with 7 classes that some of them decide."""
-    li = table(spark, sf, "lineitem")
+    # The file has few row groups; spread, so that the features are not made by few tasks.
+    li = table(spark, sf, "lineitem").repartition("l_orderkey")
     key = row_hash(line_key())
     numeric = [F.col(c) for c in (*Y3_FEATURES, "l_linenumber", "l_orderkey", "l_partkey", "l_suppkey")]
     numeric += [key % 1000, key % 97]

@@ -12,6 +12,7 @@ from __future__ import annotations
 import time
 import uuid
 from dataclasses import asdict, dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +24,19 @@ from pyspark.sql import types as T
 from ..functions.hashing import round_coefficients, row_hash, sample_cutoff
 from ..operators.binning import edge_lists, edge_ranks, edge_table
 from ..operators.blocks import FIXED, bin_blocks, lists, raw_columns, to_raw_blocks, unpack, without_margin
-from ..operators.histogram import NODE_CELLS, Grown, Pass, fixed_scale, node_histograms, node_splits, positions
+from ..operators.histogram import (
+    SPLIT_COLUMNS,
+    Grown,
+    Level,
+    Pass,
+    descend,
+    fixed_scale,
+    level_splits,
+    merged_splits,
+    slice_count,
+)
 from ..operators.quantiles import chunk_limit, order_statistics
 from ..operators.sampling import sample_features
-from ..operators.splits import best_split, node_totals, split_gain
 from ..session import new_path, remove, written
 from ..sources.store import SCHEMAS
 
@@ -206,45 +216,54 @@ class _Round:
         lam = [p.reg_lambda for p in self.params]
         weight = [p.min_child_weight for p in self.params]
         chunk = max(1, MAX_CELLS // (self.p.n_features * self.p.n_bins))
-        wanted = [(t, 0) for t in range(self.n_trees) if self.active[t]]
-        level = 0
-        while wanted:
-            found = []
-            for start in range(0, len(wanted), chunk):
-                todo = self._pass(wanted[start : start + chunk], level, scale)
-                if self.p.n_tasks * self.p.n_features * self.p.n_bins <= NODE_CELLS:
-                    rows = node_splits(blocks, todo, lam, weight, self.p.n_tasks).collect()
-                    if level == 0:
-                        self.leaves.update({(r.tree, 0, 0): (r.g_all, r.h_all) for r in rows if r.feature is None})
-                    found += [r for r in rows if r.feature is not None]
-                    continue
-                cells = node_histograms(blocks, todo, self.p.n_tasks)
-                found += best_split(split_gain(cells, scale, lam, weight)).collect()
-                if level == 0:
-                    self._single_leaves(blocks, scale, wanted, found)
-            self.grown.add_level()
-            wanted = []
-            for s in found:
-                self.splits[(s.tree, level, s.node)] = s
-                self.leaves.pop((s.tree, level, s.node), None)
-                self.grown.feature[level][s.tree, s.node] = s.feature
-                self.grown.cut[level][s.tree, s.node] = s.bin
-                self.grown.missing_right[level][s.tree, s.node] = not s.missing_left
-                params = self.params[s.tree]
-                for child, g, h in ((2 * s.node, s.g_left, s.h_left), (2 * s.node + 1, s.g_right, s.h_right)):
-                    self.leaves[(s.tree, level + 1, child)] = (g, h)
-                    if level + 1 < params.max_depth and h >= 2 * params.min_child_weight:
-                        wanted.append((s.tree, child))
-            wanted.sort()
+        n_slices = slice_count(self.p.n_tasks, self.p.n_features, self.p.n_bins)
+        deepest = max(p.max_depth for p in self.params)
+        pairs: dict[tuple[int, int], tuple[int, int | None]] = {(t, 0): (0, None) for t in range(self.n_trees) if self.active[t]}
+        level, before = 0, []
+        while pairs:
+            found, kept, todo = [], [], sorted(pairs)
+            for start in range(0, len(todo), chunk):
+                mine = {k: pairs[k] for k in todo[start : start + chunk]}
+                summed = self._pass([(t, small) for (t, _), (small, _) in mine.items()], level, scale)
+                step = Level(summed, mine, n_slices, lam, weight, keep=level + 1 < deepest)
+                rows = level_splits(blocks, step, reduce(DataFrame.union, before) if before else None, self.p.n_tasks)
+                if step.keep:
+                    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+                    kept.append(rows)
+                found += rows.select(*SPLIT_COLUMNS).collect()
+            for rows in before:
+                rows.unpersist()
+            before, pairs = kept, self._decide(merged_splits(found), level)
             level += 1
-
-    def _single_leaves(self, blocks, scale, wanted, found) -> None:
-        """Totals of the trees that stay a single leaf; rare, so a pass of its own."""
-        split = {s.tree for s in found}
-        single = [(t, p) for t, p in wanted if t not in split]
-        if single:
-            for r in node_totals(node_histograms(blocks, self._pass(single, 0, scale)), scale).collect():
-                self.leaves[(r.tree, 0, 0)] = (r.g, r.h)
+        for rows in before:
+            rows.unpersist()
+
+    def _decide(self, found: list, level: int) -> dict[tuple[int, int], tuple[int, int | None]]:
+        """Takes over the splits of a level. Returns the parents whose children are to be split, with the
+        lighter child, which is summed next, and the other."""
+        self.grown.add_level()
+        pairs = {}
+        for s in found:
+            params = self.params[s.tree]
+            # Of a pair only one may have been asked for; the other has its totals from its parent.
+            if level and self.leaves[(s.tree, level, s.node)][1] < 2 * params.min_child_weight:
+                continue
+            if s.feature is None:
+                if level == 0:
+                    self.leaves[(s.tree, 0, 0)] = (s.g_all, s.h_all)
+                continue
+            self.splits[(s.tree, level, s.node)] = s
+            self.leaves.pop((s.tree, level, s.node), None)
+            self.grown.split[level][s.tree, s.node] = True
+            self.grown.feature[level][s.tree, s.node] = s.feature
+            self.grown.cut[level][s.tree, s.node] = s.bin
+            self.grown.missing_right[level][s.tree, s.node] = not s.missing_left
+            left, right = 2 * s.node, 2 * s.node + 1
+            self.leaves[(s.tree, level + 1, left)] = (s.g_left, s.h_left)
+            self.leaves[(s.tree, level + 1, right)] = (s.g_right, s.h_right)
+            if level + 1 < params.max_depth and max(s.h_left, s.h_right) >= 2 * params.min_child_weight:
+                pairs[(s.tree, s.node)] = (left, right) if s.h_left <= s.h_right else (right, left)
+        return pairs
 
     def value(self, tree: int, g: float, h: float) -> float:
         below = h + self.params[tree].reg_lambda
@@ -283,6 +302,7 @@ def _advance(blocks: DataFrame, prepared: Prepared, grown: Grown, leaf: np.ndarr
     """Blocks with the new trees added to their margins, and the summed log loss of each
     trial appended to their history."""
     n_features, n_bins, n_class, n_trees = prepared.n_features, prepared.n_bins, prepared.n_class, len(leaf)
+    depth = len(grown.feature)
 
     @F.arrow_udf(_STEP)
     def stepped(bins: pa.Array, label: pa.Array, row_hash: pa.Array, margin: pa.Array) -> pa.Array:
@@ -290,8 +310,10 @@ def _advance(blocks: DataFrame, prepared: Prepared, grown: Grown, leaf: np.ndarr
         margins, losses = [], []
         for block in unpack(columns, n_features, n_bins, n_trees):
             m = block.margin.copy()
+            rows = np.arange(len(m), dtype=np.int32)
             for t in range(n_trees):
-                m[:, t] += leaf[t][positions(block.bins, t, grown)]
+                for level, at, r in descend(block.bins, rows, t, grown):
+                    m[r, t] += leaf[t][at << (depth - level)]
             trials = m.reshape(len(m), n_trees // n_class, n_class)
             top = trials.max(axis=2)
             total = np.log(np.exp(trials - top[:, :, None]).sum(axis=2))
