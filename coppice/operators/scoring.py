@@ -1,4 +1,11 @@
-"""Scoring rows with an ensemble."""
+"""Scoring rows with an ensemble.
+
+A model is packed once: the thresholds of each feature are numbered over all trees, so that a value
+becomes one small number and a node compares numbers. The packed trees go to the workers as
+broadcast variables, which a worker loads once and keeps, and not with every task; a stream that
+stays on its model neither reads nor sends it again. Inside a task the rows of a batch are parted
+node by node, as long as a node has rows for a call of its own, and the rest walk down together.
+"""
 
 from __future__ import annotations
 
@@ -6,15 +13,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.proba import with_softmax
 from .blocks import lists, matrix
 
-# Nodes of an ensemble that one expression holds (about 40 bytes each). A larger ensemble is a
-# chain of expressions in the same stage; the result does not depend on it.
+# Nodes of one broadcast variable (about 40 bytes each). A larger ensemble is a chain of expressions
+# in the same stage, one for each variable; the result does not depend on it.
 MAX_NODES = 4_000_000
+# Rows of a node below which it is not worth a call.
+_FEW_ROWS = 256
 _FIELDS = ("round", "class_id", "node_id", "is_leaf", "feature", "threshold", "missing_left", "leaf_value")
 
 
@@ -25,11 +35,15 @@ class Forest:
     root: np.ndarray
     class_id: np.ndarray
     feature: np.ndarray
-    threshold: np.ndarray
+    # A value goes right if its number is above this one.
+    cut: np.ndarray
     missing_left: np.ndarray
     left: np.ndarray
+    leaf: np.ndarray
     value: np.ndarray
     depth: int
+    # Feature -> its thresholds, ascending.
+    thresholds: dict[int, np.ndarray]
 
 
 def pack(nodes: DataFrame, first_round: int = 0, last_round: int | None = None) -> Forest:
@@ -52,38 +66,71 @@ def pack(nodes: DataFrame, first_round: int = 0, last_round: int | None = None)
     here = np.arange(len(node))
     missing = t.column("missing_left").fill_null(True).to_numpy(zero_copy_only=False).astype(bool)
     depth = int(np.floor(np.log2(node + 1)).max(initial=0))
+    feature = np.where(leaf, 0, np.nan_to_num(col["feature"])).astype(np.int64)
+    threshold = np.where(leaf, np.inf, col["threshold"].astype(float))
+    cut = np.full(len(node), np.iinfo(np.int32).max, np.int32)
+    thresholds = {}
+    for f in np.unique(feature[~leaf]):
+        mine = np.flatnonzero((feature == f) & ~leaf)
+        thresholds[int(f)] = np.unique(threshold[mine])
+        # Numbers start at 1 below all thresholds; 0 is a missing value.
+        cut[mine] = np.searchsorted(thresholds[int(f)], threshold[mine]) + 1
     return Forest(
         tree.astype(np.int64),
         col["class_id"][tree].astype(np.int64),
-        np.where(leaf, 0, np.nan_to_num(col["feature"])).astype(np.int64),
-        np.where(leaf, np.inf, np.nan_to_num(col["threshold"], nan=np.inf, neginf=-np.inf, posinf=np.inf)),
+        feature,
+        cut,
         missing | leaf,
         # A leaf is its own left child.
         np.where(leaf, here, left).astype(np.int64),
+        leaf,
         np.where(leaf, np.nan_to_num(col["leaf_value"].astype(float)), 0.0),
         depth,
+        thresholds,
     )
 
 
+def numbers(x: np.ndarray, forest: Forest) -> np.ndarray:
+    """(features, rows): how many thresholds of its feature a value reaches, and 1; 0 for a missing value.
+    Features that no tree looks at have zeros."""
+    most = max((len(t) for t in forest.thresholds.values()), default=0) + 1
+    out = np.zeros((x.shape[1], len(x)), np.uint8 if most < 256 else np.uint16 if most < 65_536 else np.int32)
+    for f, t in forest.thresholds.items():
+        v = np.ascontiguousarray(x[:, f])
+        out[f] = np.where(np.isnan(v), 0, np.searchsorted(t, v, "right") + 1)
+    return out
+
+
 def forest_margins(x: np.ndarray, forest: Forest, n_class: int) -> np.ndarray:
     """Sum of leaf values per class for a matrix of rows; NaN is a missing value."""
-    out = np.zeros((len(x), n_class))
-    rows = np.arange(len(x))
-    any_missing = np.isnan(x).any()
+    at_most, every = numbers(x, forest), np.arange(len(x))
+    out = np.zeros((n_class, len(x)))
     for root, k in zip(forest.root, forest.class_id):
-        at = np.full(len(x), root)
-        for _ in range(forest.depth):
-            v = x[rows, forest.feature[at]]
-            go = v >= forest.threshold[at]
-            if any_missing:
-                go |= np.isnan(v) & ~forest.missing_left[at]
-            at = forest.left[at] + go
-        out[:, k] += forest.value[at]
-    return out
+        margin, todo, few = out[k], [(root, every)], []
+        while todo:
+            node, rows = todo.pop()
+            if forest.leaf[node]:
+                margin[rows] += forest.value[node]
+            elif len(rows) < _FEW_ROWS:
+                few.append((node, rows))
+            else:
+                b = at_most[forest.feature[node]].take(rows)
+                go = b > forest.cut[node]
+                if not forest.missing_left[node]:
+                    go |= b == 0
+                todo += [(forest.left[node], rows[~go]), (forest.left[node] + 1, rows[go])]
+        if few:
+            rows = np.concatenate([r for _, r in few])
+            at = np.repeat(np.array([n for n, _ in few]), [len(r) for _, r in few])
+            while not forest.leaf[at].all():
+                b = at_most[forest.feature[at], rows]
+                at = forest.left[at] + ((b > forest.cut[at]) | ((b == 0) & ~forest.missing_left[at]))
+            margin[rows] += forest.value[at]
+    return out.T
 
 
 def margin_column(
-    forest: Forest, n_class: int, n_features: int, features: str, before: str | None = None, last: bool = True
+    forest: Broadcast, n_class: int, n_features: int, features: str, before: str | None = None, last: bool = True
 ) -> Column:
     """Expression for the probabilities, or for the margins where more trees follow. Only
     the feature column (and the margins ``before``) goes to Python."""
@@ -93,7 +140,7 @@ def margin_column(
         x = columns[0]
         if x.null_count or len(x.flatten()) != len(x) * n_features:
             raise ValueError(f"every row needs {n_features} features")
-        m = forest_margins(matrix(x, n_features), forest, n_class)
+        m = forest_margins(matrix(x, n_features), forest.value, n_class)
         if len(columns) > 1:
             m += matrix(columns[1], n_class)
         if last:
@@ -117,22 +164,46 @@ def _round_groups(nodes: DataFrame, max_nodes: int) -> list[tuple[int, int]]:
     return groups
 
 
-def score(
-    df: DataFrame, nodes: DataFrame, n_class: int, n_features: int, max_nodes: int = MAX_NODES
-) -> DataFrame:
-    """Add ``proba``, lazily and in one narrow stage whatever the size of the ensemble, on tables
-    and streams alike. Thresholds compare raw features, so no edge table is needed."""
+@dataclass
+class Packed:
+    """A model ready for scoring: broadcast parts of an ensemble, in order."""
+
+    parts: list[Broadcast]
+    n_class: int
+    n_features: int
+
+    def release(self) -> None:
+        """Give the workers' and the driver's copies back; nothing may be scored with it afterwards."""
+        for p in self.parts:
+            p.destroy()
+
+
+def packed(nodes: DataFrame, n_class: int, n_features: int, max_nodes: int = MAX_NODES) -> Packed:
+    """Reads the model table once and sends the trees out, one part at a time."""
     groups = _round_groups(nodes, max_nodes)
     if not groups:
         raise ValueError("the model has no trees")
-    for i, (first, last) in enumerate(groups):
-        final = i + 1 == len(groups)
-        forest = pack(nodes, first, last)
-        step = margin_column(forest, n_class, n_features, "features", "_margin" if i else None, final)
+    sc = nodes.sparkSession.sparkContext
+    return Packed([sc.broadcast(pack(nodes, first, last)) for first, last in groups], n_class, n_features)
+
+
+def score_packed(df: DataFrame, model: Packed) -> DataFrame:
+    """Add ``proba``, lazily and in one narrow stage whatever the size of the ensemble, on tables
+    and streams alike. Thresholds compare raw features, so no edge table is needed."""
+    for i, part in enumerate(model.parts):
+        final = i + 1 == len(model.parts)
+        step = margin_column(part, model.n_class, model.n_features, "features", "_margin" if i else None, final)
         df = df.withColumn("proba" if final else "_margin", step)
     return df.drop("_margin")
 
 
+def score(
+    df: DataFrame, nodes: DataFrame, n_class: int, n_features: int, max_nodes: int = MAX_NODES
+) -> DataFrame:
+    """``score_packed`` with the trees of a model table."""
+    return score_packed(df, packed(nodes, n_class, n_features, max_nodes))
+
+
 def score_native(df: DataFrame, nodes: DataFrame, n_class: int) -> DataFrame:
     """The same as one nested CASE per tree, without Python. The expression grows with the
     ensemble, which makes it the form for small ones."""

@@ -12,7 +12,7 @@ from ..functions.proba import argmax
 from ..operators.metrics import evaluate, throughput
 from ..operators.scoring import score
 from ..operators.split import held_out, split_cuts, stratified_split, subsample_cut, within
-from ..sources.features import require_unique_keys, split_by_width
+from ..sources.features import fitting_rows, require_unique_keys
 from ..sources.files import predictions, write_predictions
 from ..sources.store import Store
 from .train import Model, TrainParams, train
@@ -95,7 +95,8 @@ def batch_inference(
     stored with it are used, so that no row it was trained on is scored, also where rows were
     added since. Rows without a label were never trained on and are scored all. Rows with
     another number of features are refused and counted; features of another type raise.
-    Accuracy is observed by the writing job itself, over the rows with a label.
+    Accuracy, over the rows with a label, and the refused rows are observed by the writing job
+    itself, which is the only one that reads the table.
     """
     version = store.resolve(name, uri)
     store.check_signature(version, df)
@@ -105,7 +106,7 @@ def batch_inference(
         if version.sample_cut is not None:
             inside = inside.where("label IS NOT NULL").unionByName(df.where("label IS NULL"))
         df = held_out(inside, "row_id", "label", version.test_size, version.split_seed, store.cuts_of(version))
-    fitting, rejected = split_by_width(df, version.num_features)
+    fitting, refused = fitting_rows(df, version.num_features)
     scored = score(fitting, store.load_nodes(version.model_id), version.num_class, version.num_features)
     seen = Observation()
     if labelled:
@@ -118,7 +119,7 @@ def batch_inference(
         "n_rows": n_rows,
         "inference_seconds": seconds,
         "rows_per_second": throughput(n_rows, seconds),
-        "rejected": rejected.count(),
+        "rejected": refused.get["refused"],
     }
     if labelled:
         metrics["accuracy"] = seen.get["accuracy"]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,14 +96,26 @@ def head_rows(df: DataFrame, n: int, last: bool = False) -> DataFrame:
     return df.orderBy(F.col("row_id").desc() if last else F.col("row_id").asc()).limit(n)
 
 
-def split_by_width(df: DataFrame, n_features: int) -> tuple[DataFrame, DataFrame]:
-    """Rows that have the model's feature count, and the others with a reason."""
-    reason = (
+def misfit(n_features: int) -> Column:
+    """Why a row does not fit a model with so many features; NULL where it does."""
+    return (
         F.when(F.col("features").isNull(), F.lit("no features"))
         .when(
             F.size("features") != n_features,
             F.concat(F.lit(f"expected {n_features} features, got "), F.size("features")),
         )
     )
-    marked = df.withColumn("reason", reason)
+
+
+def split_by_width(df: DataFrame, n_features: int) -> tuple[DataFrame, DataFrame]:
+    """Rows that have the model's feature count, and the others with a reason."""
+    marked = df.withColumn("reason", misfit(n_features))
     return marked.where("reason IS NULL").drop("reason"), marked.where("reason IS NOT NULL")
+
+
+def fitting_rows(df: DataFrame, n_features: int) -> tuple[DataFrame, Observation]:
+    """Rows that have the model's feature count; the others are counted as ``refused`` by the action that
+    reads them, so that one without any needs no second look at the table."""
+    seen = Observation()
+    marked = df.withColumn("reason", misfit(n_features)).observe(seen, F.count("reason").alias("refused"))
+    return marked.where("reason IS NULL").drop("reason"), seen

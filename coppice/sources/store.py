@@ -40,6 +40,14 @@ SCHEMAS = {
 _BY_MODEL = ("bin_edges", "model_nodes")
 
 
+def check_features(signature_json: str, schema: T.StructType, model: str = "the model") -> None:
+    """Raise when the features of a table or stream are of another type than a signature says."""
+    wanted = T.StructType.fromJson(json.loads(signature_json)["inputs"])["features"].dataType
+    got = schema["features"].dataType
+    if not isinstance(got, T.ArrayType) or got.elementType != wanted.elementType:
+        raise TypeError(f"{model} takes features as {wanted}, not as {got}")
+
+
 class Store:
     """Tables below one shared folder. One writer per model name is assumed."""
 
@@ -212,10 +220,7 @@ class Store:
     def check_signature(self, version, df: DataFrame) -> None:
         """Raise when the features of ``df`` are of another type than those the model was
         registered with."""
-        wanted = T.StructType.fromJson(json.loads(version.signature_json)["inputs"])["features"].dataType
-        got = df.schema["features"].dataType
-        if not isinstance(got, T.ArrayType) or got.elementType != wanted.elementType:
-            raise TypeError(f"{version.name} {version.version} takes features as {wanted}, not as {got}")
+        check_features(version.signature_json, df.schema, f"{version.name} {version.version}")
 
     def cuts_of(self, version) -> DataFrame | None:
         """The split of a version, one row per class; None where it was registered without."""

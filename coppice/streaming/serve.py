@@ -16,9 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.hashing import hex_to_bigint
 from ..functions.proba import argmax, confidence
 from ..operators.registry import CHAMPION
-from ..operators.scoring import score
-from ..sources.features import split_by_width
-from ..sources.store import Store
+from ..operators.scoring import Packed, packed, score, score_packed
+from ..sources.features import fitting_rows, split_by_width
+from ..sources.store import Store, check_features
 
 _REQUEST = "inputs ARRAY<ARRAY<FLOAT>>"
 _BUCKETS = 100
@@ -75,9 +75,11 @@ def route(df: DataFrame, key: Column | str, weights: dict[str, int], seed: int =
 def score_rows(df: DataFrame, nodes: DataFrame, n_class: int, n_features: int) -> DataFrame:
     """Scored rows with class and confidence; works on streams and tables alike. Every row has to
     fit the model (``split_by_width`` takes the others out)."""
-    return score(df, nodes, n_class, n_features).withColumns(
-        {"predicted_class": argmax("proba"), "predicted_probability": confidence("proba")}
-    )
+    return _classified(score(df, nodes, n_class, n_features))
+
+
+def _classified(scored: DataFrame) -> DataFrame:
+    return scored.withColumns({"predicted_class": argmax("proba"), "predicted_probability": confidence("proba")})
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
@@ -85,23 +87,72 @@ def _write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet")
     df.write.mode("overwrite").format(fmt).save(f"{path}/batch={batch_id}")
 
 
+def _score_batch(parts: list[tuple[DataFrame, Packed, dict]], path: str, rejects: str, batch_id: int, fmt: str) -> None:
+    """Scores and writes a micro-batch in one pass over its rows. ``parts`` are rows, their model and
+    columns to add. Only where that pass has met rows that do not fit is the batch read for them."""
+    scored, watched = [], []
+    for rows, model, extra in parts:
+        fitting, seen = fitting_rows(rows.withColumns(extra), model.n_features)
+        scored.append(_classified(score_packed(fitting, model)))
+        watched.append(seen)
+    _write_batch(reduce(DataFrame.unionByName, scored), path, batch_id, fmt)
+    refused = [
+        split_by_width(rows.withColumns(extra), model.n_features)[1]
+        for (rows, model, extra), seen in zip(parts, watched)
+        if seen.get["refused"]
+    ]
+    if refused:
+        _write_batch(reduce(DataFrame.unionByName, refused), rejects, batch_id, fmt)
+
+
 def score_stream(
     stream: DataFrame, nodes: DataFrame, n_class: int, n_features: int, path: str, checkpoint: str,
-    fmt: str = "parquet", once: bool = True, rejects: str | None = None,
+    fmt: str = "parquet", once: bool = True, rejects: str | None = None, signature_json: str | None = None,
 ) -> StreamingQuery:
     """Score arriving rows with one fixed model into ``path``. Rows that do not fit the model go
-    to ``rejects`` (``<path>-rejected`` by default) with a reason and hold nothing up."""
+    to ``rejects`` (``<path>-rejected`` by default) with a reason and hold nothing up. The model is
+    read and sent out once, before the first batch. With the signature of a registered version,
+    features of another type raise at once."""
     rejects = rejects or f"{path}-rejected"
+    if signature_json is not None:
+        check_features(signature_json, stream.schema)
+    model = packed(nodes, n_class, n_features)
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        fitting, others = split_by_width(batch, n_features)
-        _write_batch(score_rows(fitting, nodes, n_class, n_features), path, batch_id, fmt)
-        _write_batch(others, rejects, batch_id, fmt)
+        _score_batch([(batch, model, {})], path, rejects, batch_id, fmt)
 
     writer = stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+class ModelCache:
+    """Models a stream is using, packed and sent out once each."""
+
+    def __init__(self, store: Store):
+        self.store, self.models, self.fixed = store, {}, {}
+
+    def resolve(self, name: str, uri: str):
+        """Row of the version behind a reference. A version number means the same row for ever; aliases are
+        looked up again."""
+        if uri not in self.fixed:
+            version = self.store.resolve(name, uri)
+            if uri != f"models:/{version.name}/{version.version}":
+                return version
+            self.fixed[uri] = version
+        return self.fixed[uri]
+
+    def get(self, version) -> Packed:
+        if version.model_id not in self.models:
+            nodes = self.store.load_nodes(version.model_id)
+            self.models[version.model_id] = packed(nodes, version.num_class, version.num_features)
+        return self.models[version.model_id]
+
+    def keep(self, model_ids: set[str]) -> None:
+        """Give back all other models."""
+        for old in set(self.models) - model_ids:
+            self.models.pop(old).release()
+
+
 def score_current(
     stream: DataFrame,
     store: Store,
@@ -117,28 +168,28 @@ def score_current(
 
     ``weights`` returns ``{reference: percent}`` (champion at 100 % by default) and is asked
     again for every batch, as are the aliases, so a promotion takes effect on a running
-    stream. Every row carries the version that scored it. A batch writes its own folder and
-    overwrites it when it is repeated after a failure. Rows that do not fit the model they are
-    routed to go to ``rejects`` (``<path>-rejected`` by default) with a reason.
+    stream. A model is read when it is first met and kept while it is in use. Every row carries the
+    version that scored it. A batch writes its own folder and overwrites it when it is repeated
+    after a failure. Rows that do not fit the model they are routed to go to ``rejects``
+    (``<path>-rejected`` by default) with a reason; features of another type than those the model
+    was registered with raise.
     """
     rejects = rejects or f"{path}-rejected"
+    cache = ModelCache(store)
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         routes = weights() if weights else {f"models:/{name}@{CHAMPION}": 100}
-        routed = route(batch, key, routes).persist()
-        parts, refused = [], []
-        for uri, percent in routes.items():
-            if not percent:
-                continue
-            version = store.resolve(name, uri)
+        current = {uri: cache.resolve(name, uri) for uri, percent in routes.items() if percent}
+        routed = route(batch, key, routes)
+        if len(current) > 1:
+            routed = routed.persist()
+        parts = []
+        for uri, version in current.items():
+            store.check_signature(version, batch)
             mine = routed.where(F.col("served_model") == uri)
-            nodes = store.load_nodes(version.model_id)
-            fitting, others = split_by_width(mine, version.num_features)
-            refused.append(others.withColumn("model_version", F.lit(version.version)))
-            scored = score_rows(fitting, nodes, version.num_class, version.num_features)
-            parts.append(scored.withColumn("model_version", F.lit(version.version)))
-        _write_batch(reduce(DataFrame.unionByName, parts), path, batch_id)
-        _write_batch(reduce(DataFrame.unionByName, refused), rejects, batch_id)
+            parts.append((mine, cache.get(version), {"model_version": F.lit(version.version)}))
+        _score_batch(parts, path, rejects, batch_id, "parquet")
+        cache.keep({version.model_id for version in current.values()})
         routed.unpersist()
 
     writer = stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)

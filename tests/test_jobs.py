@@ -179,6 +179,34 @@ def test_stream_equals_batch(spark, store, rows, tmp_path):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
+def test_a_model_is_read_once_by_a_stream(spark, store, rows, tmp_path, monkeypatch):
+    src, stream = arriving(spark, tmp_path)
+    store.set_alias("a.b.m", store.register("a.b.m", fixed(spark, "one")))
+    for i in range(3):
+        rows.where(F.col("row_id") % 3 == i).repartition(1).write.mode("append").parquet(src)
+    read, out = [], str(tmp_path / "out")
+    load = store.load_nodes
+    monkeypatch.setattr(store, "load_nodes", lambda model_id: read.append(model_id) or load(model_id))
+    q = serve.score_current(stream, store, None, "a.b.m", "row_id", out, str(tmp_path / "cp"))
+    q.awaitTermination()
+    assert len(q.recentProgress) >= 3 and read == ["one"]
+    assert spark.read.parquet(out).count() == 500 and not (tmp_path / "out-rejected").exists()
+
+
+def test_a_stream_of_another_type_raises(spark, store, rows, tmp_path):
+    version = store.register("a.b.m", fixed(spark, "one"), example=rows)
+    store.set_alias("a.b.m", version)
+    src, stream = arriving(spark, tmp_path)
+    rows.write.mode("append").parquet(src)
+    doubles = stream.withColumn("features", F.col("features").cast("array<double>"))
+    signature = store.resolve("a.b.m").signature_json
+    with pytest.raises(TypeError, match="takes features"):
+        serve.score_stream(doubles, fixed_nodes(spark), 3, 4, str(tmp_path / "o"), str(tmp_path / "c"), signature_json=signature)
+    with pytest.raises(Exception, match="takes features"):
+        serve.score_current(doubles, store, None, "a.b.m", "row_id", str(tmp_path / "o"), str(tmp_path / "c")).awaitTermination()
+    serve.score_stream(stream, fixed_nodes(spark), 3, 4, str(tmp_path / "o2"), str(tmp_path / "c2"), signature_json=signature).awaitTermination()
+
+
 def test_promotion_reaches_a_running_stream(spark, store, rows, tmp_path):
     src, stream = arriving(spark, tmp_path)
     store.set_alias("a.b.m", store.register("a.b.m", fixed(spark, "one")))
