@@ -228,13 +228,22 @@ def minimum_determinant(rows: DataFrame) -> tuple[DataFrame, int]:
     groups = rows.select("grp").distinct().count()
     estimate, path = _starts(rows, groups)
     for step in range(MOST_STEPS):
-        new, new_path = written(_concentrate(rows, estimate, groups), "estimate")
-        last = estimate.select("grp", "start", F.col("log_det").alias("before"))
-        fell = new.join(last, ["grp", "start"]).agg(F.max(F.col("before") - F.col("log_det"))).first()[0]
+        new = _concentrate(rows, estimate, groups)
+        if step:
+            # The starts themselves are of other subsets; from the first step on, an estimate is given up
+            # only for one of a smaller determinant, and stays where there is none.
+            columns = [c for c in new.columns if c not in ("grp", "start")]
+            both = new.select("grp", "start", F.struct(*columns).alias("new")).join(
+                estimate.select("grp", "start", F.struct(*columns).alias("old")), ["grp", "start"]
+            )
+            falls = F.col("new.log_det") < F.col("old.log_det") - SETTLED
+            chosen = F.when(falls, F.col("new")).otherwise(F.col("old"))
+            new = both.select("grp", "start", chosen.alias("e"), falls.alias("falls")).select("grp", "start", "e.*", "falls")
+        new, new_path = written(new, "estimate")
+        going_on = not step or new.where("falls").limit(1).count()
         remove(spark, path)
-        estimate, path = new, new_path
-        # The first step leaves the starts, whose determinants are of other subsets.
-        if step and (fell is None or fell <= SETTLED):
+        estimate, path = new.drop("falls"), new_path
+        if not going_on:
             break
     first = Window.partitionBy("grp").orderBy(F.round("log_det", 9), "start")
     return estimate.withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth", "start"), groups
