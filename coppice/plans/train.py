@@ -37,7 +37,7 @@ from ..operators.histogram import (
 )
 from ..operators.quantiles import chunk_limit, order_statistics
 from ..operators.sampling import sample_features
-from ..session import new_path, remove, written
+from ..session import ADAPTIVE, new_path, own_session, remove, written
 from ..sources.store import SCHEMAS
 
 NODES = SCHEMAS["model_nodes"]
@@ -49,6 +49,10 @@ MAX_CELLS = 8_000_000
 _STEP = T.StructType(
     [T.StructField("margin", T.BinaryType()), T.StructField("loss", T.ArrayType(T.DoubleType()))]
 )
+# Looks at a bin that a level costs a task from which on half of them are saved: only the lighter one of
+# two siblings is summed then, and the sums of a level are kept for the next. Below, keeping them takes
+# longer than summing both. Trees are the same either way.
+SUBTRACT_LOOKS = 32_000_000
 # Most training rows of one partition of the blocks.
 TASK_ROWS = 2_000_000
 # Node rows kept on the driver before they are written out.
@@ -172,6 +176,7 @@ def prepare(df: DataFrame, max_bins: int = 64) -> Prepared:
         # Every pass reads this table, so it is written once: lost blocks come from here and
         # not from the raw input, and the plans of the rounds stay short.
         blocks, path = written(bin_blocks(raw, cuts, kind), "blocks")
+        blocks = own_session(spark).read.schema(blocks.schema).parquet(path)
     finally:
         remove(spark, raw_path)
     blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
@@ -218,6 +223,8 @@ class _Round:
         chunk = max(1, MAX_CELLS // (self.p.n_features * self.p.n_bins))
         n_slices = slice_count(self.p.n_tasks, self.p.n_features, self.p.n_bins)
         deepest = max(p.max_depth for p in self.params)
+        looks = self.p.n_train // self.p.n_tasks * sum(len(f) for f, on in zip(self.features, self.active) if on)
+        subtract = looks >= SUBTRACT_LOOKS
         pairs: dict[tuple[int, int], tuple[int, int | None]] = {(t, 0): (0, None) for t in range(self.n_trees) if self.active[t]}
         level, before = 0, []
         while pairs:
@@ -225,7 +232,7 @@ class _Round:
             for start in range(0, len(todo), chunk):
                 mine = {k: pairs[k] for k in todo[start : start + chunk]}
                 summed = self._pass([(t, small) for (t, _), (small, _) in mine.items()], level, scale)
-                step = Level(summed, mine, n_slices, lam, weight, keep=level + 1 < deepest)
+                step = Level(summed, mine, n_slices, lam, weight, keep=subtract and level + 1 < deepest)
                 rows = level_splits(blocks, step, reduce(DataFrame.union, before) if before else None, self.p.n_tasks)
                 if step.keep:
                     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
@@ -233,16 +240,16 @@ class _Round:
                 found += rows.select(*SPLIT_COLUMNS).collect()
             for rows in before:
                 rows.unpersist()
-            before, pairs = kept, self._decide(merged_splits(found), level)
+            before, pairs = kept, self._decide(merged_splits(found), level, subtract)
             level += 1
         for rows in before:
             rows.unpersist()
 
-    def _decide(self, found: list, level: int) -> dict[tuple[int, int], tuple[int, int | None]]:
-        """Takes over the splits of a level. Returns the parents whose children are to be split, with the
-        lighter child, which is summed next, and the other."""
+    def _decide(self, found: list, level: int, subtract: bool) -> dict[tuple[int, int], tuple[int, int | None]]:
+        """Takes over the splits of a level. Returns what the next one sums: with ``subtract`` of each parent
+        the lighter child, with the other one, else each child for itself."""
         self.grown.add_level()
-        pairs = {}
+        pairs: dict[tuple[int, int], tuple[int, int | None]] = {}
         for s in found:
             params = self.params[s.tree]
             # Of a pair only one may have been asked for; the other has its totals from its parent.
@@ -258,11 +265,17 @@ class _Round:
             self.grown.feature[level][s.tree, s.node] = s.feature
             self.grown.cut[level][s.tree, s.node] = s.bin
             self.grown.missing_right[level][s.tree, s.node] = not s.missing_left
-            left, right = 2 * s.node, 2 * s.node + 1
-            self.leaves[(s.tree, level + 1, left)] = (s.g_left, s.h_left)
-            self.leaves[(s.tree, level + 1, right)] = (s.g_right, s.h_right)
-            if level + 1 < params.max_depth and max(s.h_left, s.h_right) >= 2 * params.min_child_weight:
-                pairs[(s.tree, s.node)] = (left, right) if s.h_left <= s.h_right else (right, left)
+            children = [(s.h_left, 2 * s.node, s.g_left), (s.h_right, 2 * s.node + 1, s.g_right)]
+            for h, child, g in children:
+                self.leaves[(s.tree, level + 1, child)] = (g, h)
+            wanted = [child for h, child, _ in children if h >= 2 * params.min_child_weight]
+            if level + 1 >= params.max_depth or not wanted:
+                continue
+            if subtract:
+                (_, small, _), (_, other, _) = sorted(children)
+                pairs[(s.tree, s.node)] = (small, other)
+            else:
+                pairs |= {(s.tree, child): (child, None) for child in wanted}
         return pairs
 
     def value(self, tree: int, g: float, h: float) -> float:
@@ -331,10 +344,12 @@ def _advance(blocks: DataFrame, prepared: Prepared, grown: Grown, leaf: np.ndarr
 
 def losses_of(blocks: DataFrame, n_steps: int) -> list[tuple[float, float]]:
     """``(train, test)`` log loss of each entry of the loss history: one job for all."""
-    means = [(F.sum(F.get("loss", F.lit(i))) / F.sum("n")).alias(f"s{i}") for i in range(n_steps)]
-    got = {r.is_train: r for r in blocks.groupBy("is_train").agg(*means).collect()}
-    side = lambda flag, i: got[flag][f"s{i}"] if flag in got else None
-    return [(side(True, i), side(False, i)) for i in range(n_steps)]
+    sums = []
+    for flag in (True, False):
+        mine = lambda c, flag=flag: F.sum(F.when(F.col("is_train") == flag, c))
+        sums += [(mine(F.get("loss", F.lit(i))) / mine(F.col("n"))).alias(f"{flag}{i}") for i in range(n_steps)]
+    got = blocks.agg(*sums).first()
+    return [(got[f"True{i}"], got[f"False{i}"]) for i in range(n_steps)]
 
 
 def boost(
@@ -347,7 +362,7 @@ def boost(
     (``n_class`` entries per trial), persisted."""
     for t in trials:
         t.validate()
-    spark = prepared.blocks.sparkSession
+    spark = prepared.edges.sparkSession
     k = prepared.n_class
     scale = fixed_scale(prepared.n_train)
     started = time.time()
@@ -355,38 +370,46 @@ def boost(
     nodes, parts, curves = [], [], []
     before, unread, last_path = None, 0, None
     rounds = max(t.n_estimators for t in trials)
-    for round_no in range(rounds):
-        current = _Round(prepared, trials, round_no)
-        current.grow(state.where("is_train"), scale)
-        if before is not None:
-            # The first pass of the round has filled the cache of ``state``.
-            before.unpersist()
-        before, state = state, _advance(state, prepared, current.grown, current.leaf_array())
-        state = state.persist(StorageLevel.MEMORY_AND_DISK)
-        nodes += current.nodes(model_ids)
-        if len(nodes) > _FLUSH_NODES:
-            parts.append(_write_nodes(spark, nodes))
-            nodes = []
-        unread += 1
-        last = round_no + 1 == rounds
-        if last or (round_no + 1) % checkpoint_every == 0:
-            for i, (train, test) in enumerate(losses_of(state, unread * len(trials))):
-                step, t = round_no + 1 - unread + i // len(trials), i % len(trials)
-                if step < trials[t].n_estimators:
-                    curves.append((model_ids[t], step, train, test))
-            unread = 0
-            before.unpersist()
-            before = None
-        if not last and (round_no + 1) % checkpoint_every == 0:
-            saved, path = written(state.drop("loss"), "margins")
-            state.unpersist()
-            state = saved.withColumn("loss", F.array().cast("array<double>"))
-            prepared.paths.append(path)
-            if last_path:
-                prepared.paths.remove(last_path)
-                remove(spark, last_path)
-            last_path = path
+    # The jobs of a level are many, small, and have their partitions given: they need no second plan between
+    # their stages. The blocks' session is theirs alone.
+    own = prepared.blocks.sparkSession.conf
+    adaptive = own.get(ADAPTIVE)
+    own.set(ADAPTIVE, "false")
+    try:
+        for round_no in range(rounds):
+            current = _Round(prepared, trials, round_no)
+            current.grow(state.where("is_train"), scale)
+            if before is not None:
+                # The first pass of the round has filled the cache of ``state``.
+                before.unpersist()
+            before, state = state, _advance(state, prepared, current.grown, current.leaf_array())
             state = state.persist(StorageLevel.MEMORY_AND_DISK)
+            nodes += current.nodes(model_ids)
+            if len(nodes) > _FLUSH_NODES:
+                parts.append(_write_nodes(spark, nodes))
+                nodes = []
+            unread += 1
+            last = round_no + 1 == rounds
+            if last or (round_no + 1) % checkpoint_every == 0:
+                for i, (train, test) in enumerate(losses_of(state, unread * len(trials))):
+                    step, t = round_no + 1 - unread + i // len(trials), i % len(trials)
+                    if step < trials[t].n_estimators:
+                        curves.append((model_ids[t], step, train, test))
+                unread = 0
+                before.unpersist()
+                before = None
+            if not last and (round_no + 1) % checkpoint_every == 0:
+                saved, path = written(state.drop("loss"), "margins")
+                state.unpersist()
+                state = saved.withColumn("loss", F.array().cast("array<double>"))
+                prepared.paths.append(path)
+                if last_path:
+                    prepared.paths.remove(last_path)
+                    remove(spark, last_path)
+                last_path = path
+                state = state.persist(StorageLevel.MEMORY_AND_DISK)
+    finally:
+        own.set(ADAPTIVE, adaptive)
     seconds = time.time() - started
     table = spark.createDataFrame(nodes, NODES)
     for path in parts:

@@ -22,6 +22,18 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+ADAPTIVE = "spark.sql.adaptive.enabled"
+
+
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application with the same settings, which can be changed for its tables alone."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """Unused path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

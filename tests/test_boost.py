@@ -97,7 +97,9 @@ def plain_boost(data, p):
 
 
 @pytest.mark.parametrize("missing", [False, True])
-def test_trainer_equals_brute_force(spark, missing):
+@pytest.mark.parametrize("looks", [0, 10**12])
+def test_trainer_equals_brute_force(spark, missing, looks, monkeypatch):
+    monkeypatch.setattr(training, "SUBTRACT_LOOKS", looks)
     data = make(missing=missing)
     model = train(frame(spark, data), PARAMS, "m")
     nodes, curve = plain_boost(data, PARAMS)
@@ -141,7 +143,9 @@ def test_trials_that_share_passes_equal_trials_alone(spark):
         assert shared.curves.count() == params.n_estimators
 
 
-def test_levels_in_several_passes(spark, monkeypatch):
+@pytest.mark.parametrize("looks", [0, 10**12])
+def test_levels_in_several_passes(spark, monkeypatch, looks):
+    monkeypatch.setattr(training, "SUBTRACT_LOOKS", looks)
     prepared = prepare(frame(spark, make(seed=3)), 16)
     (whole,), rows = boost(prepared, [PARAMS], ["x"])
     monkeypatch.setattr(training, "MAX_CELLS", 4 * 17 * 2)
@@ -153,6 +157,7 @@ def test_levels_in_several_passes(spark, monkeypatch):
 def test_any_number_of_slices_and_reducers_gives_the_same_trees(spark, monkeypatch):
     prepared = prepare(frame(spark, make(seed=6)), 16)
     p = replace(PARAMS, colsample_bytree=0.8, max_depth=4)
+    monkeypatch.setattr(training, "SUBTRACT_LOOKS", 0)
     (one,), rows = boost(prepared, [p], ["x"])
     rows.unpersist()
     monkeypatch.setattr(histogram, "ARRIVING_BYTES", 3 * prepared.n_tasks * prepared.n_bins * 20 // 2)
@@ -172,6 +177,7 @@ def test_only_the_lighter_sibling_is_summed(spark, monkeypatch):
         levels.append(level)
         return level_splits(blocks, level, kept, n_tasks)
 
+    monkeypatch.setattr(training, "SUBTRACT_LOOKS", 0)
     level_splits = training.level_splits
     monkeypatch.setattr(training, "level_splits", seen)
     (model,), rows = boost(prepared, [replace(PARAMS, n_estimators=1, max_depth=4)], ["x"])
