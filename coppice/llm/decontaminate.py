@@ -186,6 +186,8 @@ def leaks(
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without those that a benchmark item leaked into; rows with a NULL id stay."""
-    hit = leaks(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("__hit")).distinct()
-    return docs.join(hit, F.col(id_col) == F.col("__hit"), "left_anti")
+    """The rows of ``docs`` without those that a benchmark item leaked into. A row is judged by its own text,
+    whatever its id: rows with a NULL id or with one that other texts share are no exception."""
+    digest = F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    hit = leaks(docs.select(digest.alias("__text"), text_col), benchmark, "__text", text_col)
+    return docs.join(hit.select(F.col("__text").alias("__hit")).distinct(), digest == F.col("__hit"), "left_anti")

@@ -32,15 +32,64 @@ _NAME = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]
 _PART = re.compile(r"[a-z]+", re.I)
 
 
+class Element:
+    """An open element with its class, id and role words. Blocks below it share it, so that deep nesting
+    costs one element each."""
+
+    __slots__ = ("tag", "names", "above", "cells")
+
+    def __init__(self, tag: str, names: list[str], above: Element | None):
+        self.tag, self.names, self.above = tag, names, above
+        # For whoever hashes paths: what is known of this element's path.
+        self.cells: frozenset[int] | None = None
+
+
 @dataclass
 class Block:
-    """Text with white space as single spaces, the path of its elements with their class, id and
-    role words, and how many of its characters stand in links."""
+    """Text with white space as single spaces, the innermost of its elements, and how many of its
+    characters stand in links."""
 
     text: str
-    path: tuple[str, ...]
+    element: Element | None
     link_chars: int
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        """Tags from the outermost in, each followed by its words."""
+        out, at = [], self.element
+        while at is not None:
+            out.append((at.tag, *at.names))
+            at = at.above
+        return tuple(w for words in reversed(out) for w in words)
+
+
+class _Open:
+    """The open elements, with the places of each tag, so that looking for one does not walk them all."""
+
+    def __init__(self):
+        self.stack: list[Element] = []
+        self.places: dict[str, list[int]] = {}
+        self.hidden = 0
+
+    def push(self, tag: str, names: list[str]) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append(Element(tag, names, self.stack[-1] if self.stack else None))
+        self.hidden += tag in HIDDEN
+
+    def close(self, k: int) -> None:
+        """Closes elements from the innermost up to the one at place ``k``."""
+        while len(self.stack) > k:
+            tag = self.stack.pop().tag
+            self.places[tag].pop()
+            self.hidden -= tag in HIDDEN
+
+    def last(self, tags) -> int:
+        """Place of the innermost element with one of the tags, or -1."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def top(self) -> str | None:
+        return self.stack[-1].tag if self.stack else None
+
 
 def _names(attributes: str) -> list[str]:
     return [
@@ -55,56 +104,49 @@ def blocks(html: str) -> list[Block]:
     hidden elements give nothing; unclosed and misplaced tags are repaired as browsers do for
     paragraphs, list items, table cells, heads, svg and math."""
     out: list[Block] = []
-    stack: list[tuple[str, list[str]]] = []
+    opened = _Open()
     text: list[str] = []
     linked = 0
     pos, size = 0, len(html)
-    hidden = 0
 
     def flush():
         nonlocal linked
         if text:
             joined = " ".join(unescape("".join(text)).split())
             if joined:
-                path = tuple(w for tag, names in stack for w in (tag, *names))
-                out.append(Block(joined, path, linked))
+                out.append(Block(joined, opened.stack[-1] if opened.stack else None, linked))
             text.clear()
         linked = 0
 
-    def close(k: int):
-        del stack[k:]
-
     while pos < size:
         found = _TAG.search(html, pos)
         stop = found.start() if found else size
-        if stop > pos and stack and stack[-1][0] == "head" and html[pos:stop].strip():
-            close(len(stack) - 1)
-            hidden = sum(t in HIDDEN for t, _ in stack)
-        if stop > pos and not hidden:
+        if stop > pos and opened.top() == "head" and html[pos:stop].strip():
+            opened.close(len(opened.stack) - 1)
+        if stop > pos and not opened.hidden:
             piece = html[pos:stop]
             text.append(piece)
-            if any(tag == "a" for tag, _ in stack):
+            if opened.places.get("a"):
                 linked += len(piece.strip())
         if not found:
             break
         pos = found.end()
-        if found.group(1) is not None and not hidden:
+        if found.group(1) is not None and not opened.hidden:
             text.append(found.group(1))
             continue
         tag = (found.group(3) or "").lower()
         if not tag:
             continue
         if found.group(2):
-            at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-            if tag in BLOCK and not hidden:
+            at = opened.last((tag,))
+            if tag in BLOCK and not opened.hidden:
                 flush()
-            if at is not None:
-                close(at)
-                hidden = sum(t in HIDDEN for t, _ in stack)
-            elif tag == "br" and not hidden:
+            if at >= 0:
+                opened.close(at)
+            elif tag == "br" and not opened.hidden:
                 text.append(" ")
             continue
-        if hidden and stack[-1][0] == "head":
+        if opened.hidden and opened.top() == "head":
             if tag in ("head", "html"):
                 continue
             if tag in ("noscript", "noframes"):
@@ -112,27 +154,21 @@ def blocks(html: str) -> list[Block]:
                 pos = end.end() if end else pos
                 continue
             if tag not in _IN_HEAD:
-                close(len(stack) - 1)
-        elif hidden and tag in _BREAKOUT:
-            while stack and stack[-1][0] in _FOREIGN:
-                close(len(stack) - 1)
-        elif hidden and tag in _INTEGRATION and any(t in _FOREIGN for t, _ in stack):
+                opened.close(len(opened.stack) - 1)
+        elif opened.hidden and tag in _BREAKOUT:
+            while opened.top() in _FOREIGN:
+                opened.close(len(opened.stack) - 1)
+        elif opened.hidden and tag in _INTEGRATION and opened.last(_FOREIGN) >= 0:
             if not found.group(4).rstrip().endswith("/"):
-                stack.append((tag, []))
+                opened.push(tag, [])
             continue
-        if hidden:
-            hidden = sum(t in HIDDEN for t, _ in stack)
-        if hidden and tag not in HIDDEN:
+        if opened.hidden and tag not in HIDDEN:
             continue
         if tag in BLOCK or tag in HIDDEN:
             flush()
-            group = _SIBLINGS.get(tag, ("p",) if tag in BLOCK else ())
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in group:
-                    close(k)
-                    break
-                if stack[k][0] in _STOP:
-                    break
+            sibling = opened.last(_SIBLINGS.get(tag, ("p",) if tag in BLOCK else ()))
+            if sibling >= 0 and sibling >= opened.last(_STOP):
+                opened.close(sibling)
         elif tag in VOID:
             text.append(" ")
         if tag in VOID or found.group(4).rstrip().endswith("/") and tag in HIDDEN:
@@ -141,7 +177,6 @@ def blocks(html: str) -> list[Block]:
             end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(html, pos)
             pos = end.end() if end else size
             continue
-        stack.append((tag, _names(found.group(4))))
-        hidden += tag in HIDDEN
+        opened.push(tag, _names(found.group(4)))
     flush()
     return out

@@ -32,6 +32,27 @@ BATCH_BLOCKS = 20_000
 _INSIDE = byte_class(bytes([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]))
 
 
+def _cell(word: str) -> int:
+    return crc32(word.encode()) % PATH_CELLS
+
+
+def _path_cells(block: Block) -> frozenset[int]:
+    """Cells of the words on a block's path, and of its last one once more as such. What an element adds
+    is worked out once for all blocks below it, and one that adds nothing shares its parent's cells."""
+    if block.element is None:
+        return frozenset((0,))
+    chain, at = [], block.element
+    while at is not None and at.cells is None:
+        chain.append(at)
+        at = at.above
+    cells = at.cells if at is not None else frozenset()
+    for element in reversed(chain):
+        own = {_cell(w) for w in (element.tag, *element.names)}
+        cells = cells if own <= cells else cells | own
+        element.cells = cells
+    return cells | {_cell("/" + (block.element.names or [block.element.tag])[-1])}
+
+
 class Inputs:
     """Blocks of several pages as arrays: path cells and word cells (ragged), and measures."""
 
@@ -39,7 +60,7 @@ class Inputs:
         self.sizes = np.array([len(p) for p in pages], np.int64)
         flat_blocks = [b for p in pages for b in p]
         n = len(flat_blocks)
-        path = [sorted({crc32(w.encode()) % PATH_CELLS for w in b.path} | {crc32(("/" + b.path[-1]).encode()) % PATH_CELLS if b.path else 0}) for b in flat_blocks]
+        path = [sorted(_path_cells(b)) for b in flat_blocks]
         self.path_of = np.repeat(np.arange(n), [len(p) for p in path])
         self.path = np.array([c for p in path for c in p], np.int64)
         buf, at = flat(pa.array([b.text for b in flat_blocks], pa.large_string()))

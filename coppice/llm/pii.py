@@ -295,6 +295,8 @@ def find(text: str, key: bytes, known: Callable | None = None) -> list[tuple[str
     """(kind, start, end, pseudonym) of what validates, in order, not overlapping; a kind that comes
     first in the list of kinds has the first choice."""
     out: list[tuple[str, int, int, str]] = []
+    # Characters that belong to a value found before.
+    taken = bytearray(len(text))
     for kind, make, pattern, group in _KINDS:
         pos = 0
         while hit := pattern.search(text, pos):
@@ -302,11 +304,12 @@ def find(text: str, key: bytes, known: Callable | None = None) -> list[tuple[str
             value = hit.group(group)
             for length in _ENDS[kind](value) if kind in _ENDS else [len(value)]:
                 end = start + length
-                if any(start < e and s < end for _, s, e, _ in out):
+                if taken.find(1, start, end) >= 0:
                     continue
                 new = known(kind, value[:length]) if known else make(value[:length], key)
                 if new is not None:
                     out.append((kind, start, end, new))
+                    taken[start:end] = b"\1" * (end - start)
                     pos = end if kind in _ENDS else pos
                     break
     return sorted(out, key=lambda x: x[1])

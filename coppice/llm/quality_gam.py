@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
@@ -249,16 +249,22 @@ def quality_scores(
     label_col: str = "quality",
     max_rows: int = MAX_ROWS,
     threshold: float = 0.5,
+    carry: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """``id_col``, ``held_out``, ``score`` and ``predicted`` of every row.
+    """``id_col``, ``held_out``, ``score`` and ``predicted`` of every row, and the columns of ``carry``, which
+    are computed from the row and tell rows apart whose ids do not.
 
     Rows with a NULL id or label do not enter the fit; of repeated ids one row with the largest
     label does. A NULL or empty text has all statistics zero and is scored as such. The statistics
     are written to the folder of ``spark.checkpoint.dir`` once and read for the fit and the scores."""
-    described, _ = written(describe(docs, id_col, text_col), "statistics")
+    carry = carry or {}
+    key = F.struct(F.col(id_col).alias("id"), *[c.alias(f"also_{n}") for n, c in carry.items()])
+    described, _ = written(describe(docs.select(key.alias("__key"), text_col), "__key", text_col), "statistics")
+    # The rows with their labels; the key's parts are told apart again for the result.
+    labelled = described.withColumn("key", F.col("id")).withColumn("id", F.col("key.id"))
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y"))
     known = known.where(F.col("y").isNotNull() & ~held_out("id")).groupBy("id").agg(F.max("y").alias("y"))
-    rows = described.join(known, "id").orderBy(F.xxhash64("id"), "id", *STATISTICS).limit(max_rows).toArrow()
+    rows = labelled.join(known, "id").select("id", "y", *STATISTICS).orderBy(F.xxhash64("id"), "id", *STATISTICS).limit(max_rows).toArrow()
     x = np.column_stack([rows.column(s).to_numpy() for s in STATISTICS]) if rows.num_rows else np.zeros((0, len(STATISTICS)))
     ids = rows.column("id").to_pylist()
     once = [k for k in range(len(ids)) if not k or ids[k] != ids[k - 1]]
@@ -272,8 +278,9 @@ def quality_scores(
     kind = described.schema["id"].dataType.simpleString()
     scored = described.mapInArrow(run, f"id {kind}, score double")
     return scored.select(
-        F.col("id").alias(id_col),
-        held_out("id").alias("held_out"),
+        F.col("id.id").alias(id_col),
+        held_out("id.id").alias("held_out"),
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
+        *[F.col(f"id.also_{n}").alias(n) for n in carry],
     )
