@@ -13,13 +13,18 @@ return the columns of ``documents``.
 =====================  ==============================================================
 
 Rows: a NULL or empty text has statistics of zero and is judged as such; it is near to no other
-document and holds no benchmark item. Documents with a NULL id are judged by their text in
-``quality``, kept by ``near_duplicates`` and ``decontaminate``. Rows that share an id are one document
-there and stay or go together.
+document and holds no benchmark item. Every row is judged by itself, also where ids are NULL or
+repeated: of each group of near duplicates exactly one row stays, that of the least id (rows without
+an id last, of equal ids any one).
+
+``pii`` takes its key from the setting ``spark.coppice.pii.key``. Where that is unset, a new random key is
+drawn for the run and kept nowhere: equal values are linked within the run, and nobody can undo it.
 """
 
 from __future__ import annotations
 
+import secrets
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,22 +35,25 @@ from coppice.llm.decontaminate import decontaminate as without_leaks
 from coppice.llm.ngram_join import ngram_join
 from coppice.llm.pii import pseudonymise
 from coppice.llm.quality_gam import quality_scores
-from coppice.llm.queries import PII_KEY
 from coppice.session import written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier (operator 6) predicts as label 1."""
-    scores = quality_scores(docs, table(spark, sf_dir, "labels"))
-    rejected = scores.where("predicted = 0").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    """Documents that the classifier (operator 6) predicts as label 1. A score follows from the text."""
+    digest = F.md5(F.coalesce("text", F.lit("")))
+    scores = quality_scores(docs, table(spark, sf_dir, "labels"), carry={"__digest": digest})
+    rejected = scores.where("predicted = 0").select(F.col("__digest").alias("__rejected")).distinct()
+    return docs.join(rejected, digest == F.col("__rejected"), "left_anti")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of the n-gram join (operator 1): that with the least id."""
-    members = ngram_join(docs)
-    dropped = members.where("doc_id != component_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("__id"), "left_anti")
+    """One row of each component of the n-gram join (operator 1). Rows get a number of their own, stored
+    with them; the least key of a component, with the id before the number, is the row that stays."""
+    rows, _ = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
+    members = ngram_join(rows.select(key.alias("__key"), "text"), id_col="__key")
+    dropped = members.where("__key != component_id").select(F.col("__key.row").alias("__dropped"))
+    return rows.join(dropped, F.col("__row") == F.col("__dropped"), "left_anti").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +63,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with pseudonyms for personal data (operator 2)."""
-    out = pseudonymise(docs, PII_KEY).drop("pii")
+    key = spark.conf.get("spark.coppice.pii.key", None) or secrets.token_hex(32)
+    out = pseudonymise(docs, key).drop("pii")
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
