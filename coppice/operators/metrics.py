@@ -10,7 +10,10 @@ from ..functions.proba import LOG_EPS, argmax, row_log_loss
 
 # Log odds are cut into cells of this width between these bounds; what lies beyond shares the
 # outermost cells.
-_CELL, _BOUND = 1 / 1024, 32
+_CELL, _BOUND, _INF = 1 / 1024, 32, float("inf")
+# Most different scores of a cell, steps into which one with more is cut, and how many such cells are
+# broadcast (some 60 bytes each).
+CROWDED, _PARTS, _FEW_CELLS = 200_000, 1_000, 100_000
 
 
 def accuracy(df: DataFrame, *by: str, proba: str = "proba", label: str = "label") -> DataFrame:
@@ -36,50 +39,83 @@ def _bucket(score):
     return F.floor(F.greatest(F.lit(-_BOUND), F.least(F.lit(_BOUND), odds)) / _CELL).cast("int")
 
 
+def _place(score, lo, hi):
+    """Which of ``_PARTS`` steps from ``lo`` to ``hi`` a score is in; the two ends never share one."""
+    step = F.floor((score - lo) / (hi - lo) * _PARTS)
+    step = F.when(score >= hi, _PARTS - 1).otherwise(F.least(F.greatest(step, F.lit(0)), F.lit(_PARTS - 2)))
+    return F.lpad(step.cast("string"), len(str(_PARTS)), "0")
+
+
+def _opened(distinct: DataFrame, crowded: int) -> DataFrame:
+    """The different scores with a ``cell`` each, in the order of the scores and with at most ``crowded``
+    scores in one. Cells with more are cut between their own least and greatest score, again and
+    again; only their scores are looked at. Every cut parts at least those two."""
+    cells = distinct.withColumn("cell", F.lpad((_bucket(F.col("score")) + _BOUND * 1024).cast("string"), 6, "0"))
+    while True:
+        sizes = cells.groupBy("slot", "cell").agg(F.count("*").alias("m"), F.min("score").alias("lo"), F.max("score").alias("hi"))
+        full = sizes.where((F.col("m") > crowded) & (F.col("lo") > -_INF) & (F.col("lo") < F.col("hi")) & ~F.isnan("hi")).select("slot", "cell", "lo", "hi")
+        full = full.persist()
+        n = full.count()
+        if not n:
+            full.unpersist()
+            return cells
+        small = F.broadcast(full) if n <= _FEW_CELLS else full
+        deeper = F.concat("cell", F.lit("."), _place(F.col("score"), F.col("lo"), F.col("hi")))
+        cells = cells.join(small, ["slot", "cell"], "left").select(
+            "slot", "score", "n", "pos", F.when(F.col("lo").isNull(), F.col("cell")).otherwise(deeper).alias("cell")
+        )
+
+
 def auc_per_class(
     df: DataFrame,
     n_class: int,
     proba: str = "proba",
     label: str = "label",
     n_groups: int = 1,
+    crowded: int = CROWDED,
 ) -> DataFrame:
     """Exact one-vs-rest ROC AUC ``(group, class_id, positives, negatives, auc)``.
 
     It is the rank sum of the positives with average ranks for ties. Equal scores are
-    collapsed first. Ranks are prefix sums at two levels: over the 65,537 cells of a fixed
-    scale of log odds and over the different scores inside a cell, so no task orders a whole
-    class and nothing passes through the driver. The cells do not influence the value.
+    collapsed first. Ranks are prefix sums at two levels: over cells of scores and over the different
+    scores inside a cell. Cells begin as steps of a fixed scale of log odds; one that holds more than
+    ``crowded`` different scores is opened into finer ones until none does, so that no task orders
+    more than these, however scores are spread. The cells do not influence the value.
     ``proba`` may hold several models side by side (``n_groups`` times ``n_class`` entries).
-    A class without positives or without negatives gets NULL.
+    A class without positives or without negatives gets NULL. One row per model and class passes
+    through the driver.
     """
     rows = df.select(F.col(proba).alias("_proba"), F.col(label).alias("_label"))
     scores = rows.select("_label", F.posexplode("_proba").alias("slot", "score"))
-    distinct = scores.groupBy("slot", _bucket(F.col("score")).alias("bucket"), "score").agg(
+    distinct = scores.groupBy("slot", "score").agg(
         F.count("*").alias("n"),
         F.count_if(F.col("_label") == F.col("slot") % n_class).alias("pos"),
-    )
-    inside = W.partitionBy("slot", "bucket").orderBy("score").rowsBetween(W.unboundedPreceding, 0)
-    ranked = distinct.withColumn("_upto", F.sum("n").over(inside))
-    totals = distinct.groupBy("slot", "bucket").agg(F.sum("n").alias("_n"))
-    before = W.partitionBy("slot").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(
-        "slot", "bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-    )
-    ranked = ranked.join(offsets, ["slot", "bucket"])
-    # Twice the average rank, an integer: 2 * rows before + n + 1.
-    twice = (2 * (F.col("_offset") + F.col("_upto")) - F.col("n") + 1).cast("decimal(19,0)")
-    sums = ranked.groupBy("slot").agg(
-        F.sum(F.col("pos").cast("decimal(19,0)") * twice).cast("double").alias("_twice"),
-        F.sum("pos").alias("positives"),
-        F.sum(F.col("n") - F.col("pos")).alias("negatives"),
-    )
-    p, q = F.col("positives").cast("double"), F.col("negatives").cast("double")
-    auc = F.when((p > 0) & (q > 0), (F.col("_twice") - p * (p + 1)) / (2.0 * p * q))
-    return sums.select(
-        F.floor(F.col("slot") / n_class).cast("int").alias("group"),
-        (F.col("slot") % n_class).cast("int").alias("class_id"),
-        "positives", "negatives", auc.alias("auc"),
-    )
+    ).persist()
+    try:
+        cells = _opened(distinct, crowded)
+        inside = W.partitionBy("slot", "cell").orderBy("score").rowsBetween(W.unboundedPreceding, 0)
+        ranked = cells.withColumn("_upto", F.sum("n").over(inside))
+        totals = cells.groupBy("slot", "cell").agg(F.sum("n").alias("_n"))
+        before = W.partitionBy("slot").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
+        offsets = totals.select("slot", "cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+        ranked = ranked.join(offsets, ["slot", "cell"])
+        # Twice the average rank, an integer: 2 * rows before + n + 1.
+        twice = (2 * (F.col("_offset") + F.col("_upto")) - F.col("n") + 1).cast("decimal(19,0)")
+        sums = ranked.groupBy("slot").agg(
+            F.sum(F.col("pos").cast("decimal(19,0)") * twice).cast("double").alias("_twice"),
+            F.sum("pos").alias("positives"),
+            F.sum(F.col("n") - F.col("pos")).alias("negatives"),
+        )
+        p, q = F.col("positives").cast("double"), F.col("negatives").cast("double")
+        auc = F.when((p > 0) & (q > 0), (F.col("_twice") - p * (p + 1)) / (2.0 * p * q))
+        out = sums.select(
+            F.floor(F.col("slot") / n_class).cast("int").alias("group"),
+            (F.col("slot") % n_class).cast("int").alias("class_id"),
+            "positives", "negatives", auc.alias("auc"),
+        )
+        return df.sparkSession.createDataFrame(out.collect(), out.schema)
+    finally:
+        distinct.unpersist()
 
 
 def macro_auc(per_class: DataFrame, *by: str) -> DataFrame:

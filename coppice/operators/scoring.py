@@ -140,7 +140,7 @@ def margin_column(
         x = columns[0]
         if x.null_count or len(x.flatten()) != len(x) * n_features:
             raise ValueError(f"every row needs {n_features} features")
-        m = forest_margins(matrix(x, n_features), forest.value, n_class)
+        m = forest_margins(matrix(x, n_features), Forest(**forest.value), n_class)
         if len(columns) > 1:
             m += matrix(columns[1], n_class)
         if last:
@@ -184,7 +184,8 @@ def packed(nodes: DataFrame, n_class: int, n_features: int, max_nodes: int = MAX
     if not groups:
         raise ValueError("the model has no trees")
     sc = nodes.sparkSession.sparkContext
-    return Packed([sc.broadcast(pack(nodes, first, last)) for first, last in groups], n_class, n_features)
+    # Plain arrays: workers need not have this package to read them.
+    return Packed([sc.broadcast(vars(pack(nodes, first, last))) for first, last in groups], n_class, n_features)
 
 
 def score_packed(df: DataFrame, model: Packed) -> DataFrame:

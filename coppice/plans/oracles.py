@@ -165,7 +165,8 @@ _ROUNDED = "round(p0, 6) AS p0, round(p1, 6) AS p1, round(p2, 6) AS p2"
 # Probabilities of ten classes, long form.
 EMB = """
 WITH m AS (
-  SELECT vec_id, label, unnest(range(0, 10)) AS class_id, CAST(unnest(embedding[1:10]) AS DOUBLE) AS m FROM embeddings),
+  SELECT vec_id, label, class_id, list_sum(list_transform(range(class_id, 64, 10), lambda i: CAST(embedding[i + 1] AS DOUBLE))) AS m
+  FROM (SELECT *, unnest(range(0, 10)) AS class_id FROM embeddings)),
 p AS (
   SELECT vec_id, label, CAST(class_id AS INT) AS class_id,
          exp(m - max(m) OVER v) / sum(exp(m - max_m)) OVER v AS p
@@ -318,6 +319,11 @@ ORACLES = {
     "auc_ties": f"""
         WITH f AS ({FIXED}), l AS (SELECT k AS class_id, [p0, p1, p2][k + 1] AS p, CAST(label = k AS INT) AS hit FROM f, (SELECT unnest([0, 1, 2]) AS k))
         SELECT class_id, positives, negatives, round(auc, 9) AS auc FROM ({auc_sql("l")})""",
+    "auc_crowded": f"""
+        WITH s AS (SELECT CAST(l_quantity + l_extendedprice / 4000 > 30 AS INT) AS label, CASE WHEN l_linenumber + l_suppkey % 50 = 1
+            THEN l_discount ELSE CAST(0.3 AS DOUBLE) + (l_extendedprice * 7 + l_partkey) * CAST(1e-13 AS DOUBLE) END AS score FROM lineitem),
+        l AS (SELECT k AS class_id, CASE k WHEN 0 THEN 1 - score ELSE score END AS p, CAST(label = k AS INT) AS hit FROM s, (SELECT unnest([0, 1]) AS k))
+        SELECT class_id, positives, negatives, round(auc, 9) AS auc FROM ({auc_sql("l")})""",
     "auc_ovr_macro": EMB + f"SELECT round(avg(auc), 9) AS auc_ovr_macro FROM ({auc_sql('(SELECT class_id, p, CAST(label = class_id AS INT) AS hit FROM p)')})",
     "curve_gap": """
         SELECT CAST(l_suppkey AS VARCHAR) AS run_id, l_linenumber AS step, max(l_extendedprice) FILTER (l_linestatus = 'O') AS train_value,

@@ -6,10 +6,11 @@ are derived from those tables, row by row, so that every query grows with its in
 
 from __future__ import annotations
 
+from functools import reduce
 from types import SimpleNamespace
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import row_hash
@@ -58,9 +59,10 @@ def wide(column: str = "features", prefix: str = "f", n: int = N_FEATURES, kind:
 
 
 def embedding_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """The first ten vector entries taken as margins of ten classes."""
+    """Every tenth vector entry summed up as the margin of one of ten classes."""
     e = table(spark, sf, "embeddings")
-    margin = F.slice("embedding", 1, 10).cast("array<double>")
+    entry = lambda i: F.get("embedding", F.lit(i)).cast("double")
+    margin = F.array(*[reduce(Column.__add__, [entry(i) for i in range(k, 64, 10)]) for k in range(10)])
     return e.select("vec_id", "label", softmax(margin).alias("proba"))
 
 
@@ -532,8 +534,16 @@ def q_auc_per_class(spark, sf):
 
 def q_auc_ties(spark, sf):
     """A model of few leaves: hardly any distinct scores, ranked in buckets."""
-    scored = fixed_scores(spark, sf).select("label", "proba").persist()
-    return _auc(metrics.auc_per_class(scored, N_CLASS))
+    return _auc(metrics.auc_per_class(fixed_scores(spark, sf), N_CLASS))
+
+
+def q_auc_crowded(spark, sf):
+    """Nearly all scores within a millionth of each other, which is one cell of the scale of log odds."""
+    li = table(spark, sf, "lineitem")
+    close = 0.3 + (F.col("l_extendedprice") * 7 + F.col("l_partkey")) * 1e-13
+    score = F.when(F.col("l_linenumber") + F.col("l_suppkey") % 50 == 1, F.col("l_discount")).otherwise(close)
+    scored = li.select((F.col("l_quantity") + F.col("l_extendedprice") / 4000 > 30).cast("int").alias("label"), F.array(1 - score, score).alias("proba"))
+    return _auc(metrics.auc_per_class(scored, 2, crowded=500))
 
 
 def q_auc_ovr_macro(spark, sf):

@@ -96,3 +96,34 @@ def test_curve_gap_and_throughput(spark):
     df = spark.createDataFrame(rows, "run_id STRING, key STRING, step INT, value DOUBLE")
     assert [(r.step, r.gap) for r in curve_gap(df).collect()] == [(0, 0.25)]
     assert throughput(10, 2.0) == 5.0 and math.isnan(throughput(10, 0.0))
+
+
+@pytest.mark.parametrize("crowded", [1, 7, 10**6])
+def test_auc_does_not_depend_on_cells(spark, crowded):
+    rng = np.random.default_rng(4)
+    n = 3000
+    score = 0.3 + rng.integers(0, 800, n) * 1e-13  # one cell of the scale
+    score[::50] = rng.random(n // 50)
+    score[::70] = 1e-30 * rng.integers(1, 5, len(score[::70]))
+    label = (rng.random(n) + score > 0.8).astype(int)
+    df = spark.createDataFrame([(int(y), [1 - float(s), float(s)]) for y, s in zip(label, score)], "label INT, proba ARRAY<DOUBLE>")
+    got = {r.class_id: (r.positives, r.negatives, r.auc) for r in auc_per_class(df, 2, crowded=crowded).collect()}
+    for k, s in ((0, 1 - score), (1, score)):
+        hit = label == k
+        above = (s[hit][:, None] > s[~hit][None, :]).sum() + 0.5 * (s[hit][:, None] == s[~hit][None, :]).sum()
+        assert got[k] == (hit.sum(), (~hit).sum(), pytest.approx(above / hit.sum() / (~hit).sum(), abs=1e-12))
+
+
+def test_no_cell_stays_crowded(spark):
+    from coppice.operators.metrics import _opened
+
+    values = [0.5 + i * 1e-15 for i in range(1000)] + [float(i) for i in range(-50, 50)] + [float("nan"), float("inf")]
+    rows = spark.createDataFrame([(0, v, 1, 0) for v in set(values)], "slot INT, score DOUBLE, n BIGINT, pos BIGINT")
+    cells = _opened(rows, 20).collect()
+    by = {}
+    for r in cells:
+        by.setdefault(r.cell, []).append(r.score)
+    # The largest finite cell may hold an infinite score or NaN, which no step can part.
+    assert all(len(v) <= 20 for v in by.values() if all(math.isfinite(x) for x in v))
+    order = [x for c in sorted(by) for x in sorted(v for v in by[c] if math.isfinite(v))]
+    assert order == sorted(order)
