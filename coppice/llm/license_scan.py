@@ -27,7 +27,7 @@ from .license_texts import PHRASES, TEMPLATES
 _INSIDE = byte_class(bytes([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]))
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-_MARKUP = re.compile(r"\[\[|\]\]|\{\{(\w+):(\d+)\}\}|[^\W_]+")
+_MARKUP = re.compile(r"\[\[|\]\]|<<|>>|\||!!|\{\{(\w+):(\d+)\}\}|[^\W_]+")
 
 
 @dataclass
@@ -40,6 +40,8 @@ class Automaton:
     any_word: list[int | None] = field(default_factory=lambda: [None])
     free: list[list[int]] = field(default_factory=lambda: [[]])
     required: list[bytes] = field(default_factory=list)
+    # Words that may not follow an accepted place.
+    barred: set[bytes] = field(default_factory=set)
 
     @property
     def accept(self) -> int:
@@ -75,14 +77,31 @@ class Automaton:
 
 def compile_template(label: str, markup: str) -> Automaton:
     """The automaton of one template. A template has to begin with a word, optional or not."""
-    out, opened = Automaton(label), []
+    out, opened, after = Automaton(label), [], False
     for found in _MARKUP.finditer(markup):
         piece, now = found.group(), out.accept
-        if piece == "[[":
-            opened.append(now)
+        if after:
+            out.barred.add(piece.lower().encode())
+        elif piece == "!!":
+            after = True
+        elif piece == "[[":
+            opened.append((now, None))
         elif piece == "]]":
-            out.free[opened.pop()].append(out.add())
+            start, ends = _closed(opened, label, ends=False)
+            out.free[start].append(out.add())
             out.free[now].append(out.accept)
+        elif piece == "<<":
+            opened.append((now, []))
+        elif piece in ("|", ">>"):
+            start, ends = _closed(opened, label, ends=True)
+            ends.append(now)
+            nxt = out.add()
+            if piece == "|":
+                out.free[start].append(nxt)
+                opened.append((start, ends))
+            else:
+                for end in ends:
+                    out.free[end].append(nxt)
         elif found.group(1):
             entry = now
             skips = [entry]
@@ -104,6 +123,13 @@ def compile_template(label: str, markup: str) -> Automaton:
     return out
 
 
+def _closed(opened: list, label: str, ends: bool) -> tuple[int, list[int] | None]:
+    """The innermost open region, which has to be of the kind that is closed."""
+    if not opened or (opened[-1][1] is not None) != ends:
+        raise ValueError(f"template {label} closes a region that is not open")
+    return opened.pop()
+
+
 class Scanner:
     """All phrases and templates together."""
 
@@ -134,7 +160,7 @@ class Scanner:
                     states = a.step(states, tokens[j])
                     if not states:
                         break
-                    if a.accept in states:
+                    if a.accept in states and not (j + 1 < len(tokens) and tokens[j + 1] in a.barred):
                         end = j
                 if end is not None:
                     out.append((k, i, end))

@@ -1,7 +1,10 @@
 """License wording as template markup. The public texts of the licenses' notices.
 
-``[[ ... ]]`` is an optional region (it may nest), ``{{name:n}}`` a replaceable region of up to
-``n`` words. Everything else is mandatory, word for word; case and punctuation do not count.
+``[[ ... ]]`` is an optional region, ``<<one|another>>`` has to be one of its branches, ``{{name:n}}`` is a
+replaceable region of up to ``n`` words; regions may nest. ``!!`` and words at the end of a template bar
+these words from following it. Everything else is mandatory, word for word; case and punctuation do
+not count. Short licenses stand here as whole texts, long ones by the whole notice that their authors
+ask to put into files, and the GNU licenses also by name and version.
 """
 
 # Phrases whose places are counted.
@@ -32,33 +35,88 @@ TEMPLATES = {
         FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS
         OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING
         OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "0bsd": """
+        Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+        hereby granted. THE SOFTWARE IS PROVIDED "AS IS" AND {{holder:12}} DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE
+        INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL {{holder:12}} BE LIABLE
+        FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS
+        OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING
+        OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
     "bsd-2-clause": """
         Redistribution and use in source and binary forms, with or without modification, are permitted provided
-        that the following conditions are met: [[1]] Redistributions of source code must retain the above copyright
-        notice, this list of conditions and the following disclaimer. [[2]] Redistributions in binary form must
-        reproduce the above copyright notice, this list of conditions and the following disclaimer in the
-        documentation and/or other materials provided with the distribution.""",
+        that the following conditions are met: [[<<1|a>>]] Redistributions of source code must retain the above
+        copyright notice, this list of conditions and the following disclaimer. [[<<2|b>>]] Redistributions in
+        binary form must reproduce the above copyright notice, this list of conditions and the following
+        disclaimer in the documentation and/or other materials provided with the distribution.
+        THIS SOFTWARE IS PROVIDED BY {{holder:12}} "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING,
+        BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+        DISCLAIMED. IN NO EVENT SHALL {{holder:12}} BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL,
+        EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+        SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+        LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN
+        ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
     "bsd-3-clause": """
-        Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
-        following disclaimer in the documentation and/or other materials provided with the distribution. [[3]]
-        Neither the name of {{holder:15}} nor the names of its contributors may be used to endorse or promote
-        products derived from this software without specific prior written permission.""",
+        Redistribution and use in source and binary forms, with or without modification, are permitted provided
+        that the following conditions are met: [[<<1|a>>]] Redistributions of source code must retain the above
+        copyright notice, this list of conditions and the following disclaimer. [[<<2|b>>]] Redistributions in
+        binary form must reproduce the above copyright notice, this list of conditions and the following
+        disclaimer in the documentation and/or other materials provided with the distribution.
+        [[<<3|c>>]] Neither the name of {{holder:15}} nor the names of <<its|any>> contributors may be used to endorse or
+        promote products derived from this software without specific prior written permission.
+        THIS SOFTWARE IS PROVIDED BY {{holder:12}} "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING,
+        BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+        DISCLAIMED. IN NO EVENT SHALL {{holder:12}} BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL,
+        EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+        SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+        LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN
+        ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "zlib": """
+        This software is provided 'as-is', without any express or implied warranty. In no event will {{holder:8}} be
+        held liable for any damages arising from the use of this software. Permission is granted to anyone to use
+        this software for any purpose, including commercial applications, and to alter it and redistribute it
+        freely, subject to the following restrictions: [[1]] The origin of this software must not be
+        misrepresented; you must not claim that you wrote the original software. If you use this software in a
+        product, an acknowledgment in the product documentation would be appreciated but is not required. [[2]]
+        Altered source versions must be plainly marked as such, and must not be misrepresented as being the
+        original software. [[3]] This notice may not be removed or altered from any source distribution.""",
+    "bsl-1": """
+        Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software
+        and accompanying documentation covered by this license (the "Software") to use, reproduce, display,
+        distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to
+        permit third-parties to whom the Software is furnished to do so, all subject to the following: The
+        copyright notices in the Software and this entire statement, including the above license grant, this
+        restriction and the following disclaimer, must be included in all copies of the Software, in whole or in
+        part, and all derivative works of the Software, unless such copies or derivative works are solely in the
+        form of machine-executable object code generated by a source language processor. THE SOFTWARE IS PROVIDED
+        "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+        MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE
+        COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY,
+        WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE
+        OR OTHER DEALINGS IN THE SOFTWARE.""",
     "apache-2": """
-        Licensed under the Apache License, Version 2[[.0]] [[(the "License"); you may not use this file except in
+        Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
         compliance with the License. You may obtain a copy of the License at {{address:8}} Unless required by
         applicable law or agreed to in writing, software distributed under the License is distributed on an "AS
-        IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.]]""",
+        IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the
+        specific language governing permissions and limitations under the License.""",
     "gpl-2": """
-        GNU General Public License [[as published by the Free Software Foundation]] [[either]] version 2""",
+        GNU General Public License [[as published by the Free Software Foundation]] [[either]] version 2
+        [[of the License, or (at your option) any later version]] !!1""",
     "gpl-3": """
-        GNU General Public License [[as published by the Free Software Foundation]] [[either]] version 3""",
-    "lgpl": """
-        GNU [[Lesser]] [[Library]] General Public License [[as published by the Free Software Foundation]] [[either]]
-        version 2.1""",
+        GNU General Public License [[as published by the Free Software Foundation]] [[either]] version 3
+        [[of the License, or (at your option) any later version]]""",
+    "lgpl-2.1": """
+        GNU <<Lesser|Library>> General Public License [[as published by the Free Software Foundation]] [[either]]
+        version 2.1 [[of the License, or (at your option) any later version]]""",
+    "lgpl-3": """
+        GNU Lesser General Public License [[as published by the Free Software Foundation]] [[either]] version 3
+        [[of the License, or (at your option) any later version]]""",
     "agpl-3": """
-        GNU Affero General Public License [[as published by the Free Software Foundation]] [[either]] version 3""",
+        GNU Affero General Public License [[as published by the Free Software Foundation]] [[either]] version 3
+        [[of the License, or (at your option) any later version]]""",
     "mpl-2": """
-        subject to the terms of the Mozilla Public License, [[v]] [[version]] 2.0""",
+        This Source Code Form is subject to the terms of the Mozilla Public License, <<v|version>> 2.0. If a copy of the
+        MPL was not distributed with this file, You can obtain one at {{address:8}}""",
     "cc-by": """
         [[is]] licensed under [[a]] [[the]] Creative Commons Attribution {{version:2}} [[International]] License""",
     "cc-by-sa": """
@@ -67,5 +125,13 @@ TEMPLATES = {
     "unlicense": """
         This is free and unencumbered software released into the public domain. Anyone is free to copy, modify,
         publish, use, compile, sell, or distribute this software, either in source code form or as a compiled
-        binary, for any purpose, commercial or non-commercial, and by any means.""",
+        binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize
+        copyright laws, the author or authors of this software dedicate any and all copyright interest in the
+        software to the public domain. We make this dedication for the benefit of the public at large and to the
+        detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in
+        perpetuity of all present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED
+        "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+        MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE
+        LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+        ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
 }

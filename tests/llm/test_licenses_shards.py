@@ -56,6 +56,54 @@ def test_templates():
     assert labels("a clean text about a public park and a fishing license") == set()
 
 
+def _written_out(markup):
+    """A text with every optional region, the first of alternatives, and some words for the replaceable ones."""
+    markup = re.sub(r"!!.*", "", markup, flags=re.S)
+    markup = re.sub(r"<<([^|<>]*)\|[^<>]*>>", r"\1", markup)
+    return re.sub(r"\{\{(\w+):\d+\}\}", r"Some \1", markup).replace("[[", "").replace("]]", "")
+
+
+def _mandatory(markup):
+    """Number of each word of the written text that no region holds."""
+    plain = re.sub(r"!!.*", "", markup, flags=re.S)
+    while re.search(r"\[\[[^\[\]]*\]\]", plain):
+        plain = re.sub(r"\[\[[^\[\]]*\]\]", " ", plain)
+    plain = re.sub(r"<<[^<>]*>>|\{\{.*?\}\}", " ", plain)
+    return set(WORD.findall(lowered(plain)))
+
+
+@pytest.mark.parametrize("name", sorted(TEMPLATES))
+def test_whole_texts_have_their_own_label(name):
+    text = _written_out(TEMPLATES[name])
+    assert labels("Some words before. " + text + " And words behind.") == {name} | ({"apache-2"} if name == "apache-2" else set())
+    fixed = sorted(_mandatory(TEMPLATES[name]))
+    for word in random.Random(3).sample(fixed, min(8, len(fixed))):
+        changed = re.sub(rf"(?i)(?<![a-z0-9]){re.escape(word)}(?![a-z0-9])", "changed", text)
+        assert name not in labels(changed) or name in PHRASES, word
+
+
+def test_versions_are_told_apart():
+    assert labels("GNU General Public License version 2.1") == set()
+    assert labels("GNU General Public License, version 2.0") == {"gpl-2"}
+    assert labels("GNU Lesser General Public License version 3") == {"lgpl-3"}
+    assert labels("the GNU Library General Public License, version 2.1 of it") == {"lgpl-2.1"}
+    bsd3 = _written_out(TEMPLATES["bsd-3-clause"])
+    assert labels(bsd3) == {"bsd-3-clause"} and labels(bsd3.replace("Neither", "Either")) == set()
+    assert labels(_written_out(TEMPLATES["bsd-2-clause"])) == {"bsd-2-clause"}
+
+
+def test_alternatives_and_barred_words():
+    a = compile_template("t", "start <<one|two [[or so]]|{{x:2}} three>> end !!not")
+    accepts = lambda s: any(i == 0 for _, i, e in _scan(a, s))
+    for s in ("start one end", "start two end", "start two or so end", "start a b three end", "start three end now"):
+        assert accepts(s), s
+    for s in ("start end", "start one two end", "start two or end", "start one end not", "start a b c three end"):
+        assert not accepts(s), s
+    for bad in ("a <<b", "a <<b]]", "a b>>", "a [[b|c]]", "<<a|b>>"):
+        with pytest.raises(ValueError):
+            compile_template("t", bad)
+
+
 def test_automaton_regions():
     a = compile_template("t", "start [[maybe [[deep]] so]] {{x:2}} end")
     accepts = lambda s: any(e == len(s.split()) - 1 and i == 0 for _, i, e in _scan(a, s))
