@@ -127,6 +127,8 @@ def compare_trials(runs: DataFrame, metrics: DataFrame, *keys: str) -> DataFrame
         ]
     )
     best = W.partitionBy("parent_run_id").orderBy(F.col(keys[0]).desc_nulls_last(), "run_name", "run_id")
-    return child_runs(runs).join(values, "run_id", "left").select(
+    # A run that was logged again is one run.
+    children = child_runs(runs).dropDuplicates(["parent_run_id", "run_id"])
+    return children.join(values, "run_id", "left").select(
         "parent_run_id", "run_id", "run_name", *keys, F.row_number().over(best).alias("rank")
     )

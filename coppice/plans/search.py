@@ -182,16 +182,18 @@ def _search_shards(
     try:
         for start in range(0, len(trials), batch_size):
             batch = trials[start : start + batch_size]
-            params, rows = dict(batch), []
+            params = dict(batch)
             for r in run_batch(prepared, batch, search_id):
                 trial, model = r["trial"], r["model"]
-                rows.append((search_id, trial, shard_of[trial], r["status"], r["auc"], r["accuracy"],
-                             r["train_seconds"], model.model_id if model else None, r["error"]))
                 if model:
                     store.save_model(model.model_id, model.nodes, model.edges)
                     metrics = {k: r[k] for k in ("auc", "accuracy", "train_seconds")}
-                    store.log_run(f"trial-{trial:02d}", asdict(params[trial]), metrics, model.curves, parent)
-            store.append("trial_results", rows)
+                    # The run has the model's id: logged again after a crash, it is the same run.
+                    store.log_run(f"trial-{trial:02d}", asdict(params[trial]), metrics, model.curves, parent, run_id=model.model_id)
+                store.append("trial_results", [(
+                    search_id, trial, shard_of[trial], r["status"], r["auc"], r["accuracy"], r["train_seconds"],
+                    model.model_id if model else None, r["error"],
+                )])
     finally:
         if prepared:
             prepared.release()

@@ -9,6 +9,8 @@ pass of the next round computes them. Losses are kept per block and read now and
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
 import uuid
 from dataclasses import asdict, dataclass, field
@@ -20,6 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from ..functions.hashing import round_coefficients, row_hash, sample_cutoff
 from ..operators.binning import edge_lists, edge_ranks, edge_table
@@ -357,9 +360,14 @@ def boost(
     trials: list[TrainParams],
     model_ids: list[str],
     checkpoint_every: int = 10,
+    journal: str | None = None,
 ) -> tuple[list[Model], DataFrame]:
     """Train all trials at once. Returns the models and the blocks with their final margins
-    (``n_class`` entries per trial), persisted."""
+    (``n_class`` entries per trial), persisted.
+
+    ``journal`` names a shared folder. What every ``checkpoint_every`` rounds have made is committed
+    there, and a later call with the same rows, trials and model ids goes on behind the last commit,
+    with the same result. The folder stays until ``remove`` deletes it."""
     for t in trials:
         t.validate()
     spark = prepared.edges.sparkSession
@@ -368,15 +376,23 @@ def boost(
     started = time.time()
     state = without_margin(prepared.blocks)
     nodes, parts, curves = [], [], []
-    before, unread, last_path = None, 0, None
+    before, unread, last_path, done = None, 0, None, 0
     rounds = max(t.n_estimators for t in trials)
+    mark = _fingerprint(prepared, trials, model_ids)
+    if journal and (entry := _last_commit(spark, journal)):
+        if entry.fingerprint != mark:
+            raise ValueError(f"{journal} holds another training")
+        done, parts, last_path = entry["round"], list(entry.nodes), entry.margins
+        curves = [tuple(c) for c in json.loads(entry.curves)]
+        saved = prepared.blocks.sparkSession.read.schema(without_margin(prepared.blocks).drop("loss").schema).parquet(last_path)
+        state = saved.withColumn("loss", F.array().cast("array<double>")).persist(StorageLevel.MEMORY_AND_DISK)
     # The jobs of a level are many, small, and have their partitions given: they need no second plan between
     # their stages. The blocks' session is theirs alone.
     own = prepared.blocks.sparkSession.conf
     adaptive = own.get(ADAPTIVE)
     own.set(ADAPTIVE, "false")
     try:
-        for round_no in range(rounds):
+        for round_no in range(done, rounds):
             current = _Round(prepared, trials, round_no)
             current.grow(state.where("is_train"), scale)
             if before is not None:
@@ -399,12 +415,19 @@ def boost(
                 before.unpersist()
                 before = None
             if not last and (round_no + 1) % checkpoint_every == 0:
-                saved, path = written(state.drop("loss"), "margins")
+                saved, path = written(state.drop("loss"), "margins", journal)
                 state.unpersist()
                 state = saved.withColumn("loss", F.array().cast("array<double>"))
-                prepared.paths.append(path)
+                if journal:
+                    if nodes:
+                        parts.append(_write_nodes(spark, nodes, journal))
+                        nodes = []
+                    _commit(spark, journal, (round_no + 1, mark, path, parts, json.dumps(curves)))
+                else:
+                    prepared.paths.append(path)
                 if last_path:
-                    prepared.paths.remove(last_path)
+                    if not journal:
+                        prepared.paths.remove(last_path)
                     remove(spark, last_path)
                 last_path = path
                 state = state.persist(StorageLevel.MEMORY_AND_DISK)
@@ -428,22 +451,51 @@ def boost(
     return models, state
 
 
-def _write_nodes(spark: SparkSession, nodes: list[tuple]) -> str:
-    path = new_path(spark, "nodes")
+def _write_nodes(spark: SparkSession, nodes: list[tuple], folder: str | None = None) -> str:
+    path = new_path(spark, "nodes", folder)
     spark.createDataFrame(nodes, NODES).write.parquet(path)
     return path
 
 
+_ENTRY = "round INT, fingerprint STRING, margins STRING, nodes ARRAY<STRING>, curves STRING"
+
+
+def _fingerprint(prepared: Prepared, trials: list[TrainParams], model_ids: list[str]) -> str:
+    """Digest of all that decides a training's result, but for the rows themselves."""
+    facts = [[asdict(t) for t in trials], model_ids, prepared.cuts, prepared.n_class, prepared.n_train]
+    return hashlib.md5(json.dumps(facts).encode()).hexdigest()
+
+
+def _commit(spark: SparkSession, journal: str, entry: tuple) -> None:
+    """One more entry. It counts once its folder has been written to the end."""
+    spark.createDataFrame([entry], _ENTRY).coalesce(1).write.mode("overwrite").parquet(f"{journal}/entries/{entry[0]:08d}")
+
+
+def _last_commit(spark: SparkSession, journal: str):
+    """The entry of the latest round, or None. A folder that was not finished holds no rows yet."""
+    try:
+        entries = spark.read.schema(_ENTRY).option("recursiveFileLookup", True).parquet(f"{journal}/entries")
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        return None
+    return entries.orderBy(F.desc("round")).first()
+
+
 def train(
     df: DataFrame,
     params: TrainParams = TrainParams(),
     model_id: str | None = None,
+    journal: str | None = None,
 ) -> Model:
-    """Train one model on ``row_id, features, label, split``."""
+    """Train one model on ``row_id, features, label, split``. With a ``journal`` (see ``boost``) a training
+    whose driver was lost goes on where it was; its model needs an id then."""
     params.validate()
+    if journal and not model_id:
+        raise ValueError("a training with a journal needs a model id")
     prepared = prepare(df, params.max_bins)
     try:
-        (model,), state = boost(prepared, [params], [model_id or uuid.uuid4().hex])
+        (model,), state = boost(prepared, [params], [model_id or uuid.uuid4().hex], journal=journal)
         state.unpersist()
     finally:
         prepared.release()

@@ -34,16 +34,16 @@ def own_session(spark: SparkSession) -> SparkSession:
     return own
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    """Unused path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+def new_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """Unused path below the shared folder, or below another one."""
+    return f"{folder or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """The table written below the shared folder and read back from there, with its path.
+def written(df: DataFrame, name: str, folder: str | None = None) -> tuple[DataFrame, str]:
+    """The table written below the shared (or another) folder and read back from there, with its path.
     What follows starts from these files: nothing before them is computed again when
     executors are lost, and the query plan is short again."""
-    path = new_path(df.sparkSession, name)
+    path = new_path(df.sparkSession, name, folder)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import threading
 import uuid
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,8 +50,13 @@ def check_features(signature_json: str, schema: T.StructType, model: str = "the
         raise TypeError(f"{model} takes features as {wanted}, not as {got}")
 
 
+# Claims of threads of one driver; those of different drivers are kept apart by the file system.
+_CLAIMS = threading.Lock()
+
+
 class Store:
-    """Tables below one shared folder. One writer per model name is assumed."""
+    """Tables below one shared folder. Every addition is a folder of its own, so that several writers do
+    not meet; of version numbers each is given out once (``claim_version``)."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -65,12 +72,13 @@ class Store:
         else:
             df = self.spark.createDataFrame(rows, schema).coalesce(1)
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
-        df.write.mode("append").parquet(self.path(table))
+        df.write.parquet(f"{self.path(table)}/{uuid.uuid4().hex}")
 
     def read(self, table: str) -> DataFrame:
         """The whole table; empty before its first row."""
+        reader = self.spark.read.schema(SCHEMAS[table]).option("recursiveFileLookup", True)
         try:
-            return self.spark.read.schema(SCHEMAS[table]).parquet(self.path(table))
+            return reader.parquet(self.path(table))
         except AnalysisException as exc:
             if "PATH_NOT_FOUND" not in str(exc):
                 raise
@@ -154,6 +162,20 @@ class Store:
         nodes = self.spark.read.schema(T.StructType(fields)).parquet(self._folder("model_nodes", model_id))
         return nodes.select(F.lit(model_id).alias("model_id"), "*")
 
+    def claim_version(self, name: str) -> int:
+        """The next version number of a model, for this caller alone: whoever creates the number's marker
+        file has it, everyone else tries the next one."""
+        last = latest_version(self.read("model_versions"), name).first()
+        version = (last.version if last else 0) + 1
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        folder = f"{self.root}/version_claims/{quote(name, safe='')}"
+        while True:
+            marker = hadoop.Path(f"{folder}/{version:08d}")
+            with _CLAIMS:
+                if marker.getFileSystem(self.spark._jsc.hadoopConfiguration()).createNewFile(marker):
+                    return version
+            version += 1
+
     def register(
         self,
         name: str,
@@ -166,12 +188,11 @@ class Store:
         max_samples: int = 0,
         sample_cut: str | None = None,
     ) -> int:
-        """New version of ``name``. Keeps the types of inputs and outputs, a few real rows with
+        """New version of ``name``; a number is lost where registering fails half-way. Keeps the types of inputs and outputs, a few real rows with
         their predictions, and the split with its cuts, so that scoring holds out the same rows
         also when the table has grown since."""
         self.save_model(model.model_id, model.nodes, model.edges)
-        last = latest_version(self.read("model_versions"), name).first()
-        version = (last.version if last else 0) + 1
+        version = self.claim_version(name)
         if example is None:
             example = self.spark.createDataFrame([], "features ARRAY<FLOAT>")
         scored = score(

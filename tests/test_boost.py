@@ -143,6 +143,35 @@ def test_trials_that_share_passes_equal_trials_alone(spark):
         assert shared.curves.count() == params.n_estimators
 
 
+def test_a_lost_training_goes_on(spark, monkeypatch, tmp_path):
+    data, p = make(seed=11), replace(PARAMS, n_estimators=8, max_depth=2, subsample=0.8)
+    journal = str(tmp_path / "journal")
+    (whole,), rows = boost(prepare(frame(spark, data), p.max_bins), [p], ["m"], checkpoint_every=3)
+    rows.unpersist()
+    grow, rounds = training._Round.grow, []
+
+    def until_seven(self, *args):
+        rounds.append(self.round_no)
+        if self.round_no == 7 and len(rounds) == 8:
+            raise RuntimeError("driver lost")
+        return grow(self, *args)
+
+    monkeypatch.setattr(training._Round, "grow", until_seven)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        train_with = prepare(frame(spark, data, 5), p.max_bins)
+        boost(train_with, [p], ["m"], checkpoint_every=3, journal=journal)
+    train_with.release()
+    again = prepare(frame(spark, data, 2), p.max_bins)
+    (two,), rows = boost(again, [p], ["m"], checkpoint_every=3, journal=journal)
+    rows.unpersist()
+    assert rounds == [*range(8), 6, 7]
+    assert node_rows(whole) == node_rows(two)
+    assert [tuple(r) for r in whole.curves.orderBy("step").select("step").collect()] == [(i,) for i in range(8)]
+    assert sorted(r.step for r in two.curves.collect()) == list(range(8))
+    with pytest.raises(ValueError, match="another training"):
+        boost(again, [replace(p, seed=1)], ["m"], journal=journal)
+
+
 @pytest.mark.parametrize("looks", [0, 10**12])
 def test_levels_in_several_passes(spark, monkeypatch, looks):
     monkeypatch.setattr(training, "SUBTRACT_LOOKS", looks)

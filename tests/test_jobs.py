@@ -149,6 +149,36 @@ def test_all_trials_fail(store, rows):
         run_search(store, rows, "a.b.s", total=2, workers=1, base=BASE, space={"max_depth": ("int", [0])})
 
 
+def test_version_numbers_under_several_writers(spark, store):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda i: store.claim_version("a/b.m"), range(20)))
+        models = list(pool.map(lambda i: store.register("a.b.n", fixed(spark, f"m{i}")), range(4)))
+    assert sorted(got) == list(range(1, 21)) and sorted(models) == [1, 2, 3, 4]
+    assert sorted(r.version for r in store.read("model_versions").collect()) == [1, 2, 3, 4]
+
+
+def test_a_search_that_was_lost_logs_each_trial_once(spark, store, rows, monkeypatch):
+    append, failed = store.append, []
+
+    def lost(table, new):
+        if table == "trial_results" and not failed:
+            failed.append(1)
+            raise RuntimeError("driver lost")
+        append(table, new)
+
+    monkeypatch.setattr(store, "append", lost)
+    go = lambda: run_search(store, rows, "a.b.s", total=2, workers=1, base=TrainParams(n_estimators=1, max_depth=2), search_id="x")
+    with pytest.raises(RuntimeError, match="driver lost"):
+        go()
+    go()
+    shown = compare_trials(store.read("runs"), store.read("run_metrics"), "auc").collect()
+    assert len({r.run_id for r in shown}) == 2 and len(shown) - len({(r.parent_run_id, r.run_id) for r in shown}) == 0
+    results = store.read("trial_results").where("search_id = 'x'").collect()
+    assert sorted(r.trial for r in results) == [0, 1]
+
+
 def test_searches_do_not_mix(spark, store):
     path = store.path("shard_results")
     for search, auc, version in (("s1", 0.5, 1), ("s2", 0.9, 2), ("s1", 0.5, 3)):
