@@ -4,7 +4,7 @@ A text becomes a sequence of words in lower case in which numbers, names (capita
 a sentence) and units behind numbers are typed slots. Windows of ``width`` words, with each slot
 reduced to its type, are hashed and joined between benchmark and documents, and the canonical words
 compared. Windows of few words besides slots must be equal with their slots' values. Windows that lie on one diagonal (same shift between document and item) must agree on
-their slots: a benchmark value has to stand for one document value and the other way round, so that
+their slots: a benchmark value has to stand for one document value (two may become the same), so that
 re-parameterised questions are found and chance templates are not. Only the windows with a slot that
 contradicts this are left out; those without slots or with the benchmark's own values always count.
 An item has leaked into a document when the windows that are left cover a share of the item's windows.
@@ -122,11 +122,10 @@ def _hashed_shape(width: int) -> Column:
 
 def _agreeing() -> Column:
     """Places in the item of a diagonal's ``windows`` whose slots agree with its ``pairs``. A pair of
-    equal values always agrees; another one if neither value is in a second pair."""
-    once = lambda p, name: F.size(F.filter("pairs", lambda q: q[name] == p[name])) == 1
-    agreeing = F.filter("pairs", lambda p: (p["theirs"] == p["ours"]) | (once(p, "theirs") & once(p, "ours")))
-    side = lambda name: F.size(F.array_distinct(F.transform("pairs", lambda p: p[name])))
-    all_agree = (side("theirs") == F.size("pairs")) & (side("ours") == F.size("pairs"))
+    equal values always agrees; another one if its benchmark value is in no second pair."""
+    once = lambda p: F.size(F.filter("pairs", lambda q: q["theirs"] == p["theirs"])) == 1
+    agreeing = F.filter("pairs", lambda p: (p["theirs"] == p["ours"]) | once(p))
+    all_agree = F.size(F.array_distinct(F.transform("pairs", lambda p: p["theirs"]))) == F.size("pairs")
     some = F.filter("windows", lambda w: F.size(F.array_except(w["slots"], agreeing)) == 0)
     return F.transform(F.when(all_agree, F.col("windows")).otherwise(some), lambda w: w["at"])
 

@@ -152,27 +152,29 @@ def _kinds_sql(words: str) -> str:
     return f"list_transform({words}, lambda t: CASE WHEN t >= '{NUMBER}' AND t < '{POINT}' THEN t[1] ELSE t END)"
 
 
+_LITERALS = "len(list_distinct(list_filter({shape}, lambda t: t < '{number}' OR t >= '{point}')))"
+
 LEAKS_SQL = f"""
 WITH d AS (SELECT doc_id, {_canonical_sql("text")} AS words FROM documents),
 b AS (SELECT item_id, words, least(len(words), {WIDTH}) AS width FROM (SELECT item_id, {_canonical_sql("text")} AS words FROM benchmark)),
 bw AS (SELECT item_id, width, spot, words[spot + 1:spot + width] AS typed
        FROM (SELECT *, unnest(range(0, len(words) - width + 1)) AS spot FROM b WHERE width > 0)),
-bs AS (SELECT item_id, width, shape, arg_min(typed, spot) AS typed, min(spot) AS spot
-       FROM (SELECT *, {_kinds_sql("typed")} AS shape FROM bw)
-       WHERE len(list_distinct(list_filter(shape, lambda t: t < '{NUMBER}' OR t >= '{POINT}'))) >= least(width, {MIN_LITERALS})
-       GROUP BY item_id, width, shape),
+bx AS (SELECT *, {_LITERALS.format(shape="kinds", number=NUMBER, point=POINT)} < least(width, {MIN_LITERALS}) AS exact
+       FROM (SELECT *, {_kinds_sql("typed")} AS kinds FROM bw)),
+bs AS (SELECT item_id, width, exact, shape, arg_min(typed, spot) AS typed, min(spot) AS spot
+       FROM (SELECT *, CASE WHEN exact THEN typed ELSE kinds END AS shape FROM bx WHERE NOT exact OR len(list_distinct(typed)) > 1)
+       GROUP BY item_id, width, exact, shape),
 dw AS (SELECT doc_id, width, pos, words[pos + 1:pos + width] AS seen
        FROM (SELECT d.*, w.width, unnest(range(0, len(words) - w.width + 1)) AS pos
              FROM d CROSS JOIN (SELECT DISTINCT width FROM bs) w WHERE len(words) >= w.width)),
+ds AS (SELECT *, false AS exact, {_kinds_sql("seen")} AS shape FROM dw UNION ALL SELECT *, true AS exact, seen AS shape FROM dw),
 hits AS (SELECT doc_id, item_id, pos, spot, pos - spot AS shift,
            list_filter(list_zip(typed, seen), lambda p: p[1] >= '{NUMBER}' AND p[1] < '{POINT}') AS slots
-         FROM (SELECT *, {_kinds_sql("seen")} AS shape FROM dw) x JOIN bs USING (width, shape)),
-lines AS (SELECT doc_id, item_id, shift, list(DISTINCT spot) AS spots, list_distinct(flatten(list(slots))) AS slots, min(pos) AS first_word
-          FROM hits GROUP BY doc_id, item_id, shift),
-kept AS (SELECT doc_id, item_id, first_word, unnest(spots) AS spot FROM lines
-         WHERE len(list_distinct(list_transform(slots, lambda p: p[1]))) = len(slots)
-           AND len(list_distinct(list_transform(slots, lambda p: p[2]))) = len(slots)),
-n AS (SELECT doc_id, item_id, count(DISTINCT spot) AS n_windows, CAST(min(first_word) AS BIGINT) AS first_word FROM kept GROUP BY ALL),
+         FROM ds JOIN bs USING (width, exact, shape)),
+lines AS (SELECT doc_id, item_id, shift, list_distinct(flatten(list(slots))) AS pairs FROM hits GROUP BY doc_id, item_id, shift),
+kept AS (SELECT doc_id, item_id, pos, spot FROM hits JOIN lines USING (doc_id, item_id, shift)
+         WHERE len(list_filter(slots, lambda p: p[1] <> p[2] AND len(list_filter(pairs, lambda q: q[1] = p[1])) > 1)) = 0),
+n AS (SELECT doc_id, item_id, count(DISTINCT spot) AS n_windows, CAST(min(pos) AS BIGINT) AS first_word FROM kept GROUP BY ALL),
 t AS (SELECT item_id, count(*) AS total FROM bs GROUP BY item_id)
 SELECT doc_id, item_id, n_windows, n_windows / total AS coverage, first_word
 FROM n JOIN t USING (item_id) WHERE n_windows / total >= {COVERAGE}

@@ -61,7 +61,8 @@ def test_slots_must_agree(spark, make_docs):
         (2, "add 3 apples to 4 pears then take 5 plums and 6 figs away from them"),
         (3, "add 3 apples to 3 pears then take 3 plums and 3 figs away from them"),
     ]
-    assert [r.doc_id for r in leaks(make_docs(rows), item).collect()] == [1]
+    # A benchmark value stands for one document value; two of them may become the same.
+    assert sorted(r.doc_id for r in leaks(make_docs(rows), item).collect()) == [1, 3]
 
 
 def test_one_altered_slot_leaves_the_other_windows(spark, make_docs):
@@ -84,6 +85,28 @@ def test_items_of_few_literal_words(spark, make_docs):
     assert got == {(1, 1): (4, 1.0), (1, 3): (1, 1.0), (3, 2): (5, 1.0), (5, 3): (1, 1.0)}
 
 
+def test_sql_has_the_same_rules(spark, make_docs, tmp_path):
+    """Altered slots, merged values, few literal words, repeated words and short items, in one table."""
+    import duckdb
+
+    long = "put 12 apples in the big basket by the old door and walk slowly home then put 12 pears on the table for Maria"
+    sums, names = "What is 12 + 35 * 7 - 3 + 18 * 4 - 9 + 11 * 2?", "the names are Anna, Bert, Carl, Dora, Emil, Frida, Gustav, Hanna, Ida"
+    swap = "add 7 apples to 9 pears then take 7 plums and 9 figs away from them"
+    texts = [long, sums, names, swap, "12 35", "5 5 5 5 5 5 5 5 5"]
+    docs = [
+        long, long.replace("12 pears", "13 pears"), long.replace("12", "40"), f"Some text. {sums} And more.", sums.replace("35", "36"), f"x {names} y",
+        swap.replace("7", "3").replace("9", "3"), swap.replace("7", "9"), swap.replace("take 7", "take 8"), "3 9 12 35 4", "5 " * 20, "nothing", None,
+        f"{swap} {long}", swap.replace("them", "it") + " " + swap,
+    ]
+    make_docs(list(enumerate(docs))).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(list(enumerate(texts)), "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    got, want = spark_rows(op4_decontaminate(spark, str(tmp_path))), sql_rows(con, ORACLES["op4_decontaminate"])
+    assert got == want and len(got[1]) >= 8
+
+
 def brute_leaks(docs, items, width=8):
     word = re.compile(r"[^\W_]+")
     grams = {}
