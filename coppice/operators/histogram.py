@@ -341,13 +341,11 @@ def _reduce(batches: Iterator[pa.RecordBatch], level: Level) -> Iterator[pa.Reco
 
 def level_splits(blocks: DataFrame, level: Level, kept: DataFrame | None, n_tasks: int) -> DataFrame:
     """Best split within each feature slice of every node of the level, with the node's totals, and the
-    sums (``LEVEL``). A node without a split has NULLs. ``kept`` has the rows of the level before; at the
-    root there are none."""
+    sums (``LEVEL``). A node without a split has NULLs. ``blocks`` are ``bins, margin, label, row_hash`` of
+    training rows; ``kept`` has the rows of the level before, at the root there are none."""
     todo, pairs = level.todo, level.pairs
     parent = {(t, small): p for (t, p), (small, _) in pairs.items()}
-    parts = blocks.select("bins", "margin", "label", "row_hash").mapInArrow(
-        lambda batches: _task_parts(batches, todo, parent, level.n_slices), _PARTS
-    )
+    parts = blocks.mapInArrow(lambda batches: _task_parts(batches, todo, parent, level.n_slices), _PART_ROWS)
     if kept is not None:
         rows = kept.select("tree", "node", "slice", F.lit(True).alias("kept"), "cell", "g", "h")
         parts = parts.union(rows)
@@ -357,7 +355,7 @@ def level_splits(blocks: DataFrame, level: Level, kept: DataFrame | None, n_task
     # The search of many nodes is worth more than one task.
     reducers = max(reducers, min(n_tasks, -(-len(pairs) // 32)))
     reducers = min(reducers, len(pairs) * level.n_slices)
-    return parts.repartition(reducers, "tree", "node", "slice").mapInArrow(lambda batches: _reduce(batches, level), LEVEL)
+    return parts.repartition(reducers, "tree", "node", "slice").mapInArrow(lambda batches: _reduce(batches, level), _LEVEL_ROWS)
 
 
 def slice_count(n_tasks: int, n_features: int, n_bins: int) -> int:
@@ -381,7 +379,14 @@ def _arrow(schema: str) -> pa.Schema:
     return pa.schema([(f.split()[0], kinds[f.split()[1]]) for f in schema.split(", ")])
 
 
+def _spark(schema: str) -> T.StructType:
+    """The schema without asking the JVM to parse it, which every level would do again."""
+    kinds = {"INT": T.IntegerType(), "BOOLEAN": T.BooleanType(), "DOUBLE": T.DoubleType(), "BINARY": T.BinaryType()}
+    return T.StructType([T.StructField(f.split()[0], kinds[f.split()[1]]) for f in schema.split(", ")])
+
+
 _PART_TYPE, _LEVEL_TYPE = _arrow(_PARTS), _arrow(LEVEL)
+_PART_ROWS, _LEVEL_ROWS = _spark(_PARTS), _spark(LEVEL)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:

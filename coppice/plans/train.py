@@ -240,7 +240,8 @@ class _Round:
                 if step.keep:
                     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
                     kept.append(rows)
-                found += rows.select(*SPLIT_COLUMNS).collect()
+                    rows = rows.select(*SPLIT_COLUMNS)
+                found += rows.collect()
             for rows in before:
                 rows.unpersist()
             before, pairs = kept, self._decide(merged_splits(found), level, subtract)
@@ -394,7 +395,7 @@ def boost(
     try:
         for round_no in range(done, rounds):
             current = _Round(prepared, trials, round_no)
-            current.grow(state.where("is_train"), scale)
+            current.grow(state.where("is_train").select("bins", "margin", "label", "row_hash"), scale)
             if before is not None:
                 # The first pass of the round has filled the cache of ``state``.
                 before.unpersist()
