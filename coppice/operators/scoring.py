@@ -1,10 +1,9 @@
 """Scoring rows with an ensemble.
 
-A model is packed once: the thresholds of each feature are numbered over all trees, so that a value
-becomes one small number and a node compares numbers. The packed trees go to the workers as
-broadcast variables, which a worker loads once and keeps, and not with every task; a stream that
-stays on its model neither reads nor sends it again. Inside a task the rows of a batch are parted
-node by node, as long as a node has rows for a call of its own, and the rest walk down together.
+A model is packed once into flat arrays, which go to the workers as broadcast variables: a worker
+loads them once and keeps them, and they do not travel with every task; a stream that stays on its
+model neither reads nor sends it again. Inside a task all rows of a batch walk down a tree together,
+one look-up per level.
 """
 
 from __future__ import annotations
@@ -23,8 +22,6 @@ from .blocks import lists, matrix
 # Nodes of one broadcast variable (about 40 bytes each). A larger ensemble is a chain of expressions
 # in the same stage, one for each variable; the result does not depend on it.
 MAX_NODES = 4_000_000
-# Rows of a node below which it is not worth a call.
-_FEW_ROWS = 256
 _FIELDS = ("round", "class_id", "node_id", "is_leaf", "feature", "threshold", "missing_left", "leaf_value")
 
 
@@ -35,15 +32,11 @@ class Forest:
     root: np.ndarray
     class_id: np.ndarray
     feature: np.ndarray
-    # A value goes right if its number is above this one.
-    cut: np.ndarray
+    threshold: np.ndarray
     missing_left: np.ndarray
     left: np.ndarray
-    leaf: np.ndarray
     value: np.ndarray
     depth: int
-    # Feature -> its thresholds, ascending.
-    thresholds: dict[int, np.ndarray]
 
 
 def pack(nodes: DataFrame, first_round: int = 0, last_round: int | None = None) -> Forest:
@@ -66,66 +59,33 @@ def pack(nodes: DataFrame, first_round: int = 0, last_round: int | None = None)
     here = np.arange(len(node))
     missing = t.column("missing_left").fill_null(True).to_numpy(zero_copy_only=False).astype(bool)
     depth = int(np.floor(np.log2(node + 1)).max(initial=0))
-    feature = np.where(leaf, 0, np.nan_to_num(col["feature"])).astype(np.int64)
-    threshold = np.where(leaf, np.inf, col["threshold"].astype(float))
-    cut = np.full(len(node), np.iinfo(np.int32).max, np.int32)
-    thresholds = {}
-    for f in np.unique(feature[~leaf]):
-        mine = np.flatnonzero((feature == f) & ~leaf)
-        thresholds[int(f)] = np.unique(threshold[mine])
-        # Numbers start at 1 below all thresholds; 0 is a missing value.
-        cut[mine] = np.searchsorted(thresholds[int(f)], threshold[mine]) + 1
     return Forest(
         tree.astype(np.int64),
         col["class_id"][tree].astype(np.int64),
-        feature,
-        cut,
+        np.where(leaf, 0, np.nan_to_num(col["feature"])).astype(np.int64),
+        np.where(leaf, np.inf, np.nan_to_num(col["threshold"], nan=np.inf, neginf=-np.inf, posinf=np.inf)),
         missing | leaf,
         # A leaf is its own left child.
         np.where(leaf, here, left).astype(np.int64),
-        leaf,
         np.where(leaf, np.nan_to_num(col["leaf_value"].astype(float)), 0.0),
         depth,
-        thresholds,
     )
 
 
-def numbers(x: np.ndarray, forest: Forest) -> np.ndarray:
-    """(features, rows): how many thresholds of its feature a value reaches, and 1; 0 for a missing value.
-    Features that no tree looks at have zeros."""
-    most = max((len(t) for t in forest.thresholds.values()), default=0) + 1
-    out = np.zeros((x.shape[1], len(x)), np.uint8 if most < 256 else np.uint16 if most < 65_536 else np.int32)
-    for f, t in forest.thresholds.items():
-        v = np.ascontiguousarray(x[:, f])
-        out[f] = np.where(np.isnan(v), 0, np.searchsorted(t, v, "right") + 1)
-    return out
-
-
 def forest_margins(x: np.ndarray, forest: Forest, n_class: int) -> np.ndarray:
     """Sum of leaf values per class for a matrix of rows; NaN is a missing value."""
-    at_most, every = numbers(x, forest), np.arange(len(x))
     out = np.zeros((n_class, len(x)))
+    values, row = np.ascontiguousarray(x).ravel(), np.arange(len(x)) * x.shape[1]
+    any_missing = np.isnan(values).any()
     for root, k in zip(forest.root, forest.class_id):
-        margin, todo, few = out[k], [(root, every)], []
-        while todo:
-            node, rows = todo.pop()
-            if forest.leaf[node]:
-                margin[rows] += forest.value[node]
-            elif len(rows) < _FEW_ROWS:
-                few.append((node, rows))
-            else:
-                b = at_most[forest.feature[node]].take(rows)
-                go = b > forest.cut[node]
-                if not forest.missing_left[node]:
-                    go |= b == 0
-                todo += [(forest.left[node], rows[~go]), (forest.left[node] + 1, rows[go])]
-        if few:
-            rows = np.concatenate([r for _, r in few])
-            at = np.repeat(np.array([n for n, _ in few]), [len(r) for _, r in few])
-            while not forest.leaf[at].all():
-                b = at_most[forest.feature[at], rows]
-                at = forest.left[at] + ((b > forest.cut[at]) | ((b == 0) & ~forest.missing_left[at]))
-            margin[rows] += forest.value[at]
+        at = np.full(len(x), root)
+        for _ in range(forest.depth):
+            v = values.take(row + forest.feature.take(at))
+            go = v >= forest.threshold.take(at)
+            if any_missing:
+                go |= np.isnan(v) & ~forest.missing_left.take(at)
+            at = forest.left.take(at) + go
+        out[k] += forest.value.take(at)
     return out.T
 
 
