@@ -77,7 +77,7 @@ def test_repeated_and_unusable_rows(spark):
     rng = np.random.default_rng(1)
     rows = [(i, rng.standard_normal(6).tolist()) for i in range(60)]
     rows += [(100 + i, rows[0][1]) for i in range(40)] + [(None, rows[3][1]), (7, rows[3][1])]
-    bad = [(200, None), (201, []), (202, [1.0, None, 0, 0, 0, 0]), (203, [float("nan")] * 6), (204, [float("-inf")] * 6), (205, [1.0] * 5)]
+    bad = [(200, None), (201, []), (202, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (203, [float("nan")] * 6), (204, [float("-inf")] * 6), (205, [1.0] * 5)]
     df = spark.createDataFrame(rows + bad, SCHEMA).selectExpr("*", "1 as x", "2 as n", "3 as id", "4 as component")
     got = whiten(df.repartition(4)).collect()
     check(got, rows)
