@@ -6,6 +6,7 @@ from test_boost import PARAMS, frame, make
 from coppice.operators.scoring import score, score_native
 from coppice.plans.inference import score_model
 from coppice.plans.train import train
+from coppice.sources.store import SCHEMAS
 
 
 @pytest.fixture(scope="module")
@@ -71,3 +72,44 @@ def test_save_and_load(store, trained):
     assert np.array_equal(proba(again), proba(score_model(df, model)))
     with pytest.raises(LookupError):
         store.load_nodes("unknown")
+
+
+def stumps(spark, n, deep=0):
+    """``n`` trees of one split or none, and ``deep`` of two levels, of three classes."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for r in range(n + deep):
+        row = lambda i, leaf, f=None, t=None, v=None, miss=None: rows.append(
+            ("m", r, r % 3, i, leaf, f, None, t, miss, None if leaf else 2 * i + 1, None if leaf else 2 * i + 2, v, None, None)
+        )
+        if r % 50 == 7 and r < n:
+            row(0, True, v=float(rng.normal()))
+            continue
+        splits = [0] if r < n else [0, 2]
+        for i in splits:
+            threshold = -float("inf") if r % 40 == 3 else float(np.round(rng.normal(), 1))
+            row(i, False, int(rng.integers(0, 4)), threshold, miss=bool(r % 2))
+        for i in ({1, 2, 5, 6} if r >= n else {1, 2}) - set(splits):
+            row(i, True, v=float(rng.normal()) / 50)
+    return spark.createDataFrame(rows, SCHEMAS["model_nodes"]).repartition(3)
+
+
+@pytest.mark.parametrize("n, deep", [(2600, 0), (1500, 30), (0, 400)])
+def test_an_ensemble_of_many_parts(spark, n, deep):
+    """Formerly an expression for each part, which failed from some hundreds on."""
+    df, nodes = frame(spark, make(200, 12)), stumps(spark, n, deep)
+    got = proba(score(df, nodes, 3, 4, max_nodes=5))
+    x = np.array([[np.nan if v is None else v for v in r.features] for r in df.orderBy("row_id").collect()])
+    trees = {}
+    for r in nodes.collect():
+        trees.setdefault((r["round"], r.class_id), {})[r.node_id] = r
+    m = np.zeros((len(x), 3))
+    for (_, k), tree in trees.items():
+        for i, v in enumerate(x):
+            at = tree[0]
+            while not at.is_leaf:
+                left = at.missing_left if np.isnan(v[at.feature]) else v[at.feature] < at.threshold
+                at = tree[at.left_id if left else at.right_id]
+            m[i, k] += at.leaf_value
+    want = np.exp(m - m.max(axis=1, keepdims=True))
+    assert np.allclose(got, want / want.sum(axis=1, keepdims=True), atol=1e-9)
