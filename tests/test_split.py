@@ -96,3 +96,11 @@ def test_split_is_a_row_local_filter(spark):
     df = frame(spark, [(i, i % 3) for i in range(300)])
     plan = stratified_split(df.withColumn("x", F.lit(1)), "row_id")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Window" not in plan
+
+
+def test_the_rows_of_a_class_are_not_dealt_to_one_task(spark):
+    """Cuts made from rows of the driver have no known size: joined plainly, all rows went by label."""
+    df = spark.range(100).select("id", (F.col("id") % 3).cast("int").alias("label"))
+    cuts = spark.createDataFrame([(k, "8") for k in range(3)], "label INT, cut STRING")
+    plan = stratified_split(df, "id", cuts=cuts)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
