@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.hashing import hex_to_bigint
 from ..functions.proba import argmax, confidence
 from ..operators.registry import CHAMPION
-from ..operators.scoring import Packed, packed, score, score_packed
+from ..operators.scoring import Packed, packed, score, score_packed, score_routed
 from ..sources.features import fitting_rows, split_by_width
 from ..sources.store import Store, check_features
 
@@ -87,22 +87,16 @@ def _write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet")
     df.write.mode("overwrite").format(fmt).save(f"{path}/batch={batch_id}")
 
 
-def _score_batch(parts: list[tuple[DataFrame, Packed, dict]], path: str, rejects: str, batch_id: int, fmt: str) -> None:
-    """Scores and writes a micro-batch in one pass over its rows. ``parts`` are rows, their model and
-    columns to add. Only where that pass has met rows that do not fit is the batch read for them."""
-    scored, watched = [], []
-    for rows, model, extra in parts:
-        fitting, seen = fitting_rows(rows.withColumns(extra), model.n_features)
-        scored.append(_classified(score_packed(fitting, model)))
-        watched.append(seen)
-    _write_batch(reduce(DataFrame.unionByName, scored), path, batch_id, fmt)
-    refused = [
-        split_by_width(rows.withColumns(extra), model.n_features)[1]
-        for (rows, model, extra), seen in zip(parts, watched)
-        if seen.get["refused"]
-    ]
-    if refused:
-        _write_batch(reduce(DataFrame.unionByName, refused), rejects, batch_id, fmt)
+def _score_batch(
+    rows: DataFrame, n_features: int | Column, scored: Callable[[DataFrame], DataFrame],
+    path: str, rejects: str, batch_id: int, fmt: str,
+) -> None:
+    """Scores and writes a micro-batch in one pass over its rows, which keeps none of them. Only where that
+    pass has met rows that do not fit is the batch read for them."""
+    fitting, seen = fitting_rows(rows, n_features)
+    _write_batch(_classified(scored(fitting)), path, batch_id, fmt)
+    if seen.get["refused"]:
+        _write_batch(split_by_width(rows, n_features)[1], rejects, batch_id, fmt)
 
 
 def score_stream(
@@ -119,7 +113,7 @@ def score_stream(
     model = packed(nodes, n_class, n_features)
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        _score_batch([(batch, model, {})], path, rejects, batch_id, fmt)
+        _score_batch(batch, n_features, lambda rows: score_packed(rows, model), path, rejects, batch_id, fmt)
 
     writer = stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
@@ -180,17 +174,20 @@ def score_current(
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         routes = weights() if weights else {f"models:/{name}@{CHAMPION}": 100}
         current = {uri: cache.resolve(name, uri) for uri, percent in routes.items() if percent}
-        routed = route(batch, key, routes)
-        if len(current) > 1:
-            routed = routed.persist()
-        parts = []
-        for uri, version in current.items():
+        versions = list(current.values())
+        for version in versions:
             store.check_signature(version, batch)
-            mine = routed.where(F.col("served_model") == uri)
-            parts.append((mine, cache.get(version), {"model_version": F.lit(version.version)}))
-        _score_batch(parts, path, rejects, batch_id, "parquet")
-        cache.keep({version.model_id for version in current.values()})
-        routed.unpersist()
+        models = [cache.get(version) for version in versions]
+        # Of the row's own model; with one scan, as a batch that is kept takes several times its size.
+        own = lambda values: reduce(
+            lambda before, uv: before.when(F.col("served_model") == uv[0], F.lit(uv[1])), zip(current, values), F
+        )
+        rows = route(batch, key, routes).withColumn("model_version", own(v.version for v in versions))
+        which = own(range(len(models)))
+        _score_batch(
+            rows, own(m.n_features for m in models), lambda rows: score_routed(rows, models, which), path, rejects, batch_id, "parquet"
+        )
+        cache.keep({version.model_id for version in versions})
 
     writer = stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

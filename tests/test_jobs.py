@@ -16,6 +16,7 @@ from coppice.plans.inference import batch_inference, train_and_register
 from coppice.plans.queries import fixed_nodes
 from coppice.plans.search import promote_best, run_search
 from coppice.plans.train import TrainParams
+from coppice.sources.store import SCHEMAS
 from coppice.sources.files import ensure_namespace, read_shard_results, write_shard_results
 from coppice.streaming import serve
 
@@ -290,3 +291,35 @@ def test_streamed_quality(spark, tmp_path):
     # The last day stays open: no later row has moved the watermark past it.
     assert len(want) == 7 and set(got) == set(sorted(want)[:-1])
     assert all(got[k] == want[k] for k in got)
+
+
+def test_a_routed_batch_is_not_kept(spark, store, tmp_path, monkeypatch):
+    """Models of different widths and classes behind one stream: a pass that keeps no rows scores each by its own."""
+    other = spark.createDataFrame([("w", 0, 1, 0, True, None, None, None, None, None, None, 0.5, None, None)], SCHEMAS["model_nodes"])
+    store.set_alias("a.b.m", store.register("a.b.m", fixed(spark, "one")))
+    store.register("a.b.m", SimpleNamespace(model_id="w", nodes=other, edges=None, n_class=2, n_features=2))
+    src, stream = arriving(spark, tmp_path)
+    wide = spark.range(300).select(
+        F.col("id").alias("row_id"),
+        F.when(F.col("id") % 3 == 0, F.array(F.lit(30.0), F.lit(2.0), F.lit(0.03), F.lit(4.0)))
+        .when(F.col("id") % 3 == 1, F.array(F.lit(1.0), F.lit(2.0))).cast("array<float>").alias("features"),
+        F.lit(0).alias("label"),
+    )
+    wide.repartition(3).write.mode("append").parquet(src)
+    kept, persist = [], type(wide).persist
+    monkeypatch.setattr(type(wide), "persist", lambda self, *a: kept.append(self.columns) or persist(self, *a))
+    out = str(tmp_path / "out")
+    shares = lambda: {"models:/a.b.m/1": 60, "models:/a.b.m/2": 40}
+    serve.score_current(stream, store, shares, "a.b.m", "row_id", out, str(tmp_path / "cp")).awaitTermination()
+    assert not [c for c in kept if "features" in c]
+    got = spark.read.parquet(out).collect()
+    short = [1 / (1 + 2.718281828459045**0.5), 1 / (1 + 2.718281828459045**-0.5)]
+    full = serve.score_rows(wide.where("row_id = 0"), fixed_nodes(spark), 3, 4).first().proba
+    assert {r.model_version for r in got} == {1, 2}
+    assert all(r.proba == pytest.approx(full if r.model_version == 1 else short) for r in got)
+    assert all(r.row_id % 3 == r.model_version - 1 for r in got)
+    refused = spark.read.parquet(f"{out}-rejected").collect()
+    reasons = {(r.model_version, r.row_id % 3): r.reason for r in refused}
+    assert len(got) + len(refused) == 300 and reasons == {
+        (1, 1): "expected 4 features, got 2", (2, 0): "expected 2 features, got 4", (1, 2): "no features", (2, 2): "no features",
+    }
