@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -6,6 +7,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from coppice.functions.proba import argmax, margin_log_loss, row_log_loss
+from coppice.operators import metrics
 from coppice.operators.metrics import (
     accuracy, auc_per_class, confusion, curve_gap, evaluate, log_loss, macro_auc, throughput,
 )
@@ -127,3 +129,15 @@ def test_no_cell_stays_crowded(spark):
     assert all(len(v) <= 20 for v in by.values() if all(math.isfinite(x) for x in v))
     order = [x for c in sorted(by) for x in sorted(v for v in by[c] if math.isfinite(v))]
     assert order == sorted(order)
+
+
+def test_cells_are_numbered_and_numbered_anew(spark):
+    """Numbers in place of texts, a cut as fine as a cell is full; scores of ever smaller distance use up the numbers."""
+    scores = [0.5 + 2.0**-k for k in range(2, 52)] + [0.25 + i * 1e-9 for i in range(3000)]
+    df = spark.createDataFrame([(0, s, 1, 1) for s in scores], "slot INT, score DOUBLE, n BIGINT, pos BIGINT").persist()
+    got = metrics._opened(df, 2)
+    assert dict(got.dtypes)["cell"] == "bigint"
+    rows = sorted((r.score, r.cell) for r in got.collect())
+    cells = [c for _, c in rows]
+    assert [s for s, _ in rows] == sorted(scores) and cells == sorted(cells)
+    assert max(Counter(cells).values()) <= 2
