@@ -4,13 +4,14 @@ import math
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from coppice.functions.proba import fixed_point, gradient, hessian, softmax
 from coppice.functions.hashing import row_hash
 from coppice.operators.binning import bin_features, edges_by_feature, quantile_edges
-from coppice.operators.blocks import from_blocks, to_blocks
+from coppice.operators.blocks import BATCH_BLOCKS, from_blocks, to_blocks
 from coppice.operators.histogram import Grown, Pass, fixed_scale, grad_histogram, node_histograms
 from coppice.operators import histogram
 from coppice.operators.sampling import sample_features, sample_tree_features
@@ -316,3 +317,20 @@ def test_bad_input_is_refused(spark):
         train(frame(spark, (x, y, np.full(60, "test"))), PARAMS)
     with pytest.raises(ValueError, match="max_depth"):
         train(frame(spark, (x, y, split)), replace(PARAMS, max_depth=0))
+
+
+def test_python_gets_few_blocks_at_once(spark):
+    """The usual limit counts rows of a batch, of which one holds thousands of training rows."""
+    df = frame(spark, make(6000, 3)).repartition(1)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "50")
+    try:
+        prepared = prepare(df.sortWithinPartitions("row_id"), 16)
+    finally:
+        spark.conf.set(key, old)
+    one = prepared.blocks.coalesce(1)
+    sizes = one.select("n").mapInArrow(lambda bs: (b.select(["n"]).slice(0, 1).set_column(0, "n", pa.array([b.num_rows], pa.int32())) for b in bs if b.num_rows), "n INT")
+    most = sizes.agg(F.max("n"), F.sum("n")).first()
+    prepared.release()
+    assert most[0] <= BATCH_BLOCKS and most[1] > 100
