@@ -13,7 +13,7 @@ from coppice.functions.hashing import row_hash
 from coppice.operators.binning import bin_features, edges_by_feature, quantile_edges
 from coppice.operators.blocks import BATCH_BLOCKS, from_blocks, to_blocks
 from coppice.operators.histogram import Grown, Pass, fixed_scale, grad_histogram, node_histograms
-from coppice.operators import histogram
+from coppice.operators import blocks, histogram
 from coppice.operators.sampling import sample_features, sample_tree_features
 from coppice.plans import train as training
 from coppice.plans.train import TrainParams, boost, prepare, train
@@ -334,3 +334,28 @@ def test_python_gets_few_blocks_at_once(spark):
     most = sizes.agg(F.max("n"), F.sum("n")).first()
     prepared.release()
     assert most[0] <= BATCH_BLOCKS and most[1] > 100
+
+
+def test_any_size_of_blocks_gives_the_same_training(spark, monkeypatch):
+    data, p = make(900, 13), replace(PARAMS, subsample=0.8)
+    got = []
+    for size in (blocks.BLOCK_BYTES, 700):
+        monkeypatch.setattr(blocks, "BLOCK_BYTES", size)
+        prepared = prepare(frame(spark, data, 2), p.max_bins, 2)
+        models, state = boost(prepared, [p, replace(p, max_depth=2)], ["a", "b"], checkpoint_every=2)
+        most = state.agg(F.max("n"), F.count("*")).first()
+        rows = sorted((r.label, tuple(r.margin)) for r in from_blocks(state, 6).collect())
+        curves = models[0].curves.orderBy("model_id", "step").collect() + models[1].curves.orderBy("model_id", "step").collect()
+        got.append(([node_rows(m) for m in models], rows, [c[2:] for c in curves]))
+        state.unpersist()
+        prepared.release()
+    assert most[0] == 700 // (4 + 12 + 8 * 6) and most[1] > 900 // most[0]
+    assert got[0][:2] == got[1][:2]
+    assert np.allclose(got[0][2], got[1][2], rtol=1e-12)
+
+
+def test_the_reader_of_blocks_holds_few(spark):
+    prepared = prepare(frame(spark, make(60)), 16)
+    assert prepared.blocks.sparkSession.conf.get("spark.sql.parquet.columnarReaderBatchSize") == str(BATCH_BLOCKS)
+    assert spark.conf.get("spark.sql.parquet.columnarReaderBatchSize") == "4096"
+    prepared.release()

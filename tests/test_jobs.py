@@ -1,17 +1,20 @@
 """Registry, batch scoring, search and streams end to end."""
 
 import json
+from dataclasses import replace
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 from test_boost import PARAMS, frame, make
 
+from coppice.operators.blocks import BLOCK_BYTES
 from coppice.operators.grid import sample_trials, shard_plan, trial_shard
 from coppice.operators.metrics import curve_gap
 from coppice.operators.registry import compare_trials, latest_version
 from coppice.operators.split import held_out, split_overlap
 from coppice.plans import search as searching
+from coppice.plans import train as training
 from coppice.plans.inference import batch_inference, train_and_register
 from coppice.plans.queries import fixed_nodes
 from coppice.plans.search import promote_best, run_search
@@ -120,6 +123,46 @@ def test_search(spark, store, rows):
     assert {r.run_name: r.auc for r in compared} == {f"trial-{t:02d}": r.auc for t, r in results.items()}
 
 
+def cached_batches(df):
+    """Rows and bytes of each batch that Spark keeps of a persisted table."""
+    kept = df._jdf.queryExecution().withCachedData().cacheBuilder().cachedColumnBuffers().collect()
+    return [(b.numRows(), b.sizeInBytes()) for b in kept]
+
+
+def test_a_search_caches_small_batches(spark, store, monkeypatch):
+    """The serializer of a cached partition holds 100 batches at a time, of 4 MB each by itself."""
+    many, seen = frame(spark, make(6000, 11), 1).drop("split"), {}
+    metrics, auc = searching.trial_metrics, searching.auc_per_class
+
+    def see_blocks(blocks, n_class, n_trials):
+        found = metrics(blocks, n_class, n_trials)
+        seen["blocks"], seen["rows"] = cached_batches(blocks), blocks.agg(F.sum("n")).first()[0]
+        return found
+
+    def see_scored(scored, *args, **named):
+        out = auc(scored, *args, **named)
+        seen["scored"] = cached_batches(scored)
+        return out
+
+    monkeypatch.setattr(searching, "trial_metrics", see_blocks)
+    monkeypatch.setattr(searching, "auc_per_class", see_scored)
+    done = run_search(store, many, "a.b.s", total=4, workers=1, base=replace(BASE, n_estimators=2), space=SPACE, register=False)
+    assert done["succeeded"] == 4 and seen["rows"] == 6000
+    assert len(seen["blocks"]) > 4 and max(size for _, size in seen["blocks"]) < BLOCK_BYTES + 2000
+    assert sum(n for n, _ in seen["scored"]) == 1200 and max(size for _, size in seen["scored"]) < 200_000
+
+
+def test_a_failed_pass_leaves_nothing_cached(spark, monkeypatch):
+    prepared = training.prepare(frame(spark, make(300, 5)), 16)
+    states, persisted = [], training.persisted
+    monkeypatch.setattr(training, "persisted", lambda df, n: states.append(df) or persisted(df, n))
+    monkeypatch.setattr(training, "losses_of", lambda *args: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        training.boost(prepared, [replace(PARAMS, n_estimators=2)], ["x"])
+    assert len(states) == 2 and not any(s.is_cached for s in states)
+    prepared.release()
+
+
 def test_a_bad_trial_does_not_take_others_along(store, rows):
     space = {"max_depth": ("int", [2, 99])}
     done = run_search(store, rows, "a.b.s", total=4, workers=1, base=BASE, space=space, seed=1, validation_size=0.25)
